@@ -8,35 +8,39 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankweave.functions.numeric import all_of
 from rankweave.storage import BROADCAST_ROWS
 
 # Distinct values one window task should sort, and the most value ranges that are made.
-VALUES_PER_RANGE = 100_000
+VALUES_PER_RANGE = 1_000_000
 MOST_RANGES = 1000
+# Values picked to place the range limits; also the size of what the driver collects for it.
+RANGE_PICKS = 16_384
 # A value on more than 1/HOT_SHARE of the rows is hot; there are at most HOT_SHARE such values.
 HOT_SHARE = 1000
 
 
-def _profile(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, float], dict[str, list[float]]]:
-    """Row count, estimated distinct values and range limits per column, in one pass to one row.
+def _profile(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
+    """Row count and estimated distinct values per column, in one pass to one row."""
+    estimates = [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *estimates).first()
+    return row["n"], {c: row[f"d{i}"] for i, c in enumerate(columns)}
 
-    Range limits only spread the work: results are exact for any limits. They are taken to the driver
-    so that every later step and every retried task sees the same ranges.
+
+def _range_limits(df: DataFrame, column: str, distinct: int) -> list[float]:
+    """Values that split the distinct values of a column into ranges of about equal size.
+
+    Limits only spread the work: results are exact for any limits. One value is picked from each hash
+    group, the one with the smallest hash, which is an even choice among the distinct values whatever
+    their frequency. The limits go through the driver so that all steps and retries use the same.
     """
-    probs = [i / MOST_RANGES for i in range(1, MOST_RANGES)]
-    measures = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(columns):
-        measures.append(F.approx_count_distinct(c).alias(f"d{i}"))
-        measures.append(F.percentile_approx(c, probs, 10 * MOST_RANGES).alias(f"q{i}"))
-    row = df.agg(*measures).first()
-    distinct = {c: row[f"d{i}"] for i, c in enumerate(columns)}
-    limits = {}
-    for i, c in enumerate(columns):
-        ranges = min(MOST_RANGES, int(distinct[c] // VALUES_PER_RANGE) + 1)
-        points = row[f"q{i}"] or []
-        step = -(-MOST_RANGES // ranges)
-        limits[c] = sorted(set(points[step - 1 :: step])) if ranges > 1 else []
-    return row["n"], distinct, limits
+    ranges = min(MOST_RANGES, -(-distinct // VALUES_PER_RANGE))
+    if ranges <= 1:
+        return []
+    code = F.xxhash64(column)
+    picks = df.groupBy(F.pmod(code, F.lit(RANGE_PICKS))).agg(F.min_by(column, code).alias("value"))
+    values = sorted(row["value"] for row in picks.collect())
+    return sorted({values[len(values) * i // ranges] for i in range(1, ranges)})
 
 
 def running_before(
@@ -69,7 +73,7 @@ def running_before(
 
 
 def _attach_rank(
-    rows: DataFrame, ranks: DataFrame, column: str, out: str, distinct: float, n: int
+    rows: DataFrame, ranks: DataFrame, column: str, out: str, distinct: int, n: int
 ) -> DataFrame:
     """Add the centred rank of `column`. `ranks` is `(value, w, rank)`, one row per value."""
     named = ranks.select(F.col("value").alias(column), "w", F.col("rank").alias(out))
@@ -94,13 +98,15 @@ def spearman(df: DataFrame, features: list[str]) -> DataFrame:
     combination is one row with a weight. Ranks are centred by their known mean (n + 1) / 2, so the
     products can be summed without cancellation.
     """
-    rows = df.select(*[F.col(f).cast("double").alias(f) for f in features]).na.drop()
-    n, distinct, limits = _profile(rows, features)
+    rows = df.select(*[F.col(f).cast("double").alias(f) for f in features])
+    rows = rows.where(all_of([F.col(f).isNotNull() & ~F.isnan(f) for f in features]))
+    n, distinct = _profile(rows, features)
     merged = rows.groupBy(*features).agg(F.count(F.lit(1)).alias("_weight"))
     ranked = merged
     for i, feature in enumerate(features):
         counts = merged.groupBy(F.col(feature).alias("value")).agg(F.sum("_weight").alias("w"))
-        before = running_before(counts, "value", ["w"], limits[feature])
+        limits = _range_limits(rows, feature, distinct[feature])
+        before = running_before(counts, "value", ["w"], limits)
         centred = F.col("before_w") + (F.col("w") + 1) / 2.0 - F.lit((n + 1) / 2.0)
         ranks = before.select("value", "w", centred.cast("double").alias("rank"))
         ranked = _attach_rank(ranked, ranks, feature, f"_r{i}", distinct[feature], n)
@@ -159,11 +165,12 @@ def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
     """
     scored = df.select(F.col(label).cast("int").alias("label"), F.col(score).cast("double").alias("score"))
     scored = scored.na.drop()
-    _, _, limits = _profile(scored, ["score"])
+    _, distinct = _profile(scored, ["score"])
+    limits = _range_limits(scored, "score", distinct["score"])
     per_score = scored.groupBy("score").agg(
         F.count_if(F.expr("label = 1")).alias("pos"), F.count_if(F.expr("label = 0")).alias("neg")
     )
-    before = running_before(per_score, "score", ["neg"], limits["score"])
+    before = running_before(per_score, "score", ["neg"], limits)
     wide = "decimal(18,0)"
     halves = F.col("pos").cast(wide) * (2 * F.col("before_neg") + F.col("neg")).cast(wide)
     sums = before.agg(

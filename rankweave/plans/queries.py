@@ -374,8 +374,13 @@ def q09_clean_documents_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- tab-separated text ----------------------------------------------------------------------------
 
-_CUSTOMER = StructType.fromDDL(
-    "c_custkey bigint, c_name string, c_nationkey bigint, c_acctbal double, c_mktsegment string"
+_CUSTOMER = (
+    StructType()
+    .add("c_custkey", "long")
+    .add("c_name", "string")
+    .add("c_nationkey", "long")
+    .add("c_acctbal", "double")
+    .add("c_mktsegment", "string")
 )
 
 

@@ -24,6 +24,7 @@ def write_tsv(df: DataFrame, uri: str) -> None:
 def write_result(df: DataFrame, uri: str) -> None:
     """A headered CSV for a report-sized result, in one part so that its row order is kept.
 
-    Only for results with a row limit of their own (top-k tables, matrices, leaderboards).
+    Only for results with a row limit of their own (top-k tables, matrices, leaderboards). Empty text
+    is written quoted and null is not, so the two come back as they were.
     """
-    df.coalesce(1).write.mode("overwrite").csv(uri, header=True, escape='"', emptyValue="", nullValue="")
+    df.coalesce(1).write.mode("overwrite").csv(uri, header=True, escape='"')

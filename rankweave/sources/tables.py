@@ -55,9 +55,8 @@ def read_tsv_rejects(spark: SparkSession, uri: str, schema: T.StructType = CLEAN
 def read_result(spark: SparkSession, uri: str, schema: T.StructType) -> DataFrame | None:
     """A headered CSV result, or None when it was never written; the caller then skips it."""
     try:
-        return spark.read.csv(
-            uri, schema=schema, header=True, escape='"', multiLine=True, emptyValue="", nullValue="\x00"
-        )
+        # A null value other than '' tells quoted empty text from a field that is not there.
+        return spark.read.csv(uri, schema=schema, header=True, escape='"', multiLine=True, nullValue="\x00")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
