@@ -7,7 +7,7 @@ Python part chooses a path through the dictionary words of one piece.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import log
 
 import pandas as pd
@@ -23,32 +23,42 @@ LONGEST = "longest"
 
 def pieces(df: DataFrame, text: str, keep: list[str] | None = None, script: str = HAN) -> DataFrame:
     """`(*keep, piece, unspaced)`: runs of the script, and runs of other letters and digits."""
-    runs = rf"({script}+|(?:(?!{script})[\p{{L}}\p{{N}}])+)"
+    runs = rf"({script}+|[\p{{L}}\p{{N}}&&[^{script}]]+)"
     rows = df.select(*(keep or []), F.explode(F.regexp_extract_all(text, F.lit(runs), 1)).alias("piece"))
     return rows.withColumn("unspaced", F.col("piece").rlike(f"^{script}"))
 
 
-def best_path(piece: str, found: dict[int, list[tuple[int, float]]], unknown: float, method: str) -> list[str]:
-    """Words of one piece. `found` maps a start to the (length, log probability) of words there.
+def path_finder(unknown: float, method: str) -> Callable[[str, dict[int, list[tuple[int, float]]]], list[str]]:
+    """A function from one piece and the words found in it to the words of the best path.
 
-    A character that starts no word stands alone, with the log probability `unknown`.
+    The words found are `{start: [(length, log probability), …]}`. A character that starts no word
+    stands alone, with the log probability `unknown`. The function is an inner one so that it travels
+    to the Python workers by value; they need not have this package.
     """
-    size = len(piece)
-    step = [1] * size
-    if method == LONGEST:
-        for start, options in found.items():
-            step[start] = max(length for length, _ in options)
-    else:
-        score = [0.0] * (size + 1)
-        for start in range(size - 1, -1, -1):
-            options = [(unknown + score[start + 1], 1)]
-            options += [(weight + score[start + length], length) for length, weight in found.get(start, [])]
-            score[start], step[start] = max(options)
-    words, start = [], 0
-    while start < size:
-        words.append(piece[start : start + step[start]])
-        start += step[start]
-    return words
+    longest_first = method == LONGEST
+
+    def find(piece: str, found: dict[int, list[tuple[int, float]]]) -> list[str]:
+        size = len(piece)
+        step = [1] * size
+        if longest_first:
+            for start, options in found.items():
+                step[start] = max(length for length, _ in options)
+        else:
+            score = [0.0] * (size + 1)
+            for start in range(size - 1, -1, -1):
+                best, width = unknown + score[start + 1], 1
+                for length, weight in found.get(start, ()):
+                    value = weight + score[start + length]
+                    if (value, length) > (best, width):
+                        best, width = value, length
+                score[start], step[start] = best, width
+        words, start = [], 0
+        while start < size:
+            words.append(piece[start : start + step[start]])
+            start += step[start]
+        return words
+
+    return find
 
 
 def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST) -> DataFrame:
@@ -73,34 +83,50 @@ def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST)
     return _segment_by_join(distinct, weights, longest, unknown, method)
 
 
+def _once(udf):
+    """Keep the optimizer from copying the call.
+
+    Exploding its result adds a filter on it, and that filter, with a second call, would move below
+    the counting of equal pieces.
+    """
+    return udf.asNondeterministic()
+
+
 def _segment_by_broadcast(distinct: DataFrame, weights: DataFrame, unknown: float, method: str) -> DataFrame:
     table = weights.toPandas()
-    known_words = dict(zip(table["word"], table["weight"]))
-    lengths: dict[str, set[int]] = {}
-    for word in known_words:
-        lengths.setdefault(word[0], set()).add(len(word))
-    shared = distinct.sparkSession.sparkContext.broadcast((known_words, lengths))
+    # Every beginning of a word is a key too, with no weight: a lookup that fails ends the search.
+    beginnings: dict[str, float | None] = {}
+    for word in table["word"]:
+        for end in range(1, len(word)):
+            beginnings.setdefault(word[:end], None)
+    beginnings.update(zip(table["word"], table["weight"]))
+    shared = distinct.sparkSession.sparkContext.broadcast(beginnings)
+    find = path_finder(unknown, method)
 
     @F.pandas_udf("array<string>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known, sizes = shared.value
+        known = shared.value
 
         def one(piece: str) -> list[str]:
             found: dict[int, list[tuple[int, float]]] = {}
-            for start, first in enumerate(piece):
-                options = [
-                    (length, known[piece[start : start + length]])
-                    for length in sizes.get(first, ())
-                    if piece[start : start + length] in known and start + length <= len(piece)
-                ]
+            size = len(piece)
+            for start in range(size):
+                options = []
+                for end in range(start + 1, size + 1):
+                    part = piece[start:end]
+                    if part not in known:
+                        break
+                    weight = known[part]
+                    if weight is not None:
+                        options.append((end - start, weight))
                 if options:
                     found[start] = options
-            return best_path(piece, found, unknown, method)
+            return find(piece, found)
 
         for batch in batches:
             yield batch.map(one)
 
-    return distinct.withColumn("words", cut("piece"))
+    return distinct.withColumn("words", _once(cut)("piece"))
 
 
 def _segment_by_join(
@@ -130,6 +156,8 @@ def _segment_by_join(
         .agg(F.collect_list(F.struct("start", "length", "weight")).alias("found"))
     )
 
+    find = path_finder(unknown, method)
+
     @F.pandas_udf("array<string>")
     def cut(texts: pd.Series, spans_found: pd.Series) -> pd.Series:
         out = []
@@ -137,10 +165,10 @@ def _segment_by_join(
             by_start: dict[int, list[tuple[int, float]]] = {}
             for span in spans if spans is not None else []:
                 by_start.setdefault(span["start"], []).append((span["length"], span["weight"]))
-            out.append(best_path(piece, by_start, unknown, method))
+            out.append(find(piece, by_start))
         return pd.Series(out, dtype=object)
 
-    return distinct.join(found, "piece", "left").withColumn("words", cut("piece", "found")).drop("found")
+    return distinct.join(found, "piece", "left").withColumn("words", _once(cut)("piece", "found")).drop("found")
 
 
 def dictionary_word_counts(

@@ -27,12 +27,15 @@ def tokenize_with(
     keep: list[str] | None = None,
     min_length: int = 2,
 ) -> DataFrame:
-    """Like `tokenize`, with a caller's segmenter, given one text and run on Arrow batches."""
+    """Like `tokenize`, with a caller's segmenter, given one text and run on Arrow batches.
+
+    Marked as not deterministic, or the filter that an explode adds would call it a second time.
+    """
     @F.pandas_udf("array<string>")
     def cut_batch(texts: pd.Series) -> pd.Series:
         return texts.map(lambda value: list(cut(value)) if value else [])
 
-    rows = df.select(*(keep or []), F.explode(cut_batch(F.col(text))).alias("word"))
+    rows = df.select(*(keep or []), F.explode(cut_batch.asNondeterministic()(F.col(text))).alias("word"))
     return rows.withColumn("word", strip_unicode(F.col("word"))).where(F.length("word") >= min_length)
 
 
