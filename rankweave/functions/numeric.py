@@ -16,31 +16,47 @@ NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 LARGEST_DOUBLE = 1.7976931348623157e308
 
 
+def parsed_number(text: Column) -> Column:
+    """Text to double; null for anything not in plain notation. An exponent may give infinity."""
+    stripped = strip_unicode(text)
+    return F.when(stripped.rlike(NUMBER), stripped.try_cast("double"))
+
+
 def number(text: Column) -> Column:
     """Text to double; null for anything that is not a finite number."""
-    stripped = strip_unicode(text)
-    value = F.when(stripped.rlike(NUMBER), stripped.try_cast("double"))
-    return F.when(F.abs(value) <= LARGEST_DOUBLE, value)
+    value = parsed_number(text)
+    return F.when(finite(value), value)
+
+
+def finite(value: Column) -> Column:
+    """Not null, not infinite, not NaN (which compares above every number).
 
+    Two plain comparisons, so on a stored column they reach the Parquet reader.
+    """
+    return (value >= F.lit(-LARGEST_DOUBLE)) & (value <= F.lit(LARGEST_DOUBLE))
+
+
+def whole_number(text: Column, value: Column | None = None) -> Column:
+    """Text to bigint, cut towards zero. Integer text is exact over the whole bigint range.
+
+    `value` is the same text as a double, where that is at hand already.
+    """
+    value = parsed_number(text) if value is None else value
+    return F.coalesce(strip_unicode(text).try_cast("bigint"), value.try_cast("bigint"))
 
-def whole_number(text: Column) -> Column:
-    """Text to bigint, cut towards zero. Integer text is exact over the whole bigint range."""
-    return F.coalesce(strip_unicode(text).try_cast("bigint"), number(text).try_cast("bigint"))
 
+def is_text(df: DataFrame, name: str) -> bool:
+    """True when the column holds text rather than numbers."""
+    return isinstance(df.schema[name].dataType, T.StringType)
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """Double value of a column, whatever its type."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return number(F.col(name))
-    value = F.col(name).try_cast("double")
-    return F.when(F.abs(value) <= LARGEST_DOUBLE, value)
 
+def once(value: Column) -> Column:
+    """`value`, computed by a generator instead of a projection; use it alone in a `select`.
 
-def as_whole_number(df: DataFrame, name: str) -> Column:
-    """Bigint value of a column, whatever its type, cut towards zero."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return whole_number(F.col(name))
-    return F.col(name).try_cast("bigint")
+    Catalyst moves a filter below a projection and copies the projected expression into every place
+    that uses it. For a parse that is read by several checks, that is one parse per check.
+    """
+    return F.explode(F.array(value))
 
 
 def exact_sum(df: DataFrame, name: str, scale: int | None = None) -> Column:

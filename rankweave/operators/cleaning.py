@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.functions.numeric import all_of, as_number, as_whole_number
+from rankweave.functions.numeric import all_of, finite, is_text, once, parsed_number, whole_number
 from rankweave.functions.text import clean_text, digest, fill_empty
 from rankweave.operators.dedup import keep_first, mark_first
 from rankweave.schemas import BEST_RANK, CLEAN, DISLIKE, METRICS
@@ -44,6 +44,10 @@ class CleanRules:
     whole: list[str] = field(default_factory=list)
     long_keys: bool = False
 
+    def __post_init__(self) -> None:
+        if clash := set(self.whole) & {*self.order_by, *self.keys}:
+            raise ValueError(f"whole numbers change their value and cannot order or identify rows: {sorted(clash)}")
+
 
 VIDEO_RULES = CleanRules(
     order_by=["file_name", "pos"],
@@ -62,22 +66,46 @@ DUPLICATE = "duplicate"
 INVALID = "invalid"
 
 
-def complete(df: DataFrame, rules: CleanRules) -> Column:
+def _parsed(df: DataFrame, rules: CleanRules) -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:
+    """The table, the double value of each checked number, and the bigint of each whole one.
+
+    Number texts are parsed once per row; columns that are numbers already are used as they are.
+    """
+    checked = dict.fromkeys([*rules.positive, *rules.not_above, *rules.whole])
+    texts = [name for name in checked if is_text(df, name)]
+    numbers = {name: F.col(f"_numbers.{name}" if name in texts else name) for name in checked}
+    whole = {
+        name: whole_number(F.col(name), numbers[name]) if name in texts else F.col(name).try_cast("bigint")
+        for name in rules.whole
+    }
+    if texts:
+        values = F.struct(*[parsed_number(F.col(name)).alias(name) for name in texts])
+        df = df.select("*", once(values).alias("_numbers"))
+    return df, numbers, whole
+
+
+def _complete(rules: CleanRules, numbers: dict[str, Column]) -> Column:
     """No required column is null and every checked number is one."""
-    numbers = [*rules.positive, *rules.not_above]
-    return all_of(
-        [F.col(name).isNotNull() for name in rules.required]
-        + [as_number(df, name).isNotNull() for name in numbers]
-    )
+    checked = [numbers[name] for name in (*rules.positive, *rules.not_above)]
+    return all_of([F.col(name).isNotNull() for name in rules.required] + [finite(value) for value in checked])
+
 
+def _valid(rules: CleanRules, numbers: dict[str, Column], whole: dict[str, Column]) -> Column:
+    """Every number is inside its bound, and whole numbers fit a bigint."""
+    checks = [numbers[name] > 0 for name in rules.positive]
+    checks += [numbers[name] <= bound for name, bound in rules.not_above.items()]
+    return all_of(checks + [value.isNotNull() for value in whole.values()])
 
-def valid(df: DataFrame, rules: CleanRules) -> Column:
-    """Every number is inside its bound. False, not null, for incomplete rows."""
-    checks = [as_number(df, name) > 0 for name in rules.positive]
-    checks += [as_number(df, name) <= bound for name, bound in rules.not_above.items()]
-    # A non-finite whole number cannot be written as bigint; such rows are invalid, not an error.
-    checks += [as_whole_number(df, name).isNotNull() for name in rules.whole]
-    return F.coalesce(all_of(checks), F.lit(False))
+
+def valid_rows(df: DataFrame, rules: CleanRules = VIDEO_RULES) -> DataFrame:
+    """Rows that pass the number checks, as they are; the bounds are pushed to the scan."""
+    parsed, numbers, whole = _parsed(df, rules)
+    checked = [finite(numbers[name]) for name in (*rules.positive, *rules.not_above)]
+    return parsed.where(all_of([*checked, _valid(rules, numbers, whole)])).select(*df.columns)
+
+
+def _flag(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
 
 
 def _dedup_keys(rules: CleanRules) -> list[str]:
@@ -89,15 +117,15 @@ def stage(df: DataFrame, rules: CleanRules) -> DataFrame:
 
     Done before the one shuffle, so that it moves bigints and two flags instead of number texts.
     """
+    parsed, numbers, whole = _parsed(df, rules)
     used = dict.fromkeys([*rules.order_by, *rules.keys, *rules.text, *rules.output])
-    columns = []
-    for name in used:
-        value = as_whole_number(df, name).alias(name) if name in rules.whole else F.col(name)
-        columns.append(value)
+    columns = [whole[name].alias(name) if name in whole else F.col(name) for name in used]
     if rules.long_keys:
         columns.append(digest(*[F.col(key) for key in rules.keys]).alias("_key"))
-    return df.select(
-        *columns, complete(df, rules).alias("_complete"), valid(df, rules).alias("_valid")
+    return parsed.select(
+        *columns,
+        _complete(rules, numbers).alias("_complete"),
+        _flag(_valid(rules, numbers, whole)).alias("_valid"),
     )
 
 
@@ -122,7 +150,10 @@ def clean(df: DataFrame, rules: CleanRules = VIDEO_RULES) -> DataFrame:
 
 def rejected(df: DataFrame, rules: CleanRules = VIDEO_RULES) -> DataFrame:
     """The rows `clean` leaves out, with all their input columns and the rule that removed them."""
-    flagged = df.withColumns({"_complete": complete(df, rules), "_valid": valid(df, rules)})
+    parsed, numbers, whole = _parsed(df, rules)
+    flagged = parsed.withColumns(
+        {"_complete": _flag(_complete(rules, numbers)), "_valid": _flag(_valid(rules, numbers, whole))}
+    )
     if rules.long_keys:
         flagged = flagged.withColumn("_key", digest(*[F.col(key) for key in rules.keys]))
     incomplete = flagged.where(~F.col("_complete")).withColumn("reason", F.lit(NULL_FIELD))
@@ -148,7 +179,7 @@ def audit(df: DataFrame, rules: CleanRules = VIDEO_RULES) -> DataFrame:
         .groupBy(*_dedup_keys(rules))
         .agg(
             F.count(F.lit(1)).alias("rows"),
-            F.count_if("_complete").alias("complete"),
+            F.count_if(_flag(F.col("_complete"))).alias("complete"),
             F.min(F.when(F.col("_complete"), place)).alias("first"),
         )
     )

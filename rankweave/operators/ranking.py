@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankweave.functions.numeric import any_of, exact_sum
 
@@ -62,15 +63,17 @@ def top_rows_by_metric(df: DataFrame, columns: list[str], metrics: list[str], k:
     Two passes for any number of metrics. The first reads the metrics only: the k-th largest of the
     maxima of hash groups is a lower bound of the k-th largest row. The second reads the other
     columns for rows that reach the bound of some metric, which the scan can skip row groups by.
-    Nothing that belongs to the result can be below its bound, whatever the ties.
+    Nothing that belongs to the result can be below its bound, whatever the ties; only what reaches
+    it is sorted.
     """
     _check(df, *columns, *metrics)
     floors = _floors(df, metrics, k)
-    reaching = df
-    if all(floor is not None for floor in floors.values()):
-        reaching = df.where(any_of([F.col(m) >= F.lit(floor) for m, floor in floors.items()]))
+    if any(floor is None for floor in floors.values()):
+        return _best(_by_metric(df.select(*columns, *metrics), columns, metrics, "value"), columns, "value", k)
+    reaching = df.where(any_of([F.col(m) >= F.lit(floor) for m, floor in floors.items()]))
     rows = _by_metric(reaching.select(*columns, *metrics), columns, metrics, "value")
-    return _best(rows, columns, "value", k)
+    own = [(F.col("metric") == m) & (F.col("value") >= F.lit(floor)) for m, floor in floors.items()]
+    return _best(rows.where(any_of(own)), columns, "value", k)
 
 
 def _floors(df: DataFrame, metrics: list[str], k: int) -> dict[str, object]:
@@ -85,8 +88,11 @@ def _floors(df: DataFrame, metrics: list[str], k: int) -> dict[str, object]:
 
 def _by_metric(df: DataFrame, columns: list[str], metrics: list[str], out: str) -> DataFrame:
     """One row per metric and input row. Unlike `unpivot`, takes metrics of different number types."""
-    types = {df.schema[m].dataType.simpleString() for m in metrics}
-    common = types.pop() if len(types) == 1 else "double"
+    types = {df.schema[m].dataType for m in metrics}
+    if len(types) == 1:
+        common = types.pop()
+    else:
+        common = "bigint" if all(isinstance(t, T.IntegralType) for t in types) else "double"
     pairs = [F.struct(F.lit(m).alias("metric"), F.col(m).cast(common).alias(out)) for m in metrics]
     return df.select(*columns, F.inline(F.array(*pairs)))
 

@@ -48,7 +48,8 @@ def drop_stop_words(counts: DataFrame, stop_words: DataFrame) -> DataFrame:
     """Counts of words that are not in `stop_words`; case matters.
 
     Done after counting: each word is then one row on either side (per group), so the join cannot be
-    skewed, needs no hint, and probes once per word instead of once per occurrence.
+    skewed and needs no hint. Spark moves it in front of the counting when the stop words are few
+    enough to broadcast, and so takes the most frequent words out before the shuffle.
     """
     return counts.join(stop_words.select("word").distinct(), "word", "left_anti")
 

@@ -209,15 +209,15 @@ def q05_dedup_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Rows of one (order, line number) differ in these columns.
-_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"]
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
 _LINE_RULES = cleaning.CleanRules(
     order_by=_LINE,
     keys=["l_orderkey", "l_linenumber"],
     required=["flag"],
     positive=["l_quantity", "l_extendedprice", "l_discount"],
     not_above={"l_tax": 0.04},
-    whole=["l_extendedprice"],
-    output=["l_orderkey", "l_linenumber", "l_extendedprice", "flag"],
+    whole=["l_quantity"],
+    output=["l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "flag"],
 )
 
 
@@ -232,7 +232,7 @@ _LINES_SQL = """
               from lineitem),
     whole as (select *, row_number() over (
                   partition by l_orderkey, l_linenumber
-                  order by l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity) as nth
+                  order by l_partkey, l_suppkey, l_extendedprice, l_shipdate) as nth
               from lines where flag is not null)
 """
 
@@ -244,8 +244,8 @@ _LINES_SQL = """
     """
 )
 def q06_validity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.where(cleaning.valid(lines, _LINE_RULES)).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    lines = cleaning.valid_rows(table(spark, sf_dir, "lineitem"), _LINE_RULES)
+    return lines.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register(
@@ -295,7 +295,7 @@ def q09_clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     f"""
     with {_LINES_SQL}
-    select l_orderkey, l_linenumber, cast(trunc(l_extendedprice) as bigint) as l_extendedprice, flag
+    select l_orderkey, l_linenumber, l_extendedprice, cast(trunc(l_quantity) as bigint) as l_quantity, flag
     from whole where nth = 1 and ok
     """
 )
@@ -313,7 +313,7 @@ def q09_clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def q09_clean_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines(spark, sf_dir).select(*_LINE, "l_discount", "l_tax", "flag")
+    lines = _lines(spark, sf_dir).select(*_LINE, "l_quantity", "l_discount", "l_tax", "flag")
     refused = cleaning.rejected(lines, _LINE_RULES)
     return refused.groupBy("reason", "l_orderkey").agg(F.count(F.lit(1)).alias("n"))
 

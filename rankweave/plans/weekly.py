@@ -15,12 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rankweave.operators import cleaning, learning, ranking, report, statistics, words
 from rankweave.schemas import CLEAN, LEADERBOARD, METRIC_NAMES, METRICS, TEXT_FIELDS
 from rankweave.sinks import write_result, write_table, write_tsv
-from rankweave.sources.envelopes import (
-    documents_without_items,
-    envelope_records,
-    read_payloads,
-    split_payloads,
-)
+from rankweave.sources import envelopes
 from rankweave.sources.tables import read_result, read_tsv, read_word_list
 
 ROW_KEYS = ["up", "title"]
@@ -32,16 +27,16 @@ def _at(uri: str, name: str) -> str:
 
 def clean_issues(spark: SparkSession, landing_uri: str, out_uri: str) -> DataFrame:
     """Clean all issues of a landing folder; returns the clean table as written."""
-    payloads = read_payloads(spark, landing_uri)
-    accepted, refused = split_payloads(payloads)
-    # The parsed records feed three results: written once, not parsed three times.
-    write_table(envelope_records(accepted), _at(out_uri, "raw"))
-    raw = spark.read.parquet(_at(out_uri, "raw"))
+    # Parsed once; records and the two lists of unusable documents are all read from this table.
+    write_table(envelopes.parse_payloads(envelopes.read_payloads(spark, landing_uri)), _at(out_uri, "documents"))
+    documents = spark.read.parquet(_at(out_uri, "documents"))
+    accepted = envelopes.accepted(documents)
+    raw = envelopes.envelope_records(accepted)
     write_table(cleaning.clean(raw), _at(out_uri, "clean"))
     write_table(cleaning.rejected(raw), _at(out_uri, "rejected"))
     write_result(cleaning.audit(raw), _at(out_uri, "audit"))
-    write_table(refused, _at(out_uri, "refused"))
-    write_table(documents_without_items(accepted), _at(out_uri, "without_items"))
+    write_table(envelopes.refused(documents), _at(out_uri, "refused"))
+    write_table(envelopes.documents_without_items(accepted), _at(out_uri, "without_items"))
     clean = spark.read.schema(CLEAN).parquet(_at(out_uri, "clean"))
     write_tsv(clean, _at(out_uri, "clean_tsv"))
     return clean

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankweave.functions.numeric import once
 from rankweave.schemas import BEST_RANK, DISLIKE, ENVELOPE, METRICS
 
 _END = "end"
@@ -29,7 +30,7 @@ def parse_json(df: DataFrame, payload: str, schema: T.StructType | str, out: str
     )
     options = {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}
     text = F.concat(F.lit('{"d":['), F.col(payload), F.lit(f'],"e":"{_END}"}}'))
-    parsed = df.withColumn("_parsed", F.from_json(text, wrapped, options))
+    parsed = df.select("*", once(F.from_json(text, wrapped, options)).alias("_parsed"))
     whole = (
         F.col("_parsed._corrupt").isNull()
         & (F.col("_parsed.e") == _END)
@@ -67,26 +68,52 @@ def _named(lines: DataFrame) -> DataFrame:
     )
 
 
-def split_payloads(
-    df: DataFrame, payload: str = "payload", schema: T.StructType = ENVELOPE
-) -> tuple[DataFrame, DataFrame]:
-    """Accepted documents and quarantine: `(…, doc)` and `(…, payload, reason)`.
+def parse_payloads(df: DataFrame, payload: str = "payload", schema: T.StructType = ENVELOPE) -> DataFrame:
+    """Documents with `doc`, and `payload` and `reason` where one is refused.
 
-    A document with an unusable item is rejected as a whole, like one that does not parse.
+    A document with an unusable item is refused as a whole, like one that does not parse. Write this
+    once and take `accepted` and `refused` from it, to parse each document once.
     """
     parsed = parse_json(df, payload, schema)
-    # Coalesced, as a document without a list has no bad item and must not turn up in neither part.
-    bad_item = F.coalesce(F.exists("doc.data.list", lambda item: item.isNull()), F.lit(False))
-    accepted = parsed.where(F.col("is_valid") & ~bad_item).drop(payload, "is_valid")
-    rejected = parsed.where(~F.col("is_valid") | bad_item).select(
-        *df.columns, F.when(~F.col("is_valid"), "unparseable").otherwise("null_item").alias("reason")
+    reason = F.when(~F.col("is_valid"), "unparseable").when(
+        F.exists("doc.data.list", lambda item: item.isNull()), "null_item"
+    )
+    others = [name for name in df.columns if name != payload]
+    kept = parsed.select(*others, "doc", payload, reason.alias("reason"))
+    return kept.withColumns(
+        {
+            "doc": F.when(F.col("reason").isNull(), F.col("doc")),
+            payload: F.when(F.col("reason").isNotNull(), F.col(payload)),
+        }
     )
-    return accepted, rejected
 
 
-def explode_items(docs: DataFrame, items: Column | str, *keep: Column | str) -> DataFrame:
-    """One row per array element with its position; `keep` columns are repeated."""
-    return docs.select(*keep, F.posexplode(items).alias("pos", "item"))
+def accepted(documents: DataFrame, payload: str = "payload") -> DataFrame:
+    """Documents that can be used, as `doc`."""
+    return documents.where("reason is null").drop(payload, "reason")
+
+
+def refused(documents: DataFrame) -> DataFrame:
+    """Quarantine: documents that cannot be used, as they came, with the reason."""
+    return documents.where("reason is not null").drop("doc")
+
+
+def split_payloads(
+    df: DataFrame, payload: str = "payload", schema: T.StructType = ENVELOPE
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted documents and quarantine of a table of payloads."""
+    documents = parse_payloads(df, payload, schema)
+    return accepted(documents, payload), refused(documents)
+
+
+def explode_items(docs: DataFrame, items: Column | str, **keep: Column) -> DataFrame:
+    """One row `(*keep, pos, item)` per array element.
+
+    What is kept is taken out of the document first, or every row would carry the whole document.
+    """
+    array = F.col(items) if isinstance(items, str) else items
+    flat = docs.select(*[value.alias(name) for name, value in keep.items()], array.alias("_items"))
+    return flat.select(*keep, F.posexplode("_items").alias("pos", "item"))
 
 
 def envelope_records(docs: DataFrame) -> DataFrame:
@@ -94,8 +121,8 @@ def envelope_records(docs: DataFrame) -> DataFrame:
     items = explode_items(
         docs,
         "doc.data.list",
-        "file_name",
-        F.coalesce(F.col("doc.data.config.name"), F.lit("")).alias("period"),
+        file_name=F.col("file_name"),
+        period=F.coalesce(F.col("doc.data.config.name"), F.lit("")),
     )
     return items.select(
         "file_name",

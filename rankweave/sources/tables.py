@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankweave.functions.numeric import all_of
+from rankweave.functions.numeric import all_of, once
 from rankweave.functions.text import strip_unicode
 from rankweave.schemas import CLEAN
 
@@ -18,7 +18,7 @@ def _split_lines(spark: SparkSession, uri: str, schema: T.StructType) -> tuple[D
     Not the CSV reader: titles are free text, and a field that starts with a quote would swallow
     the tabs after it.
     """
-    lines = spark.read.text(uri).select("value", F.split("value", "\t", -1).alias("fields"))
+    lines = spark.read.text(uri).select("value", once(F.split("value", "\t", -1)).alias("fields"))
     right_size = F.size("fields") == len(schema)
     parses = all_of(
         [

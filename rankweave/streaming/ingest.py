@@ -89,10 +89,10 @@ def ingest_issues(
     keys = ["_key"] if rules.long_keys else rules.keys
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        accepted, refused = split_payloads(batch)
-        firsts = first_complete(envelope_records(accepted), rules)
+        usable, unusable = split_payloads(batch)
+        firsts = first_complete(envelope_records(usable), rules)
         write_table(_unseen(firsts, keys, table_uri, batch_id), _batch_folder(table_uri, batch_id))
-        write_table(refused, _batch_folder(rejects_uri, batch_id))
+        write_table(unusable, _batch_folder(rejects_uri, batch_id))
 
     return _start(stream_payloads(spark, landing_uri, True, files_per_batch), each, checkpoint_uri)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from conftest import DATA
+from conftest import DATA, plan
 
 import __spark_entry__ as contract
 
@@ -42,6 +42,8 @@ def test_every_sql_form_has_its_query():
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, database, name):
     df = contract.queries()[name](spark, str(DATA))
+    physical = plan(df)
+    assert "CartesianProduct" not in physical and "NestedLoopJoin" not in physical
     got = [tuple(row) for row in df.collect()]
     sql = contract.oracle_sql().get(name)
     if sql is None:
@@ -53,3 +55,4 @@ def test_query(spark, database, name):
     for column, kind in df.dtypes:
         assert types[column] in SQL_TYPES[kind], column
     assert ordered(df.columns, got) == ordered(want.columns, want.fetchall())
+
