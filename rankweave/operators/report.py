@@ -14,7 +14,8 @@ from rankweave.operators.ranking import (
     top_groups,
     top_rows_by_metric,
 )
-from rankweave.operators.words import drop_stop_words, field_word_counts, top_words
+from rankweave.operators.segment import dictionary_word_counts
+from rankweave.operators.words import by_field, drop_stop_words, field_word_counts, top_words
 from rankweave.storage import fits_broadcast
 
 # Label widths: bars of metric pages and of count pages.
@@ -53,9 +54,22 @@ def count_page(df: DataFrame, key: str, k: int = 10, every: int = COUNT_LABEL) -
     return shown.select(key, wrap_text(F.col(key).cast("string"), every).alias("label"), "count", "percent")
 
 
-def word_weights(df: DataFrame, fields: list[str], stop_words: DataFrame, k: int = 300) -> DataFrame:
-    """`(field, word, count)`: the most frequent words of each text field."""
-    return top_words(drop_stop_words(field_word_counts(df, fields), stop_words), k, "field")
+def word_weights(
+    df: DataFrame,
+    fields: list[str],
+    stop_words: DataFrame,
+    k: int = 300,
+    dictionary: DataFrame | None = None,
+) -> DataFrame:
+    """`(field, word, count)`: the most frequent words of each text field.
+
+    With a `dictionary` `(word, freq)`, runs of Han characters are cut into its words.
+    """
+    if dictionary is None:
+        counts = field_word_counts(df, fields)
+    else:
+        counts = dictionary_word_counts(by_field(df, fields), "text", dictionary, ["field"])
+    return top_words(drop_stop_words(counts, stop_words), k, "field")
 
 
 def correlation_triples(long: DataFrame, names: dict[str, str], digits: int = 2) -> DataFrame:
@@ -102,7 +116,8 @@ def lookup_names(df: DataFrame, names: DataFrame, code: str, label: str, salts:
     """Left join of display names `(code, label)`; an unknown code is its own label.
 
     The names are broadcast when counting shows that they are few. Otherwise both sides are
-    shuffled, with the rows of one code spread over `salts` keys and each name repeated for them.
+    shuffled, with the rows of one code spread over `salts` keys and each name repeated for them. The
+    salt is taken from the row, so a retried task gives the same; rows equal in every column share it.
     """
     unique = names.groupBy(code).agg(F.min(label).alias(label))
     if fits_broadcast(unique):

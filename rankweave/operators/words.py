@@ -17,7 +17,7 @@ def tokenize(df: DataFrame, text: str, keep: list[str] | None = None, min_length
     `length` counts code points, so the filter also drops runs of one letter; '' goes with them.
     """
     rows = df.select(*(keep or []), F.explode(words(F.col(text))).alias("word"))
-    return rows.where(F.length("word") >= min_length)
+    return rows.where(F.length("word") >= max(min_length, 1))
 
 
 def tokenize_with(
@@ -36,7 +36,7 @@ def tokenize_with(
         return texts.map(lambda value: list(cut(value)) if value else [])
 
     rows = df.select(*(keep or []), F.explode(cut_batch.asNondeterministic()(F.col(text))).alias("word"))
-    return rows.withColumn("word", strip_unicode(F.col("word"))).where(F.length("word") >= min_length)
+    return rows.withColumn("word", strip_unicode(F.col("word"))).where(F.length("word") >= max(min_length, 1))
 
 
 def word_counts(tokens: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -64,8 +64,12 @@ def top_words(counts: DataFrame, k: int = 300, by: str | None = None) -> DataFra
     return ranked.select(by, "word", "count")
 
 
-def field_word_counts(df: DataFrame, fields: list[str], min_length: int = 2) -> DataFrame:
-    """`(field, word, count)` for several text columns from one pass over the table."""
+def by_field(df: DataFrame, fields: list[str]) -> DataFrame:
+    """`(field, text)`: several text columns as rows, from one pass over the table."""
     texts = [F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields]
-    tagged = df.select(F.inline(F.array(*texts)))
-    return word_counts(tokenize(tagged, "text", ["field"], min_length), ["field"])
+    return df.select(F.inline(F.array(*texts)))
+
+
+def field_word_counts(df: DataFrame, fields: list[str], min_length: int = 2) -> DataFrame:
+    """`(field, word, count)` for several text columns."""
+    return word_counts(tokenize(by_field(df, fields), "text", ["field"], min_length), ["field"])

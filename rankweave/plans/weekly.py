@@ -16,7 +16,7 @@ from rankweave.operators import cleaning, learning, ranking, report, statistics,
 from rankweave.schemas import CLEAN, LEADERBOARD, METRIC_NAMES, METRICS, TEXT_FIELDS
 from rankweave.sinks import write_result, write_table, write_tsv
 from rankweave.sources import envelopes
-from rankweave.sources.tables import read_result, read_tsv, read_word_list
+from rankweave.sources.tables import read_dictionary, read_result, read_tsv, read_word_list
 
 ROW_KEYS = ["up", "title"]
 
@@ -50,8 +50,13 @@ def open_clean(spark: SparkSession, uri: str, view: str | None = "data") -> Data
     return df
 
 
-def rank(clean: DataFrame, out_uri: str, stop_words_uri: str | None = None) -> None:
-    """Count, metric and word tables: two groupings, two metric passes and one text pass."""
+def rank(
+    clean: DataFrame, out_uri: str, stop_words_uri: str | None = None, dictionary_uri: str | None = None
+) -> None:
+    """Count, metric and word tables: two groupings, three metric passes and one text pass.
+
+    Without a dictionary a word is a run of letters and digits; give one for texts without spaces.
+    """
     spark = clean.sparkSession
     write_result(ranking.top_groups(clean, "up"), _at(out_uri, "popular_up"))
     write_result(ranking.top_groups(clean, "tname"), _at(out_uri, "popular_subject"))
@@ -67,7 +72,9 @@ def rank(clean: DataFrame, out_uri: str, stop_words_uri: str | None = None) -> N
         write_result(largest.select("up", "total"), _at(out_uri, f"{metric}_up"))
 
     stop_words = read_word_list(spark, stop_words_uri)
-    write_table(report.word_weights(clean, TEXT_FIELDS, stop_words), _at(out_uri, "word_weights"))
+    dictionary = read_dictionary(spark, dictionary_uri) if dictionary_uri else None
+    weighted = report.word_weights(clean, TEXT_FIELDS, stop_words, dictionary=dictionary)
+    write_table(weighted, _at(out_uri, "word_weights"))
     weights = spark.read.parquet(_at(out_uri, "word_weights"))
     for name in TEXT_FIELDS:
         top = words.top_words(weights.where(weights.field == name))

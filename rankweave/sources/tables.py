@@ -75,3 +75,11 @@ def read_word_list(spark: SparkSession, uri: str | None) -> DataFrame:
             return empty
         raise
     return lines.select(strip_unicode(F.col("value")).alias("word")).where("word <> ''").distinct()
+
+
+def read_dictionary(spark: SparkSession, uri: str) -> DataFrame:
+    """`(word, freq)` from lines `word freq` or `word freq tag`; a word without a number counts once."""
+    parts = F.split(strip_unicode(F.col("value")), r"\s+")
+    lines = spark.read.text(uri).select(once(parts).alias("parts"))
+    freq = F.coalesce(F.get("parts", 1).try_cast("bigint"), F.lit(1))
+    return lines.select(F.get("parts", 0).alias("word"), freq.alias("freq")).where("word <> ''")

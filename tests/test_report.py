@@ -27,6 +27,10 @@ def test_word_weights(spark):
     stop = spark.createDataFrame([("the",)], "word string")
     got = report.word_weights(df, ["title", "desc"], stop, 1)
     assert rows(got) == [("desc", "cc", 1), ("title", "aa", 2)]
+    han = spark.createDataFrame([("中国游戏", "the 游戏")], "title string, desc string")
+    dictionary = spark.createDataFrame([("中国", 5), ("游戏", 4)], "word string, freq long")
+    got = report.word_weights(han, ["title", "desc"], stop, 300, dictionary)
+    assert rows(got) == [("desc", "游戏", 1), ("title", "中国", 1), ("title", "游戏", 1)]
 
 
 def test_correlation_triples_and_wide_matrix(spark):

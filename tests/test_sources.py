@@ -118,3 +118,8 @@ def test_parse_json_takes_ddl(spark, payload):
     df = spark.createDataFrame([(payload,)], "p string")
     parsed = envelopes.parse_json(df, "p", "k bigint").select(F.col("doc.k"), "is_valid")
     assert rows(parsed) == [(1, True)]
+
+
+def test_dictionary(spark, tmp_path):
+    write(tmp_path, "dict.txt", "中国 100 ns\n游戏 8\n\nplain\n")
+    assert rows(tables.read_dictionary(spark, str(tmp_path / "dict.txt"))) == [("plain", 1), ("中国", 100), ("游戏", 8)]
