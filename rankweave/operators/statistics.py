@@ -18,6 +18,8 @@ MOST_RANGES = 1000
 RANGE_PICKS = 16_384
 # A value on more than 1/HOT_SHARE of the rows is hot; there are at most HOT_SHARE such values.
 HOT_SHARE = 1000
+# Keys the rows of one hot value are spread over.
+SALTS = 256
 
 
 def _profile(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
@@ -73,22 +75,25 @@ def running_before(
 
 
 def _attach_rank(
-    rows: DataFrame, ranks: DataFrame, column: str, out: str, distinct: int, n: int
+    rows: DataFrame, counts: DataFrame, ranks: DataFrame, column: str, out: str, distinct: int, n: int
 ) -> DataFrame:
-    """Add the centred rank of `column`. `ranks` is `(value, w, rank)`, one row per value."""
+    """Add the centred rank of `column`.
+
+    `counts` is `(value, w)` and `ranks` is `(value, w, rank)`, both with one row per value. Few values
+    are broadcast; the estimate of their number is within a few percent. Many are shuffled by value,
+    with the rows of a hot value spread over SALTS keys and its rank repeated for each of them. The
+    list of hot values has at most HOT_SHARE rows, so it can be broadcast.
+    """
     named = ranks.select(F.col("value").alias(column), "w", F.col("rank").alias(out))
     if distinct <= BROADCAST_ROWS:
         return rows.join(F.broadcast(named.drop("w")), column)
-    # Many values: shuffle by value. Hot values, at most HOT_SHARE of them, are looked up from a
-    # broadcast, and their rows are spread over all tasks by a key part that matches nothing.
-    hot = named.where(F.col("w") * HOT_SHARE > n).select(column, F.col(out).alias("_hot"))
-    cold = named.select(column, F.lit(0).alias("_salt"), F.col(out).alias("_cold"))
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(2**20)) + 1
-    salted = rows.join(F.broadcast(hot), column, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(spread).cast("int")
-    )
-    joined = salted.join(cold, [column, "_salt"], "left")
-    return joined.withColumn(out, F.coalesce("_hot", "_cold")).drop("_salt", "_hot", "_cold")
+    is_hot = F.col("w") * HOT_SHARE > n
+    hot = counts.where(is_hot).select(F.col("value").alias(column), F.lit(True).alias("_hot"))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    salted = rows.join(F.broadcast(hot), column, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = named.select(column, F.explode(salts).alias("_salt"), out)
+    return salted.join(repeated, [column, "_salt"]).drop("_salt", "_hot")
 
 
 def spearman(df: DataFrame, features: list[str]) -> DataFrame:
@@ -109,7 +114,7 @@ def spearman(df: DataFrame, features: list[str]) -> DataFrame:
         before = running_before(counts, "value", ["w"], limits)
         centred = F.col("before_w") + (F.col("w") + 1) / 2.0 - F.lit((n + 1) / 2.0)
         ranks = before.select("value", "w", centred.cast("double").alias("rank"))
-        ranked = _attach_rank(ranked, ranks, feature, f"_r{i}", distinct[feature], n)
+        ranked = _attach_rank(ranked, counts, ranks, feature, f"_r{i}", distinct[feature], n)
     products = [(i, i) for i in range(len(features))] + list(combinations(range(len(features)), 2))
     sums = ranked.agg(
         *[F.sum(F.col("_weight") * F.col(f"_r{i}") * F.col(f"_r{j}")).alias(f"s_{i}_{j}") for i, j in products]

@@ -210,7 +210,7 @@ def q05_dedup_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Rows of one (order, line number) differ in these columns.
 _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
-_LINE_RULES = cleaning.CleanRules(
+LINE_RULES = cleaning.CleanRules(
     order_by=_LINE,
     keys=["l_orderkey", "l_linenumber"],
     required=["flag"],
@@ -244,7 +244,7 @@ _LINES_SQL = """
     """
 )
 def q06_validity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = cleaning.valid_rows(table(spark, sf_dir, "lineitem"), _LINE_RULES)
+    lines = cleaning.valid_rows(table(spark, sf_dir, "lineitem"), LINE_RULES)
     return lines.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -289,7 +289,7 @@ def q08_fill_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def q09_clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.audit(_lines(spark, sf_dir), _LINE_RULES)
+    return cleaning.audit(_lines(spark, sf_dir), LINE_RULES)
 
 
 @register(
@@ -300,7 +300,7 @@ def q09_clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def q09_clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean(_lines(spark, sf_dir), _LINE_RULES)
+    return cleaning.clean(_lines(spark, sf_dir), LINE_RULES)
 
 
 @register(
@@ -314,7 +314,7 @@ def q09_clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q09_clean_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir).select(*_LINE, "l_quantity", "l_discount", "l_tax", "flag")
-    refused = cleaning.rejected(lines, _LINE_RULES)
+    refused = cleaning.rejected(lines, LINE_RULES)
     return refused.groupBy("reason", "l_orderkey").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -430,6 +430,15 @@ def q11_group_count_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.top_groups(table(spark, sf_dir, "orders"), "o_custkey", out="n")
 
 
+@register("select o_custkey, count(o_custkey) as n from orders group by 1 order by n desc, o_custkey limit 10")
+def q11_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a registered view."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("data")
+    return spark.sql(
+        "SELECT o_custkey, COUNT(o_custkey) AS n FROM data GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 10"
+    )
+
+
 @register("select p_type, count(p_type) as n from part group by 1 order by n desc, p_type limit 10")
 def q11_category_count_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.top_groups(table(spark, sf_dir, "part"), "p_type", out="n")
@@ -573,9 +582,11 @@ def q16_stopword_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def q16_word_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word-weight lists of several text columns of one table."""
+    """Word-weight lists of several text columns of one table; the stop words go through a file."""
+    uri = new_folder(spark, "stop_words")
+    _stop_words(spark, sf_dir).write.text(uri)
     talks = table(spark, sf_dir, "conversations")
-    return report.word_weights(talks, ["role", "text"], _stop_words(spark, sf_dir))
+    return report.word_weights(talks, ["role", "text"], tables.read_word_list(spark, uri))
 
 
 # --- statistics and learning -----------------------------------------------------------------------
@@ -610,6 +621,17 @@ def q18_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learning.with_split(table(spark, sf_dir, "orders"), ["o_orderkey"]).select("o_orderkey", "is_train")
 
 
+@register(
+    """
+    select substr(md5(cast(o_orderkey as varchar)), 1, 8) < 'cccccccc' as is_train, count(*) as n
+    from orders group by 1
+    """
+)
+def q18_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = learning.with_split(table(spark, sf_dir, "orders"), ["o_orderkey"])
+    return marked.groupBy("is_train").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _spearman_sql(features: list[str]) -> str:
     ranks = ", ".join(
         f"rank() over (order by {f}) + (count(*) over (partition by {f}) - 1) / 2.0 as r{i}"

@@ -19,6 +19,7 @@ from rankweave.sources import envelopes
 from rankweave.sources.tables import read_dictionary, read_result, read_tsv, read_word_list
 
 ROW_KEYS = ["up", "title"]
+TOP = 10
 
 
 def _at(uri: str, name: str) -> str:
@@ -58,17 +59,17 @@ def rank(
     Without a dictionary a word is a run of letters and digits; give one for texts without spaces.
     """
     spark = clean.sparkSession
-    write_result(ranking.top_groups(clean, "up"), _at(out_uri, "popular_up"))
-    write_result(ranking.top_groups(clean, "tname"), _at(out_uri, "popular_subject"))
+    write_result(ranking.top_groups(clean, "up", TOP), _at(out_uri, "popular_up"))
+    write_result(ranking.top_groups(clean, "tname", TOP), _at(out_uri, "popular_subject"))
 
-    write_table(ranking.top_rows_by_metric(clean, ["title"], METRICS), _at(out_uri, "metric_rows"))
-    write_table(ranking.top_group_sums_by_metric(clean, "up", METRICS), _at(out_uri, "metric_totals"))
+    write_table(ranking.top_rows_by_metric(clean, ["title"], METRICS, TOP), _at(out_uri, "metric_rows"))
+    write_table(ranking.top_group_sums_by_metric(clean, "up", METRICS, TOP), _at(out_uri, "metric_totals"))
     rows = spark.read.parquet(_at(out_uri, "metric_rows"))
     totals = spark.read.parquet(_at(out_uri, "metric_totals"))
     for metric in METRICS:
-        best = rows.where(rows.metric == metric).orderBy("rank")
+        best = rows.where(rows.metric == metric).orderBy("rank").limit(TOP)
         write_result(best.select("title", best.value.alias(metric)), _at(out_uri, f"{metric}_video"))
-        largest = totals.where(totals.metric == metric).orderBy("rank")
+        largest = totals.where(totals.metric == metric).orderBy("rank").limit(TOP)
         write_result(largest.select("up", "total"), _at(out_uri, f"{metric}_up"))
 
     stop_words = read_word_list(spark, stop_words_uri)

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rankweave.operators.cleaning import VIDEO_RULES, CleanRules, finish, first_complete
 from rankweave.operators.dedup import keep_first
 from rankweave.sinks import write_table
-from rankweave.sources.envelopes import envelope_records, split_payloads, stream_payloads
+from rankweave.sources.envelopes import accepted, envelope_records, parse_payloads, stream_payloads
 
 BATCH = "batch_id"
 
@@ -76,7 +76,7 @@ def ingest_issues(
     spark: SparkSession,
     landing_uri: str,
     table_uri: str,
-    rejects_uri: str,
+    documents_uri: str,
     checkpoint_uri: str,
     rules: CleanRules = VIDEO_RULES,
     files_per_batch: int | None = None,
@@ -84,15 +84,17 @@ def ingest_issues(
     """Parse and stage each issue that arrives; read the result with `ingested`.
 
     The table keeps the first complete row of each key with its validity flag, as an invalid first
-    row still shadows later ones. Documents that do not parse go to `rejects_uri`.
+    row still shadows later ones. Each document is parsed once, into `documents_uri`; `refused` of that
+    table is the quarantine.
     """
     keys = ["_key"] if rules.long_keys else rules.keys
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        usable, unusable = split_payloads(batch)
-        firsts = first_complete(envelope_records(usable), rules)
+        folder = _batch_folder(documents_uri, batch_id)
+        write_table(parse_payloads(batch), folder)
+        documents = batch.sparkSession.read.parquet(folder)
+        firsts = first_complete(envelope_records(accepted(documents)), rules)
         write_table(_unseen(firsts, keys, table_uri, batch_id), _batch_folder(table_uri, batch_id))
-        write_table(unusable, _batch_folder(rejects_uri, batch_id))
 
     return _start(stream_payloads(spark, landing_uri, True, files_per_batch), each, checkpoint_uri)
 

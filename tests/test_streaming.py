@@ -4,7 +4,7 @@ from conftest import rows
 from issues import write_issues
 
 from rankweave.operators import cleaning
-from rankweave.sources.envelopes import envelope_records, read_payloads, split_payloads
+from rankweave.sources.envelopes import envelope_records, read_payloads, refused, split_payloads
 from rankweave.streaming.ingest import ingest_issues, ingested, keep_first_stream
 
 
@@ -14,7 +14,7 @@ def batch_result(spark, landing):
 
 
 def run(spark, tmp_path, landing, files_per_batch=None):
-    uris = [str(tmp_path / name) for name in ("table", "rejects", "checkpoint")]
+    uris = [str(tmp_path / name) for name in ("table", "documents", "checkpoint")]
     ingest_issues(spark, str(landing), *uris, files_per_batch=files_per_batch).awaitTermination()
     return uris
 
@@ -22,9 +22,10 @@ def run(spark, tmp_path, landing, files_per_batch=None):
 def test_one_batch_equals_the_batch_job(spark, tmp_path):
     landing = tmp_path / "landing"
     write_issues(landing, 6)
-    table, rejects, _ = run(spark, tmp_path, landing)
+    table, documents, _ = run(spark, tmp_path, landing)
     assert rows(ingested(spark, table)) == rows(batch_result(spark, landing))
-    assert rows(spark.read.parquet(rejects).select("file_name", "reason")) == [("issue_broken.json", "unparseable")]
+    quarantine = refused(spark.read.parquet(documents))
+    assert rows(quarantine.select("file_name", "reason")) == [("issue_broken.json", "unparseable")]
 
 
 def test_many_batches_keep_one_row_per_key_and_restart_adds_only_new(spark, tmp_path):

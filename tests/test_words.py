@@ -118,3 +118,15 @@ def test_empty_dictionary_cuts_into_characters(spark, both_ways):
     df = spark.createDataFrame([("中国",)], "piece string")
     empty = spark.createDataFrame([], "word string, freq long")
     assert [r["words"] for r in segment.segment(df, empty).collect()] == [["中", "国"]]
+
+
+def test_the_path_finder_travels_without_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "find").write_bytes(cloudpickle.dumps(segment.path_finder(-5.0, segment.LIKELIEST)))
+    code = "import pickle; print(pickle.load(open('find', 'rb'))('abc', {0: [(2, -1.0)]}))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={})
+    assert done.stdout.strip() == "['ab', 'c']", done.stderr
