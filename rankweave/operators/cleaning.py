@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rankweave.functions.numeric import all_of, finite, is_text, once, parsed_number, whole_number
 from rankweave.functions.text import clean_text, digest, fill_empty
-from rankweave.operators.dedup import keep_first, mark_first
+from rankweave.operators.dedup import keep_first, mark_first, within
 from rankweave.schemas import BEST_RANK, CLEAN, DISLIKE, METRICS
 
 
@@ -173,10 +173,11 @@ def audit(df: DataFrame, rules: CleanRules = VIDEO_RULES) -> DataFrame:
     flags = {"_valid": F.col("_valid")}
     for target in rules.fill:
         flags[f"_empty_{target}"] = clean_text(F.col(target)) == ""
-    place = F.struct(*rules.order_by, *[value.alias(name) for name, value in flags.items()])
+    keys = _dedup_keys(rules)
+    place = F.struct(*within(keys, rules.order_by), *[value.alias(name) for name, value in flags.items()])
     groups = (
         stage(df, rules)
-        .groupBy(*_dedup_keys(rules))
+        .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_if(_flag(F.col("_complete"))).alias("complete"),

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def within(keys: list[str], order_by: list[str]) -> list[str]:
+    """The order columns that can differ between rows of one key."""
+    return [name for name in order_by if name not in keys] or order_by
+
+
 def keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """The first row per key in the given order; null keys are equal to each other.
 
@@ -13,14 +18,15 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame
     group limit before the shuffle, so each map task sends at most one row per key: a key that holds
     a large share of the table costs one row per task. For long text keys give a `digest` column.
     """
-    window = Window.partitionBy(*keys).orderBy(*order_by)
+    window = Window.partitionBy(*keys).orderBy(*within(keys, order_by))
     return df.withColumn("_nth", F.row_number().over(window)).where("_nth = 1").drop("_nth")
 
 
 def first_rows(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """Only the `order_by` values of each key's first row. They must identify a row."""
-    place = F.struct(*order_by)
-    return df.groupBy(*keys).agg(F.min(place).alias("_place")).select("_place.*")
+    """Only the `order_by` values of each key's first row. They must identify a row and not be null."""
+    inner = within(keys, order_by)
+    firsts = df.groupBy(*keys).agg(F.min(F.struct(*inner)).alias("_place"))
+    return firsts.select(*[F.col(f"_place.{name}" if name in inner else name) for name in order_by])
 
 
 def mark_first(df: DataFrame, keys: list[str], order_by: list[str], out: str) -> DataFrame:

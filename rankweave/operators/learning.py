@@ -50,11 +50,10 @@ def prepare(
     features: list[str] = METRICS,
     label_column: str = BEST_RANK,
     at_most: float = TOP_RANK,
-) -> tuple[DataFrame, DataFrame]:
-    """Labelled, assembled training and test rows."""
+) -> DataFrame:
+    """`(features, label, is_train)` of each row."""
     labelled = with_split(with_label(df, label_column, at_most), keys)
-    vectors = assemble(labelled, features, ["label", "is_train"])
-    return vectors.where("is_train").drop("is_train"), vectors.where("not is_train").drop("is_train")
+    return assemble(labelled, features, ["label", "is_train"])
 
 
 def classifiers(seed: int = 42) -> dict:
@@ -68,11 +67,12 @@ def classifiers(seed: int = 42) -> dict:
     }
 
 
-def leaderboard(train: DataFrame, test: DataFrame, models: dict | None = None, digits: int = 4) -> DataFrame:
-    """`(model, accuracy, auc)`, one row per model.
+def leaderboard(prepared: DataFrame, models: dict | None = None, digits: int = 4) -> DataFrame:
+    """`(model, accuracy, auc)` on the test rows, one row per model.
 
-    Fitting is iterative, so both sets are kept in memory with spill to disk; lost blocks are
-    computed again. Only the two measures per model come to the driver.
+    Fitting is iterative, so the prepared rows are kept in memory with spill to disk, read from their
+    source once for both parts and all models; lost blocks are computed again. Only the two measures
+    per model come to the driver.
     """
     accuracy = MulticlassClassificationEvaluator(
         labelCol="label", predictionCol="prediction", metricName="accuracy"
@@ -80,8 +80,8 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict | None = None, d
     auc = BinaryClassificationEvaluator(
         labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"
     )
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = prepared.where("is_train"), prepared.where("not is_train")
     rows = []
     try:
         for name, classifier in (models or classifiers()).items():
@@ -92,6 +92,5 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict | None = None, d
             finally:
                 scored.unpersist()
     finally:
-        train.unpersist()
-        test.unpersist()
-    return train.sparkSession.createDataFrame(rows, LEADERBOARD)
+        prepared.unpersist()
+    return prepared.sparkSession.createDataFrame(rows, LEADERBOARD)

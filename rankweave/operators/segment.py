@@ -76,7 +76,8 @@ def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST)
         "word", (F.log(F.greatest(F.coalesce("freq", F.lit(1.0)), F.lit(1.0))) + unknown).alias("weight")
     )
     # Cutting is heavy for its bytes: a fixed count, which runtime coalescing by size leaves alone.
-    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = distinct.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     distinct = distinct.repartition(tasks, "piece")
     if size <= MOST_WORDS:
         return _segment_by_broadcast(distinct, weights, unknown, method)

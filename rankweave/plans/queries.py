@@ -719,9 +719,10 @@ def q22_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "marks": _share_of_letters(r"[^\p{P}]"),
     }
     docs = _labelled_documents(spark, sf_dir)
-    values = docs.select("doc_id", "quality", *[value.alias(name) for name, value in features.items()])
-    train, test = learning.prepare(values.withColumn("miss", 1 - F.col("quality")), ["doc_id"], list(features), "miss", 0)
-    return learning.leaderboard(train, test)
+    values = docs.select(
+        "doc_id", (1 - F.col("quality")).alias("miss"), *[value.alias(name) for name, value in features.items()]
+    )
+    return learning.leaderboard(learning.prepare(values, ["doc_id"], list(features), "miss", 0))
 
 
 # --- report tables ---------------------------------------------------------------------------------

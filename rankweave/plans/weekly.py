@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankweave.functions.text import display_name
 from rankweave.operators import cleaning, learning, ranking, report, statistics, words
 from rankweave.schemas import CLEAN, LEADERBOARD, METRIC_NAMES, METRICS, TEXT_FIELDS
 from rankweave.sinks import write_result, write_table, write_tsv
@@ -27,9 +28,15 @@ def _at(uri: str, name: str) -> str:
 
 
 def clean_issues(spark: SparkSession, landing_uri: str, out_uri: str) -> DataFrame:
-    """Clean all issues of a landing folder; returns the clean table as written."""
+    """Clean all issues of a landing folder, one JSON file each; returns the clean table as written."""
+    return clean_payloads(envelopes.read_payloads(spark, landing_uri), out_uri)
+
+
+def clean_payloads(payloads: DataFrame, out_uri: str) -> DataFrame:
+    """The same for a landing table `(file_name, payload)` whose file names (or URLs) are unique."""
+    spark = payloads.sparkSession
     # Parsed once; records and the two lists of unusable documents are all read from this table.
-    write_table(envelopes.parse_payloads(envelopes.read_payloads(spark, landing_uri)), _at(out_uri, "documents"))
+    write_table(envelopes.parse_payloads(payloads), _at(out_uri, "documents"))
     documents = spark.read.parquet(_at(out_uri, "documents"))
     accepted = envelopes.accepted(documents)
     raw = envelopes.envelope_records(accepted)
@@ -88,15 +95,16 @@ def compare(clean: DataFrame, out_uri: str, models: dict | None = None) -> None:
     write_table(long, _at(out_uri, "correlation_long"))
     stored = clean.sparkSession.read.parquet(_at(out_uri, "correlation_long"))
     write_result(statistics.correlation_matrix(stored, METRICS), _at(out_uri, "correlation"))
-    train, test = learning.prepare(clean, ROW_KEYS)
-    write_result(learning.leaderboard(train, test, models), _at(out_uri, "classifier_performance"))
+    prepared = learning.prepare(clean, ROW_KEYS)
+    write_result(learning.leaderboard(prepared, models), _at(out_uri, "classifier_performance"))
 
 
 def chart_tables(clean: DataFrame, results_uri: str) -> dict[str, DataFrame]:
     """Chart tables by name. One whose result was never written is left out."""
     spark = clean.sparkSession
+    pages = report.metric_pages(clean, METRICS, "title", "up")
     tables = {
-        "metric_pages": report.metric_pages(clean, METRICS, "title", "up"),
+        "metric_pages": pages.withColumn("metric_name", display_name(pages["metric"], METRIC_NAMES)),
         "subject": report.count_page(clean, "tname"),
         "up_count": report.count_page(clean, "up"),
     }

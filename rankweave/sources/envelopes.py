@@ -47,7 +47,8 @@ def parse_json(df: DataFrame, payload: str, schema: T.StructType | str, out: str
 def read_payloads(spark: SparkSession, uri: str, one_per_file: bool = True) -> DataFrame:
     """`(file_name, payload)` for each file, or for each line of each file.
 
-    Files of zero bytes give no row: Spark's file sources pass over them.
+    Files of zero bytes give no row: Spark's file sources pass over them. Lines of one file share its
+    name; cleaning needs a name per document, so take it from the payload there.
     """
     return _named(spark.read.text(uri, wholetext=one_per_file))
 

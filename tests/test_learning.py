@@ -39,13 +39,13 @@ def test_leaderboard_on_separable_rows(spark):
         (1000 - 40 * (F.col("id") % 20) + F.col("id") % 7).cast("double").alias("view"),
         (F.col("id") % 13).cast("double").alias("like"),
     )
-    train, test = learning.prepare(df, ["key"], ["view", "like"])
-    assert train.count() + test.count() == 400
-    board = learning.leaderboard(train, test)
+    prepared = learning.prepare(df, ["key"], ["view", "like"])
+    assert prepared.columns == ["features", "label", "is_train"] and prepared.count() == 400
+    board = learning.leaderboard(prepared)
     assert board.columns == ["model", "accuracy", "auc"]
     got = board.collect()
     assert [r["model"] for r in got] == ["LogisticRegression", "DecisionTree", "RandomForest", "GBT"]
     for row in got:
         assert 0 <= row["accuracy"] <= 1 and row["accuracy"] == round(row["accuracy"], 4)
         assert row["auc"] > 0.9
-    assert not train.is_cached
+    assert not prepared.is_cached

@@ -8,6 +8,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from rankweave.operators import ranking
 from rankweave.plans import weekly
 from rankweave.schemas import METRICS, TEXT_FIELDS
+from rankweave.sources import envelopes
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +89,10 @@ def test_chart_tables(spark, week):
 def test_missing_results_are_left_out(spark, week, tmp_path):
     _, clean, _ = week
     assert set(weekly.chart_tables(clean, str(tmp_path))) == {"metric_pages", "subject", "up_count"}
+
+
+def test_a_landing_table_gives_the_same_rows_as_files(spark, week, tmp_path):
+    root, clean, _ = week
+    landing = str(tmp_path / "landing")
+    envelopes.read_payloads(spark, str(root / "landing")).repartition(5).write.parquet(landing)
+    assert rows(weekly.clean_payloads(spark.read.parquet(landing), str(tmp_path / "out"))) == rows(clean)
