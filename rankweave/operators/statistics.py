@@ -29,20 +29,31 @@ def _profile(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
     return row["n"], {c: row[f"d{i}"] for i, c in enumerate(columns)}
 
 
-def _range_limits(df: DataFrame, column: str, distinct: int) -> list[float]:
-    """Values that split the distinct values of a column into ranges of about equal size.
+def _stacked(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+    """`(*keep, place, value)`: several double columns as rows, by place in the list, from one pass."""
+    pairs = [F.struct(F.lit(i).alias("place"), F.col(c).alias("value")) for i, c in enumerate(columns)]
+    return df.select(*keep, F.inline(F.array(*pairs)))
+
+
+def _range_limits(df: DataFrame, distinct: dict[str, int]) -> dict[str, list[float]]:
+    """Per column, values that split its distinct values into ranges of about equal size.
 
     Limits only spread the work: results are exact for any limits. One value is picked from each hash
     group, the one with the smallest hash, which is an even choice among the distinct values whatever
     their frequency. The limits go through the driver so that all steps and retries use the same.
     """
-    ranges = min(MOST_RANGES, -(-distinct // VALUES_PER_RANGE))
-    if ranges <= 1:
-        return []
-    code = F.xxhash64(column)
-    picks = df.groupBy(F.pmod(code, F.lit(RANGE_PICKS))).agg(F.min_by(column, code).alias("value"))
-    values = sorted(row["value"] for row in picks.collect())
-    return sorted({values[len(values) * i // ranges] for i in range(1, ranges)})
+    ranges = {c: min(MOST_RANGES, -(-d // VALUES_PER_RANGE)) for c, d in distinct.items()}
+    split = [c for c, count in ranges.items() if count > 1]
+    limits = {c: [] for c in distinct}
+    if not split:
+        return limits
+    code = F.xxhash64("value")
+    groups = _stacked(df, split).groupBy("place", F.pmod(code, F.lit(RANGE_PICKS)))
+    picks = groups.agg(F.min_by("value", code).alias("value")).select("place", "value").collect()
+    for i, c in enumerate(split):
+        values = sorted(value for place, value in picks if place == i)
+        limits[c] = sorted({values[len(values) * i // ranges[c]] for i in range(1, ranges[c])})
+    return limits
 
 
 def running_before(
@@ -74,26 +85,37 @@ def running_before(
     return joined.withColumns(whole).drop("_range", *[f"_lower_{a}" for a in amounts])
 
 
-def _attach_rank(
-    rows: DataFrame, counts: DataFrame, ranks: DataFrame, column: str, out: str, distinct: int, n: int
+def _centred_rank(before: str, n: int) -> Column:
+    """Middle rank of a value with `w` rows, `before` rows below it, less the mean rank (n + 1) / 2."""
+    return (F.col(before) + (F.col("w") + 1) / 2.0 - F.lit((n + 1) / 2.0)).cast("double")
+
+
+def _ranks_of_few(merged: DataFrame, columns: list[str], n: int) -> DataFrame:
+    """`(place, value, rank)` of columns with at most BROADCAST_ROWS values each, from one pass."""
+    counts = _stacked(merged, columns, "_weight").groupBy("place", "value").agg(F.sum("_weight").alias("w"))
+    lower = Window.partitionBy("place").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("before", F.coalesce(F.sum("w").over(lower), F.lit(0)))
+    return before.select("place", "value", _centred_rank("before", n).alias("rank"))
+
+
+def _attach_rank_of_many(
+    rows: DataFrame, merged: DataFrame, column: str, out: str, limits: list[float], n: int
 ) -> DataFrame:
-    """Add the centred rank of `column`.
+    """Add the centred rank of a column with many values, by a shuffle on the value.
 
-    `counts` is `(value, w)` and `ranks` is `(value, w, rank)`, both with one row per value. Few values
-    are broadcast; the estimate of their number is within a few percent. Many are shuffled by value,
-    with the rows of a hot value spread over SALTS keys and its rank repeated for each of them. The
+    The rows of a hot value are spread over SALTS keys and its rank is repeated for each of them. The
     list of hot values has at most HOT_SHARE rows, so it can be broadcast.
     """
-    named = ranks.select(F.col("value").alias(column), "w", F.col("rank").alias(out))
-    if distinct <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(named.drop("w")), column)
+    counts = merged.groupBy(F.col(column).alias("value")).agg(F.sum("_weight").alias("w"))
     is_hot = F.col("w") * HOT_SHARE > n
     hot = counts.where(is_hot).select(F.col("value").alias(column), F.lit(True).alias("_hot"))
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
     salted = rows.join(F.broadcast(hot), column, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0))
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    repeated = named.select(column, F.explode(salts).alias("_salt"), out)
-    return salted.join(repeated, [column, "_salt"]).drop("_salt", "_hot")
+    ranks = running_before(counts, "value", ["w"], limits).select(
+        F.col("value").alias(column), _centred_rank("before_w", n).alias(out), F.explode(salts).alias("_salt")
+    )
+    return salted.join(ranks, [column, "_salt"]).drop("_salt", "_hot")
 
 
 def spearman(df: DataFrame, features: list[str]) -> DataFrame:
@@ -101,20 +123,25 @@ def spearman(df: DataFrame, features: list[str]) -> DataFrame:
 
     Rows with a null in any feature are left out. Equal rows are merged first, so a frequent
     combination is one row with a weight. Ranks are centred by their known mean (n + 1) / 2, so the
-    products can be summed without cancellation.
+    products can be summed without cancellation. Ranks of a feature with few values are broadcast (the
+    estimate of their number is within a few percent); those of one with many are joined by value.
     """
     rows = df.select(*[F.col(f).cast("double").alias(f) for f in features])
     rows = rows.where(all_of([F.col(f).isNotNull() & ~F.isnan(f) for f in features]))
     n, distinct = _profile(rows, features)
+    few = [f for f in features if distinct[f] <= BROADCAST_ROWS]
+    limits = _range_limits(rows, {f: distinct[f] for f in features if f not in few})
     merged = rows.groupBy(*features).agg(F.count(F.lit(1)).alias("_weight"))
+    ranks_of_few = _ranks_of_few(merged, few, n) if few else None
     ranked = merged
     for i, feature in enumerate(features):
-        counts = merged.groupBy(F.col(feature).alias("value")).agg(F.sum("_weight").alias("w"))
-        limits = _range_limits(rows, feature, distinct[feature])
-        before = running_before(counts, "value", ["w"], limits)
-        centred = F.col("before_w") + (F.col("w") + 1) / 2.0 - F.lit((n + 1) / 2.0)
-        ranks = before.select("value", "w", centred.cast("double").alias("rank"))
-        ranked = _attach_rank(ranked, counts, ranks, feature, f"_r{i}", distinct[feature], n)
+        if feature in few:
+            ranks = ranks_of_few.where(F.col("place") == few.index(feature)).select(
+                F.col("value").alias(feature), F.col("rank").alias(f"_r{i}")
+            )
+            ranked = ranked.join(F.broadcast(ranks), feature)
+        else:
+            ranked = _attach_rank_of_many(ranked, merged, feature, f"_r{i}", limits[feature], n)
     products = [(i, i) for i in range(len(features))] + list(combinations(range(len(features)), 2))
     sums = ranked.agg(
         *[F.sum(F.col("_weight") * F.col(f"_r{i}") * F.col(f"_r{j}")).alias(f"s_{i}_{j}") for i, j in products]
@@ -171,7 +198,7 @@ def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
     scored = df.select(F.col(label).cast("int").alias("label"), F.col(score).cast("double").alias("score"))
     scored = scored.na.drop()
     _, distinct = _profile(scored, ["score"])
-    limits = _range_limits(scored, "score", distinct["score"])
+    limits = _range_limits(scored, distinct)["score"]
     per_score = scored.groupBy("score").agg(
         F.count_if(F.expr("label = 1")).alias("pos"), F.count_if(F.expr("label = 0")).alias("neg")
     )
