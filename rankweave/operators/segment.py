@@ -14,6 +14,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.functions.numeric import once
+from rankweave.functions.text import digest
+
 HAN = r"\p{IsHan}"
 # Dictionary rows that may be sent to every executor; counted before it is done.
 MOST_WORDS = 1_000_000
@@ -84,7 +87,7 @@ def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST)
     return _segment_by_join(distinct, weights, longest, unknown, method)
 
 
-def _once(udf):
+def _uncopied(udf):
     """Keep the optimizer from copying the call.
 
     Exploding its result adds a filter on it, and that filter, with a second call, would move below
@@ -127,7 +130,7 @@ def _segment_by_broadcast(distinct: DataFrame, weights: DataFrame, unknown: floa
         for batch in batches:
             yield batch.map(one)
 
-    return distinct.withColumn("words", _once(cut)("piece"))
+    return distinct.withColumn("words", _uncopied(cut)("piece"))
 
 
 def _segment_by_join(
@@ -135,28 +138,33 @@ def _segment_by_join(
 ) -> DataFrame:
     """Every substring up to the longest word is looked up; a common one is spread over salted keys.
 
-    What comes back for a piece is bounded by its own length times the longest word.
+    Rows of substrings carry a digest of their piece, as the piece itself, repeated for each of its
+    characters, would be quadratic. What comes back for a piece is bounded by its own length times the
+    longest word.
     """
-    starts = (
-        distinct.select("piece")
-        .distinct()
-        .select("piece", F.explode(F.sequence(F.lit(0), F.length("piece") - 1)).alias("start"))
+    keyed = distinct.withColumn("_id", digest(F.col("piece")))
+    characters = F.regexp_extract_all("piece", F.lit("(?s)."), F.lit(0))
+    spelled = keyed.select("_id", "piece").distinct().select("_id", once(characters).alias("characters"))
+    heads = F.transform(
+        F.sequence(F.lit(1), F.size("characters")),
+        lambda place: F.array_join(F.slice("characters", place, F.lit(longest)), ""),
     )
-    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.length("piece") - F.col("start")))
-    spans = starts.withColumn("length", F.explode(lengths)).select(
-        "piece",
+    starts = spelled.select("_id", F.posexplode(heads).alias("start", "head"))
+    spans = starts.select(
+        "_id", "start", "head", F.explode(F.sequence(F.lit(1), F.length("head"))).alias("length")
+    ).select(
+        "_id",
         "start",
         "length",
-        F.substring("piece", F.col("start") + 1, F.col("length")).alias("word"),
-        F.pmod(F.xxhash64("piece", "start"), F.lit(salts)).cast("int").alias("salt"),
+        F.substring("head", F.lit(1), F.col("length")).alias("word"),
+        F.pmod(F.xxhash64("_id", "start"), F.lit(salts)).cast("int").alias("salt"),
     )
     repeated = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     found = (
         spans.join(repeated, ["word", "salt"])
-        .groupBy("piece")
+        .groupBy("_id")
         .agg(F.collect_list(F.struct("start", "length", "weight")).alias("found"))
     )
-
     find = path_finder(unknown, method)
 
     @F.pandas_udf("array<string>")
@@ -169,7 +177,8 @@ def _segment_by_join(
             out.append(find(piece, by_start))
         return pd.Series(out, dtype=object)
 
-    return distinct.join(found, "piece", "left").withColumn("words", _once(cut)("piece", "found")).drop("found")
+    joined = keyed.join(found, "_id", "left")
+    return joined.withColumn("words", _uncopied(cut)("piece", "found")).drop("_id", "found")
 
 
 def dictionary_word_counts(
