@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,7 +11,7 @@ def write_table(df: DataFrame, uri: str) -> None:
     df.write.mode("overwrite").parquet(uri)
 
 
-def tsv_line(df: DataFrame):
+def tsv_line(df: DataFrame) -> Column:
     """One tab-separated text per row. The fields must be cleaned and not null."""
     return F.concat_ws("\t", *[F.col(f"`{name}`").cast("string") for name in df.columns])
 
