@@ -25,10 +25,9 @@ LONGEST = "longest"
 
 
 def pieces(df: DataFrame, text: str, keep: list[str] | None = None, script: str = HAN) -> DataFrame:
-    """`(*keep, piece, unspaced)`: runs of the script, and runs of other letters and digits."""
+    """`(*keep, piece)`: runs of the script, and runs of other letters and digits."""
     runs = rf"({script}+|[\p{{L}}\p{{N}}&&[^{script}]]+)"
-    rows = df.select(*(keep or []), F.explode(F.regexp_extract_all(text, F.lit(runs), 1)).alias("piece"))
-    return rows.withColumn("unspaced", F.col("piece").rlike(f"^{script}"))
+    return df.select(*(keep or []), F.explode(F.regexp_extract_all(text, F.lit(runs), 1)).alias("piece"))
 
 
 def path_finder(unknown: float, method: str) -> Callable[[str, dict[int, list[tuple[int, float]]]], list[str]]:
@@ -78,10 +77,11 @@ def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST)
     weights = weights.where("word <> ''").select(
         "word", (F.log(F.greatest(F.coalesce("freq", F.lit(1.0)), F.lit(1.0))) + unknown).alias("weight")
     )
-    # Cutting is heavy for its bytes: a fixed count, which runtime coalescing by size leaves alone.
+    # Cutting is heavy for its bytes: a fixed count, which runtime coalescing by size leaves alone. By
+    # a hash of the piece, as a repartition by the piece itself is dropped after a grouping by it.
     spark = distinct.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    distinct = distinct.repartition(tasks, "piece")
+    distinct = distinct.repartition(tasks, F.xxhash64("piece"))
     if size <= MOST_WORDS:
         return _segment_by_broadcast(distinct, weights, unknown, method)
     return _segment_by_join(distinct, weights, longest, unknown, method)
@@ -192,11 +192,13 @@ def dictionary_word_counts(
 ) -> DataFrame:
     """`(*by, word, count)`. Pieces are counted before they are segmented, so each is cut once."""
     by = by or []
-    found = pieces(df, text, by, script)
-    counted = found.groupBy(*by, "piece", "unspaced").agg(F.count(F.lit(1)).alias("times"))
-    spaced = counted.where(~F.col("unspaced")).select(*by, F.col("piece").alias("word"), "times")
+    times = pieces(df, text, by, script).groupBy(*by, "piece").agg(F.count(F.lit(1)).alias("times"))
+    shortest = max(min_length, 1)
+    kind = F.when(F.col("piece").rlike(f"^{script}"), "cut").when(F.length("piece") >= shortest, "word")
+    # Generated after the counting, so that the two filters below stay above it and share its shuffle.
+    counted = times.select("*", once(kind).alias("kind"))
+    whole = counted.where("kind = 'word'").select(*by, F.col("piece").alias("word"), "times")
     # With `by`, a piece may be here once per group; it is then cut for each, which needs no join.
-    cut = segment(counted.where("unspaced"), dictionary, method)
-    unspaced = cut.select(*by, F.explode("words").alias("word"), "times")
-    words = spaced.unionByName(unspaced).where(F.length("word") >= min_length)
-    return words.groupBy(*by, "word").agg(F.sum("times").alias("count"))
+    cut = segment(counted.where("kind = 'cut'"), dictionary, method)
+    parts = cut.select(*by, F.explode("words").alias("word"), "times").where(F.length("word") >= shortest)
+    return whole.unionByName(parts).groupBy(*by, "word").agg(F.sum("times").alias("count"))
