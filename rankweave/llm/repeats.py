@@ -25,8 +25,8 @@ from rankweave.llm.common import mixed, steps, utf8
 LENGTH = 100
 ANCHOR = 20
 # Bytes of text whose segments are packed together, bytes of segments on one route, bytes in one transform.
-PACK_BYTES = 8 << 20
-ROUTE_BYTES = 10 << 20
+PACK_BYTES = 16 << 20
+ROUTE_BYTES = 24 << 20
 BLOCK_BYTES = 3 << 20
 # Bytes of segments for one byte of text, about.
 _GROWTH = 3.4
@@ -64,11 +64,12 @@ def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 class Segments(NamedTuple):
-    """Segments of some documents: document, first byte in it, bytes, route hash, digests, and the bytes' place."""
+    """Segments of some documents: document, first byte in it, bytes, anchor and its hash, digests, and the bytes' place."""
 
     doc: np.ndarray
     start: np.ndarray
     size: np.ndarray
+    anchor: np.ndarray
     route: np.ndarray
     head: np.ndarray
     tail: np.ndarray
@@ -79,7 +80,7 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> Segments:
     """All segments: maximal runs of 100-byte strings of a document that have their anchor at the same place."""
     empty = np.empty(0, np.int64)
     if len(data) < LENGTH:
-        return Segments(empty, empty, empty, *[np.empty(0, np.uint64)] * 3, empty)
+        return Segments(empty, empty, empty, empty, *[np.empty(0, np.uint64)] * 3, empty)
     anchors, wholes = _run_hashes(data)
     keys = (mixed(anchors) >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(anchors), dtype=np.uint64)
     least = _least_places(keys, LENGTH - ANCHOR + 1) & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))
@@ -99,7 +100,8 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> Segments:
     ends[:-1] &= begins[1:] | ~inside[1:]
     last = np.flatnonzero(ends)
     doc = np.searchsorted(offsets, first, "right") - 1
-    return Segments(doc, first - offsets[doc], last - first + LENGTH, mixed(anchors[least[first]] + np.uint64(1)), wholes[first], wholes[last], first)
+    anchor = least[first].astype(np.int64)
+    return Segments(doc, first - offsets[doc], last - first + LENGTH, anchor - first, mixed(anchors[anchor] + np.uint64(1)), wholes[first], wholes[last], first)
 
 
 def _gather(data: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -117,46 +119,74 @@ def _packed(docs: np.ndarray, keys: np.ndarray, data: np.ndarray, s: Segments, r
     again[1:] = (s.size[same[1:]] == s.size[same[:-1]]) & (s.head[same[1:]] == s.head[same[:-1]]) & (s.tail[same[1:]] == s.tail[same[:-1]])
     later = np.zeros(len(same), bool)
     later[same] = again
+    # within a route by document and place, so that numbers shrink to small steps
     part = (s.route % np.uint64(routes)).astype(np.int64)
-    by_part = np.argsort(part, kind="stable")
+    by_part = order[np.argsort(part[order], kind="stable")]
     edges = np.flatnonzero(np.diff(part[by_part], prepend=-1))
-    squeeze = zstandard.ZstdCompressor(level=1)
+    squeeze = zstandard.ZstdCompressor(level=3)
     for begin, end in zip(edges, np.append(edges[1:], len(by_part))):
         own = by_part[begin:end]
-        used, doc = np.unique(s.doc[own], return_inverse=True)
-        own_later = later[own]
-        fresh = own[~own_later]
-        bytes_ = _gather(data, s.place[fresh], s.size[fresh])
+        new = np.diff(s.doc[own], prepend=-1) != 0
+        used, fresh = s.doc[own[new]], own[~later[own]]
         fields = [
-            np.array([len(used), len(own)], np.int64), docs[used], keys[used], doc.astype(np.int32), s.start[own].astype(np.int64),
-            s.size[own].astype(np.uint8), own_later.astype(np.uint8), s.route[own], s.head[own], s.tail[own], bytes_,
+            np.array([len(used), len(own)], np.int64), np.diff(docs[used], prepend=np.int64(0)), keys[used], new, s.start[own] & 0xFFFFFFFF,
+            s.start[own] >> 32, s.size[own], s.anchor[own], later[own], _gather(data, s.place[fresh], s.size[fresh]),
         ]
-        yield int(part[own[0]]), squeeze.compress(b"".join(x.tobytes() for x in fields))
+        yield int(part[own[0]]), squeeze.compress(b"".join(x.astype(kind).tobytes() for x, kind in zip(fields, _FIELDS)))
+
+
+# How the fields of a block are written; identifiers are steps from one document to the next.
+_FIELDS = [np.int64, np.int64, np.int32, np.uint8, np.uint32, np.uint32, np.uint8, np.uint8, np.uint8, np.uint8]
 
 
 def _unpacked(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray], np.ndarray]:
-    """Documents, their keys, fields of all segments, and all bytes (with `place` of each segment that has any)."""
-    kinds = [("doc", np.int32), ("start", np.int64), ("size", np.uint8), ("later", np.uint8), ("route", np.uint64), ("head", np.uint64), ("tail", np.uint64)]
-    docs, keys, bytes_, fields, known = [], [], [], {k: [] for k, _ in kinds}, 0
+    """Documents, their keys, fields of all segments (place: where its bytes begin, if it has any), and all bytes."""
+    names = ("doc", "low", "high", "size", "anchor", "later")
+    docs, keys, bytes_, fields, known = [], [], [], {k: [] for k in names}, 0
     for block in blocks:
         raw = zstandard.ZstdDecompressor().decompress(block)
-        n, m = np.frombuffer(raw, np.int64, 2)
-        at = 16
-        docs.append(np.frombuffer(raw, np.int64, n, at))
-        keys.append(np.frombuffer(raw, np.int64, n, at + 8 * n))
-        at += 16 * n
-        for name, kind in kinds:
+        n, m = (int(x) for x in np.frombuffer(raw, np.int64, 2))
+        docs.append(np.cumsum(np.frombuffer(raw, np.int64, n, 16)))
+        keys.append(np.frombuffer(raw, np.int32, n, 16 + 8 * n))
+        at = 16 + 12 * n
+        for name, kind in zip(names, _FIELDS[3:9]):
             values = np.frombuffer(raw, kind, m, at)
             at += values.nbytes
-            fields[name].append(values + known if name == "doc" else values)
+            fields[name].append(np.cumsum(values, dtype=np.int64) - 1 + known if name == "doc" else values)
         bytes_.append(np.frombuffer(raw, np.uint8, offset=at))
         known += n
     out = {k: np.concatenate(v) for k, v in fields.items()}
-    size = np.where(out["later"] == 0, out["size"], 0).astype(np.int64)
+    out["start"] = out.pop("low").astype(np.int64) | out.pop("high").astype(np.int64) << 32
+    out["size"] = out["size"].astype(np.int64)
+    size = np.where(out["later"] == 0, out["size"], 0)
     out["place"] = np.cumsum(size) - size
     return np.concatenate(docs), np.concatenate(keys), out, np.concatenate(bytes_)
 
 
+def _anchors(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of ANCHOR bytes at some places."""
+    total = np.zeros(len(place), np.uint64)
+    for k in range(ANCHOR):
+        total = total * np.uint64(_FACTOR) + _BYTE[data[place + k]]
+    return total
+
+
+def _equal_to_earlier(data: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each range of bytes whether one before it in the list is equal, by length and two 64-bit hashes."""
+    if not len(place):
+        return np.empty(0, bool)
+    begin = np.cumsum(size) - size
+    inside = np.arange(int(size.sum())) - np.repeat(begin, size)
+    value = _BYTE[_gather(data, place, size)]
+    table = np.arange(1, int(size.max()) + 1, dtype=np.uint64) * np.uint64(_FACTOR)
+    a, b = (np.add.reduceat(value * (mixed(table + np.uint64(k)) | np.uint64(1))[inside], begin) for k in (3, 5))
+    same = np.lexsort((b, a, size))
+    out = np.zeros(len(place), bool)
+    x, y = same[1:], same[:-1]
+    out[x] = (size[x] == size[y]) & (a[x] == a[y]) & (b[x] == b[y])
+    return out
+
+
 def suffix_order(text: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Places of all suffixes, sorted by their first `length` (64 to 128) bytes; past the end stand zeros."""
     n = len(text)
@@ -257,23 +287,22 @@ def _removed_runs(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     later = f["later"] > 0
     runs = [(f["doc"][later], f["start"][later], f["start"][later] + f["size"][later])]
     # an anchor that occurs once repeats nothing
-    _, number, often = np.unique(f["route"], return_inverse=True, return_counts=True)
-    own = np.flatnonzero(~later & (often[number] > 1))
-    own = own[np.lexsort((f["start"][own], keys[f["doc"][own]], docs[f["doc"][own]]))]
+    own = np.flatnonzero(~later)
+    _, number, often = np.unique(_anchors(data, f["place"][own] + f["anchor"][own]), return_inverse=True, return_counts=True)
+    repeated = often[number] > 1
+    own, number = own[repeated], number[repeated]
+    order = np.lexsort((f["start"][own], keys[f["doc"][own]], docs[f["doc"][own]]))
+    own, number = own[order], number[order]
     # of equal segments the first one is part of the text, the others repeat all of it
-    same = np.lexsort((f["tail"][own], f["head"][own], f["size"][own]))
-    x = own[same]
-    again = np.zeros(len(x), bool)
-    again[1:] = (f["size"][x[1:]] == f["size"][x[:-1]]) & (f["head"][x[1:]] == f["head"][x[:-1]]) & (f["tail"][x[1:]] == f["tail"][x[:-1]])
-    repeated = np.zeros(len(own), bool)
-    repeated[same] = again
-    r = own[repeated]
+    again = _equal_to_earlier(data, f["place"][own], f["size"][own])
+    r = own[again]
     runs.append((f["doc"][r], f["start"][r], f["start"][r] + f["size"][r]))
-    own = own[~repeated]
+    own, number = own[~again], number[~again]
     # segments of one anchor stay together in a block, in document order
-    own = own[np.argsort(number[own], kind="stable")]
-    size = f["size"][own].astype(np.int64)
-    edges = np.flatnonzero(np.diff(number[own], prepend=-1))
+    order = np.argsort(number, kind="stable")
+    own, number = own[order], number[order]
+    size = f["size"][own]
+    edges = np.flatnonzero(np.diff(number, prepend=-1))
     filled = np.cumsum(size)
     begin = 0
     while begin < len(own):
@@ -393,7 +422,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     routes = max(1, math.ceil(size * _GROWTH / ROUTE_BYTES))
     blocks = docs.select("id", "mark", "text").mapInArrow(_routed(routes), "route int, block binary")
-    runs = blocks.groupBy("route").applyInArrow(_runs_of_route, "id bigint, mark bigint, starts array<bigint>, ends array<bigint>")
+    runs = blocks.groupBy("route").applyInArrow(_runs_of_route, "id bigint, mark int, starts array<bigint>, ends array<bigint>")
     return runs.groupBy("id", "mark").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
 
 
@@ -407,7 +436,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     own = docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
-    ).withColumns({"id": F.coalesce("doc_id", F.lit(_NO_ID)), "mark": F.xxhash64("text")})
+    ).withColumns({"id": F.coalesce("doc_id", F.lit(_NO_ID)), "mark": F.hash("text")})
     runs = repeated_runs(own).withColumnsRenamed({"id": "run_id", "mark": "run_mark"})
     cut = own.join(runs, (own["id"] == runs["run_id"]) & (own["mark"] == runs["run_mark"]), "left")
     return cut.select("doc_id", F.pandas_udf(_cut, CUT)("text", "starts", "ends").alias("cut")).select("doc_id", "cut.*")
