@@ -32,7 +32,8 @@ class Index(NamedTuple):
     """Fingerprints of item windows of one size, and for each block and value the places of those that have it."""
 
     size: int
-    prints: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
     item: np.ndarray
     at: np.ndarray
     begin: np.ndarray
@@ -99,23 +100,27 @@ def indexed(ids: list, texts: list[str]) -> Items:
         bucket = (np.arange(BLOCKS)[None, :] * 256 + table).ravel()
         order = np.argsort(bucket, kind="stable")
         begin = np.searchsorted(bucket[order], np.arange(BLOCKS * 256 + 1))
-        indexes.append(Index(size, table.view(np.uint64).reshape(-1, 2), np.array(item), np.array(at), begin, order // BLOCKS))
+        low, high = np.ascontiguousarray(table.view(np.uint64).reshape(-1, 2).T)
+        indexes.append(Index(size, low, high, np.array(item), np.array(at), begin.astype(np.int32), (order // BLOCKS).astype(np.int32)))
     return Items(own_ids, own, sets, indexes)
 
 
 def _near(prints: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (row of `prints`, entry of the index) within RADIUS bits: candidates agree in a block."""
     rows, entries = [], []
-    whole = prints.view(np.uint64).reshape(-1, 2)
+    low, high = np.ascontiguousarray(prints.view(np.uint64).reshape(-1, 2).T)
     for block in range(BLOCKS):
-        bucket = block * 256 + prints[:, block].astype(np.int64)
-        count = index.begin[bucket + 1] - index.begin[bucket]
-        for part in range(0, len(prints), 1 << 14):
-            c = count[part : part + (1 << 14)]
-            row = np.repeat(np.arange(part, part + len(c)), c)
-            entry = index.member[np.repeat(index.begin[bucket[part : part + len(c)]] - np.cumsum(c) + c, c) + np.arange(c.sum())]
-            apart = np.bitwise_count(whole[row] ^ index.prints[entry]).sum(1)
-            close = apart <= RADIUS
+        bucket = block * 256 + prints[:, block].astype(np.int32)
+        begin, count = index.begin[bucket], index.begin[bucket + 1] - index.begin[bucket]
+        for part in range(0, len(prints), 1 << 13):
+            own = slice(part, part + (1 << 13))
+            c = count[own]
+            grown = np.cumsum(c, dtype=np.int32)
+            entry = index.member[np.repeat(begin[own] - grown + c, c) + np.arange(grown[-1], dtype=np.int32)]
+            # half of the bits rule out nearly all candidates
+            likely = np.flatnonzero(np.bitwise_count(np.repeat(low[own], c) ^ index.low[entry]) <= RADIUS)
+            row, entry = part + np.searchsorted(grown, likely, "right"), entry[likely]
+            close = np.bitwise_count(low[row] ^ index.low[entry]) + np.bitwise_count(high[row] ^ index.high[entry]) <= RADIUS
             rows.append(row[close])
             entries.append(entry[close])
     return np.concatenate(rows), np.concatenate(entries)
