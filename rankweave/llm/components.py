@@ -38,4 +38,5 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(row) == state:
             break
         state = tuple(row)
-    return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.llm.common import mixed, shingles, steps, utf8, words
@@ -29,9 +29,13 @@ PASS_WORDS = 500_000
 
 
 class Index(NamedTuple):
-    """Fingerprints of item windows of one size, and for each block and value the places of those that have it."""
+    """Fingerprints of item windows of one size, and for each block and value the places of those that have it.
+
+    `stride` is the number of words from one window of a document to the next.
+    """
 
     size: int
+    stride: int
     low: np.ndarray
     high: np.ndarray
     item: np.ndarray
@@ -70,9 +74,9 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
     return 100 * low >= percent * (int(a[1].sum()) + int(b[1].sum()) - low) and low > 0
 
 
-def window_size(length: int) -> int:
-    """Words of the windows that search for an item; items of fewer than 15 words are searched for word by word."""
-    return max(1, (length - STRIDE + 1) // STRIDE) * STRIDE if length >= 2 * STRIDE - 1 else length
+def windows_for(length: int) -> tuple[int, int]:
+    """Size and stride of the windows that search for an item; for fewer than 15 words one of its size at every word."""
+    return ((length - STRIDE + 1) // STRIDE * STRIDE, STRIDE) if length >= 2 * STRIDE - 1 else (length, 1)
 
 
 def indexed(ids: list, texts: list[str]) -> Items:
@@ -87,10 +91,10 @@ def indexed(ids: list, texts: list[str]) -> Items:
             own.append(h)
             sets.append(weighted(h))
     indexes = []
-    for size in sorted({window_size(len(h)) for h in own}):
+    for size, stride in sorted({windows_for(len(h)) for h in own}):
         prints, item, at = [], [], []
         for k, h in enumerate(own):
-            if window_size(len(h)) == size:
+            if windows_for(len(h)) == (size, stride):
                 grown = np.vstack([np.zeros((1, 128), np.int32), np.cumsum(_signs(h), axis=0, dtype=np.int32)])
                 rows = _prints(grown[size:] - grown[:-size], size)
                 prints.append(rows)
@@ -101,7 +105,7 @@ def indexed(ids: list, texts: list[str]) -> Items:
         order = np.argsort(bucket, kind="stable")
         begin = np.searchsorted(bucket[order], np.arange(BLOCKS * 256 + 1))
         low, high = np.ascontiguousarray(table.view(np.uint64).reshape(-1, 2).T)
-        indexes.append(Index(size, low, high, np.array(item), np.array(at), begin.astype(np.int32), (order // BLOCKS).astype(np.int32)))
+        indexes.append(Index(size, stride, low, high, np.array(item), np.array(at), begin.astype(np.int32), (order // BLOCKS).astype(np.int32)))
     return Items(own_ids, own, sets, indexes)
 
 
@@ -142,7 +146,7 @@ def _found(hashes: np.ndarray, before: np.ndarray, items: Items) -> list[dict[in
     of_block = np.repeat(np.arange(rows), blocks)
     at_block = np.arange(int(first[-1])) - np.repeat(first[:-1], blocks)
     for index in items.indexes:
-        if index.size % STRIDE == 0:
+        if index.stride == STRIDE:
             wide = index.size // STRIDE
             if len(sums) < wide:
                 continue
@@ -177,9 +181,7 @@ def _found(hashes: np.ndarray, before: np.ndarray, items: Items) -> list[dict[in
 
 def leaked_items(text: str, items: Items) -> Column:
     """array<struct<item_id, word>> of a text column: items it holds, by item_id. Null and empty texts hold none."""
-    from pyspark import SparkContext
-
-    sent = SparkContext._active_spark_context.broadcast(items)
+    sent = SparkSession.active().sparkContext.broadcast(items)
 
     @F.pandas_udf("array<struct<item_id: bigint, word: bigint>>")
     def leaked(texts: pd.Series) -> pd.Series:

@@ -8,11 +8,12 @@ documents are joined with one shard after the other where the text already is: n
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.llm.common import kept
@@ -118,7 +119,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     three discounts from how many n-grams occur once to four times; an order too small for them takes 0.5, 1 and 1.5
     of what it has. `rest` is the mass a context passes on and the same for all its rows.
     """
-    spark, orders = counts.sparkSession, []
+    orders = []
     level = counts.select("code", F.col("n").cast("double").alias("n"))
     for k in range(ORDER, 0, -1):
         level = kept(level, f"ngrams-{k}")
@@ -146,43 +147,56 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     return kept(model, "kneser-ney")
 
 
-def shards(model: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Negative natural logarithms of all n-gram probabilities, as one dense block per range of contexts.
-
-    At most 64 ** 4 entries in all. The first range is that of the first symbols, so a shard is a slice of codes.
-    """
+def compact(model: DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
+    """The model's rows for each order as arrays: at most 64 ** 4 of the highest, and fewer of the others."""
     rows = model.select("k", "context", "code", "p", "rest").toPandas()
+    pick = lambda own: tuple(own[c].to_numpy(t) for c, t in (("context", np.int32), ("code", np.int32), ("p", np.float32), ("rest", np.float32)))
+    return {k: pick(rows[rows["k"] == k]) for k in range(1, ORDER + 1)}
+
+
+def shards(model: dict[int, tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """Negative natural logarithms of all n-gram probabilities, as one dense block for each range of contexts."""
     lower = np.full(CLASSES, 1.0 / CLASSES)
     for k in range(1, ORDER):
-        lower = _interpolated(rows[rows["k"] == k], k, lower, 0, CLASSES ** (k - 1))
-    top = rows[rows["k"] == ORDER]
-    width = CLASSES ** (ORDER - 1) // SHARDS
-    out = []
+        lower = _interpolated(model[k], k, lower, 0, CLASSES ** (k - 1))
+    context, width, out = model[ORDER][0], CLASSES ** (ORDER - 1) // SHARDS, []
     for s in range(SHARDS):
-        own = top[(top["context"] >= s * width) & (top["context"] < (s + 1) * width)]
-        out.append((-np.log(_interpolated(own, ORDER, lower, s * width, width))).astype(np.float32))
+        own = (context >= s * width) & (context < (s + 1) * width)
+        top = _interpolated([x[own] for x in model[ORDER]], ORDER, lower, s * width, width)
+        out.append((-np.log(top)).astype(np.float32))
     return out
 
 
+_at_hand: dict[str, list[np.ndarray]] = {}
+
+
+def _shards_of(name: str, model: dict[int, tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """The shards of the model a worker used last."""
+    if name not in _at_hand:
+        _at_hand.clear()
+        _at_hand[name] = shards(model)
+    return _at_hand[name]
+
+
 def _interpolated(rows, k: int, lower: np.ndarray, first: int, contexts: int) -> np.ndarray:
     """Probabilities of all symbols after `contexts` contexts from `first` on, each a row of CLASSES."""
+    context, code, share, passed = rows
     rest = np.ones(contexts)
-    rest[rows["context"].to_numpy() - first] = rows["rest"].to_numpy()
+    rest[context - first] = passed
     below = CLASSES ** (k - 2) if k > 1 else 1
     under = lower.reshape(below, CLASSES)[(np.arange(contexts) + first) % below]
     p = (rest[:, None] * under).reshape(-1)
-    p[rows["code"].to_numpy() - first * CLASSES] += rows["p"].to_numpy()
+    p[code - first * CLASSES] += share
     return p
 
 
-def perplexity_parts(text: str, model: list) -> Column:
+def perplexity_parts(text: str, model: dict[int, tuple[np.ndarray, ...]]) -> Column:
     """struct(symbols, nll) of a text column: its number of symbols and the sum of their negative logarithms.
 
-    `model` is the list of `shards`; each block's n-grams are joined with one shard after the other.
+    Each block's n-grams are joined with one shard of the `compact` model after the other.
     """
-    from pyspark import SparkContext
-
-    sent = SparkContext._active_spark_context.broadcast(model)
+    sent = SparkSession.active().sparkContext.broadcast(model)
+    name = uuid.uuid4().hex
 
     @F.pandas_udf("symbols bigint, nll double")
     def parts(texts):
@@ -195,7 +209,7 @@ def perplexity_parts(text: str, model: list) -> Column:
             code = _codes(symbols, offsets)
             shard = code // shard_size
             nll = np.empty(len(code), np.float32)
-            for s, block in enumerate(sent.value):
+            for s, block in enumerate(_shards_of(name, sent.value)):
                 own = np.flatnonzero(shard == s)
                 if len(own):
                     nll[own] = block[code[own] - s * shard_size]
@@ -208,10 +222,11 @@ def perplexity_parts(text: str, model: list) -> Column:
     return parts(F.col(text))
 
 
-def train(docs: DataFrame, trusted: DataFrame) -> list:
-    """Shards of the model of all trusted texts: rows of `docs` whose doc_id is among the identifiers in `trusted`."""
-    texts = docs.select("doc_id", "text").join(trusted.select("doc_id").distinct(), "doc_id").select("text")
-    return shards(kneser_ney(kept(ngram_counts(texts), "ngram-counts")))
+def train(docs: DataFrame, trusted: DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
+    """The compact model of all trusted texts: rows of `docs` whose doc_id is among the identifiers in `trusted`."""
+    # labels grow with the documents, so they are not broadcast, however few there are
+    texts = docs.select("doc_id", "text").join(trusted.select("doc_id").distinct().hint("merge"), "doc_id").select("text")
+    return compact(kneser_ney(kept(ngram_counts(texts), "ngram-counts")))
 
 
 def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -227,7 +242,8 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     aside = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
     model = train(docs, trusted.where(~aside))
     trusted = trusted.where(aside)
-    scored = docs.withColumn("q_parts", perplexity_parts("text", model))
+    parts = perplexity_parts("text", model)
+    scored = docs.withColumn("q_parts", parts)
     scored = kept(scored.select("doc_id", "lang", F.col("q_parts.symbols").alias("n"), F.col("q_parts.nll").alias("nll")).join(trusted, "doc_id"), "trusted-scores")
     mean = scored.agg(F.sum("nll") / F.sum("n")).first()[0] or 0.0
     smooth = lambda nll, n: F.exp((nll + PRIOR_SYMBOLS * mean) / (n + PRIOR_SYMBOLS))
@@ -235,7 +251,7 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     whole = scored.agg(F.percentile_approx(value, quantile, 10_000)).first()[0]
     limits = scored.groupBy("lang").agg(F.percentile_approx(value, quantile, 10_000).alias("own"), F.count("*").alias("rows"))
     limits = limits.where(F.col("rows") >= LEAST_TRUSTED).where("lang is not null").select(F.col("lang").alias("q_lang"), "own")
-    out = docs.withColumn("q_parts", perplexity_parts("text", model))
+    out = docs.withColumn("q_parts", parts)
     out = out.withColumns({"q_symbols": F.col("q_parts.symbols"), "q_perplexity": smooth(F.col("q_parts.nll"), F.col("q_parts.symbols"))})
     out = out.join(limits, out["lang"] == limits["q_lang"], "left")
     out = out.withColumn("q_limit", ROOM * F.coalesce("own", F.lit(whole).cast("double")))
