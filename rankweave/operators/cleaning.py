@@ -6,7 +6,7 @@ Duplicates are removed before validity is looked at, so a key whose first row is
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +60,19 @@ VIDEO_RULES = CleanRules(
     whole=[*METRICS, BEST_RANK],
     output=CLEAN.fieldNames(),
 )
+# Records read from files: names may repeat in other folders, and then the path decides.
+FILE_RULES = replace(VIDEO_RULES, order_by=["file_name", "file_path", "pos"])
+
+
+def rules_for(df: DataFrame) -> CleanRules:
+    """The rules for records or documents, with the path where they have one."""
+    return FILE_RULES if "file_path" in df.columns else VIDEO_RULES
+
+
+def drop_null(df: DataFrame, required: list[str]) -> DataFrame:
+    """Rows in which none of these columns is null."""
+    return df.where(all_of([F.col(name).isNotNull() for name in required]))
+
 
 NULL_FIELD = "null_field"
 DUPLICATE = "duplicate"

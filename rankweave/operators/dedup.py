@@ -23,7 +23,7 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame
 
 
 def first_rows(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """Only the `order_by` values of each key's first row. They must identify a row and not be null."""
+    """Only the `order_by` values of each key's first row. They must identify a row; null counts as a value."""
     inner = within(keys, order_by)
     firsts = df.groupBy(*keys).agg(F.min(F.struct(*inner)).alias("_place"))
     return firsts.select(*[F.col(f"_place.{name}" if name in inner else name) for name in order_by])
@@ -35,5 +35,7 @@ def mark_first(df: DataFrame, keys: list[str], order_by: list[str], out: str) ->
     A row number over all rows would sort a hot key in one task. The first places are found by a
     pre-aggregated minimum and joined back on `order_by`, which is unique and so cannot be skewed.
     """
-    first = first_rows(df, keys, order_by).withColumn(out, F.lit(True))
-    return df.join(first, order_by, "left").withColumn(out, F.coalesce(out, F.lit(False)))
+    first = first_rows(df, keys, order_by).select(*[F.col(name).alias(f"_first_{name}") for name in order_by], F.lit(True).alias(out))
+    same = [df[name].eqNullSafe(first[f"_first_{name}"]) for name in order_by]
+    marked = df.join(first, same, "left").withColumn(out, F.coalesce(out, F.lit(False)))
+    return marked.select(*df.columns, out)

@@ -70,13 +70,13 @@ def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST)
     otherwise the words inside the pieces are found by a join, with the same result.
     """
     weights = dictionary.groupBy("word").agg(F.max("freq").cast("double").alias("freq"))
+    # the total is of the counts as they are used: a word that was never counted counts once
+    weights = weights.where("word <> ''").withColumn("freq", F.greatest(F.coalesce("freq", F.lit(1.0)), F.lit(1.0)))
     size, total, longest = weights.agg(
         F.count("word"), F.coalesce(F.sum("freq"), F.lit(1.0)), F.coalesce(F.max(F.length("word")), F.lit(1))
     ).first()
     unknown = -log(total)
-    weights = weights.where("word <> ''").select(
-        "word", (F.log(F.greatest(F.coalesce("freq", F.lit(1.0)), F.lit(1.0))) + unknown).alias("weight")
-    )
+    weights = weights.select("word", (F.log("freq") + unknown).alias("weight"))
     # Cutting is heavy for its bytes: a fixed count, which runtime coalescing by size leaves alone. By
     # a hash of the piece, as a repartition by the piece itself is dropped after a grouping by it.
     spark = distinct.sparkSession

@@ -162,14 +162,14 @@ def correlation_matrix(long: DataFrame, features: list[str]) -> DataFrame:
 
 
 def accuracy(df: DataFrame, truth: Column, predicted: Column) -> DataFrame:
-    """Confusion counts and accuracy of two 0/1 columns, in one aggregate."""
+    """Confusion counts and accuracy of two 0/1 columns, in one aggregate; accuracy is over the counted rows."""
     flags = df.select(truth.cast("int").alias("t"), predicted.cast("int").alias("p"))
     return flags.agg(
         F.count_if(F.expr("t = 1 and p = 1")).alias("tp"),
         F.count_if(F.expr("t = 0 and p = 1")).alias("fp"),
         F.count_if(F.expr("t = 0 and p = 0")).alias("tn"),
         F.count_if(F.expr("t = 1 and p = 0")).alias("fn"),
-        F.avg(F.when(F.col("t") == F.col("p"), 1.0).otherwise(0.0)).cast("double").alias("accuracy"),
+        F.avg(F.when(F.expr("t in (0, 1) and p in (0, 1)"), F.expr("if(t = p, 1.0D, 0.0D)"))).alias("accuracy"),
     )
 
 

@@ -190,7 +190,7 @@ def q04_null_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"),
         F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("o_orderpriority"),
     )
-    return orders.na.drop(subset=["o_orderstatus", "o_orderpriority"]).select("o_orderkey")
+    return cleaning.drop_null(orders, ["o_orderstatus", "o_orderpriority"]).select("o_orderkey")
 
 
 def _documents_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,9 +40,10 @@ def clean_payloads(payloads: DataFrame, out_uri: str) -> DataFrame:
     documents = spark.read.parquet(_at(out_uri, "documents"))
     accepted = envelopes.accepted(documents)
     raw = envelopes.envelope_records(accepted)
-    write_table(cleaning.clean(raw), _at(out_uri, "clean"))
-    write_table(cleaning.rejected(raw), _at(out_uri, "rejected"))
-    write_result(cleaning.audit(raw), _at(out_uri, "audit"))
+    rules = cleaning.rules_for(raw)
+    write_table(cleaning.clean(raw, rules), _at(out_uri, "clean"))
+    write_table(cleaning.rejected(raw, rules), _at(out_uri, "rejected"))
+    write_result(cleaning.audit(raw, rules), _at(out_uri, "audit"))
     write_table(envelopes.refused(documents), _at(out_uri, "refused"))
     write_table(envelopes.documents_without_items(accepted), _at(out_uri, "without_items"))
     clean = spark.read.schema(CLEAN).parquet(_at(out_uri, "clean"))

@@ -45,7 +45,7 @@ def parse_json(df: DataFrame, payload: str, schema: T.StructType | str, out: str
 
 
 def read_payloads(spark: SparkSession, uri: str, one_per_file: bool = True) -> DataFrame:
-    """`(file_name, payload)` for each file, or for each line of each file.
+    """`(file_name, file_path, payload)` for each file, or for each line of each file.
 
     Files of zero bytes give no row: Spark's file sources pass over them. Lines of one file share its
     name; cleaning needs a name per document, so take it from the payload there.
@@ -65,7 +65,9 @@ def stream_payloads(
 
 def _named(lines: DataFrame) -> DataFrame:
     return lines.select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("payload")
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("value").alias("payload"),
     )
 
 
@@ -118,15 +120,19 @@ def explode_items(docs: DataFrame, items: Column | str, **keep: Column) -> DataF
 
 
 def envelope_records(docs: DataFrame) -> DataFrame:
-    """Accepted documents to raw records, one per item, values still as text."""
+    """Accepted documents to raw records, one per item, values still as text.
+
+    Documents read from files also have the path, which tells files of equal name apart.
+    """
+    places = [name for name in ("file_name", "file_path") if name in docs.columns]
     items = explode_items(
         docs,
         "doc.data.list",
-        file_name=F.col("file_name"),
+        **{name: F.col(name) for name in places},
         period=F.coalesce(F.col("doc.data.config.name"), F.lit("")),
     )
     return items.select(
-        "file_name",
+        *places,
         "pos",
         "period",
         F.col("item.owner.name").alias("up"),
@@ -140,4 +146,5 @@ def envelope_records(docs: DataFrame) -> DataFrame:
 
 def documents_without_items(docs: DataFrame) -> DataFrame:
     """Accepted documents whose list is missing or null; they give no record, so they are named here."""
-    return docs.where(F.col("doc.data.list").isNull()).select("file_name")
+    places = [name for name in ("file_name", "file_path") if name in docs.columns]
+    return docs.where(F.col("doc.data.list").isNull()).select(*places)

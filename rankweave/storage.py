@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +14,14 @@ BROADCAST_ROWS = 100_000
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach: `spark.checkpoint.dir` of the session.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master may fall back to the session's warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="rankweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

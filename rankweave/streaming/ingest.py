@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rankweave.operators.cleaning import VIDEO_RULES, CleanRules, finish, first_complete
+from rankweave.operators.cleaning import FILE_RULES, CleanRules, finish, first_complete
 from rankweave.operators.dedup import keep_first
 from rankweave.sinks import write_table
 from rankweave.sources.envelopes import accepted, envelope_records, parse_payloads, stream_payloads
@@ -46,7 +46,9 @@ def _unseen(firsts: DataFrame, keys: list[str], uri: str, batch_id: int) -> Data
     earlier = _earlier(firsts.sparkSession, uri, batch_id)
     if earlier is None:
         return firsts
-    return firsts.join(earlier.select(*keys), keys, "left_anti")
+    earlier = earlier.select(*[F.col(key).alias(f"_earlier_{key}") for key in keys])
+    same = [firsts[key].eqNullSafe(earlier[f"_earlier_{key}"]) for key in keys]
+    return firsts.join(earlier, same, "left_anti")
 
 
 def _start(
@@ -63,7 +65,7 @@ def _start(
 def keep_first_stream(
     stream: DataFrame, keys: list[str], order_by: list[str], table_uri: str, checkpoint_uri: str
 ) -> StreamingQuery:
-    """Write the first row of each key to `table_uri`. Keys must not be null."""
+    """Write the first row of each key to `table_uri`; null keys are equal to each other."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         firsts = keep_first(batch, keys, order_by)
@@ -78,7 +80,7 @@ def ingest_issues(
     table_uri: str,
     documents_uri: str,
     checkpoint_uri: str,
-    rules: CleanRules = VIDEO_RULES,
+    rules: CleanRules = FILE_RULES,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Parse and stage each issue that arrives; read the result with `ingested`.
@@ -99,6 +101,6 @@ def ingest_issues(
     return _start(stream_payloads(spark, landing_uri, True, files_per_batch), each, checkpoint_uri)
 
 
-def ingested(spark: SparkSession, table_uri: str, rules: CleanRules = VIDEO_RULES) -> DataFrame:
+def ingested(spark: SparkSession, table_uri: str, rules: CleanRules = FILE_RULES) -> DataFrame:
     """Clean records of everything ingested so far."""
     return finish(spark.read.parquet(table_uri), rules)

@@ -44,3 +44,9 @@ def test_mark_first_keeps_every_row(spark):
     marked = mark_first(df, ["k"], ["f", "p"], "first")
     assert marked.count() == df.count()
     assert rows(marked.where("first").select("k", "f", "p")) == expected(df)
+
+
+def test_null_places_mark_one_row(spark):
+    df = spark.createDataFrame([("k", None, 1), ("k", "b", 2), ("m", None, 3)], "k string, f string, p int")
+    marked = mark_first(df, ["k"], ["f", "p"], "first")
+    assert rows(marked.where("first").select("k", "p")) == [("k", 1), ("m", 3)] and marked.count() == 3

@@ -128,3 +128,8 @@ def test_accuracy(spark):
     want = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(df.withColumn("label", F.col("label").cast("double")))
     assert row["accuracy"] == pytest.approx(want)
     assert row["tp"] + row["fp"] + row["tn"] + row["fn"] == 500
+
+
+def test_accuracy_is_over_the_counted_rows(spark):
+    df = spark.createDataFrame([(1, 1), (0, 0), (None, 1), (1, None), (2, 2)], "t int, p int")
+    assert tuple(statistics.accuracy(df, F.col("t"), F.col("p")).first()) == (1, 0, 1, 0, 1.0)

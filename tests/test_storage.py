@@ -30,7 +30,9 @@ class Session:
 
 def test_only_a_local_master_may_use_a_folder_of_the_machine():
     local = Session("local[2]")
-    assert storage.shared_folder(local) == storage.shared_folder(local)
+    local.settings["spark.sql.warehouse.dir"] = "file:/w"
+    assert storage.shared_folder(local) == "file:/w"
+    assert set(local.settings) == {"spark.sql.warehouse.dir"}
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.shared_folder(Session("yarn"))
 

@@ -96,3 +96,21 @@ def test_a_landing_table_gives_the_same_rows_as_files(spark, week, tmp_path):
     landing = str(tmp_path / "landing")
     envelopes.read_payloads(spark, str(root / "landing")).repartition(5).write.parquet(landing)
     assert rows(weekly.clean_payloads(spark.read.parquet(landing), str(tmp_path / "out"))) == rows(clean)
+
+
+def test_files_of_equal_name_lose_no_row(spark, tmp_path):
+    import json
+
+    from rankweave.operators import cleaning
+    from rankweave.sources import envelopes
+
+    stat = {name: 1 for name in (*cleaning.METRICS, cleaning.BEST_RANK)} | {cleaning.DISLIKE: 0}
+    item = {"title": "t", "tname": "n", "desc": "", "rcmd_reason": "", "owner": {"name": "u"}, "stat": stat}
+    for year in ("2019", "2020"):
+        folder = tmp_path / year
+        folder.mkdir()
+        (folder / "week_1.json").write_text(json.dumps({"data": {"config": {"name": year}, "list": [item]}}))
+    raw = envelopes.envelope_records(envelopes.split_payloads(envelopes.read_payloads(spark, f"{tmp_path}/*/*.json"))[0])
+    rules = cleaning.rules_for(raw)
+    assert [row["period"] for row in cleaning.clean(raw, rules).collect()] == ["2019"]
+    assert [(row["period"], row["reason"]) for row in cleaning.rejected(raw, rules).collect()] == [("2020", cleaning.DUPLICATE)]
