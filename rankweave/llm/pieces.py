@@ -25,14 +25,17 @@ SPACE = "▁"
 # A character of private use that goes before a text's own space signs.
 ESCAPE = "\ue000"
 # Characters of text that are encoded together.
-STEP = 1 << 22
+STEP = 1 << 24
 _WORD = re.compile(f"{SPACE}[^{SPACE}]*")
 _ESCAPED = re.compile(f"{ESCAPE}(.)", re.DOTALL)
 
 
 class Vocabulary(NamedTuple):
+    """Pieces by identifier, their scores, and for all ends of pieces the score or, where an end is no piece, None."""
+
     pieces: list[str]
     scores: dict[str, tuple[float, int]]
+    tails: dict[str, tuple[float, int] | None]
     by_byte: list[int]
     byte_of: dict[int, int]
     longest: int
@@ -50,7 +53,8 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     special = {i for i in range(len(pieces)) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)}
     scores = {p: (model.get_score(i), i) for i, p in enumerate(pieces) if i not in special}
     least = min((s for s, _ in scores.values()), default=0.0)
-    return Vocabulary(pieces, scores, by_byte, {i: b for b, i in enumerate(by_byte)}, max(map(len, scores), default=1), least - 10.0)
+    tails = {p[k:]: scores.get(p[k:]) for p in scores for k in range(len(p))}
+    return Vocabulary(pieces, scores, tails, by_byte, {i: b for b, i in enumerate(by_byte)}, max(map(len, scores), default=1), least - 10.0)
 
 
 def _marked(text: str) -> str:
@@ -75,7 +79,7 @@ def best_paths(words: list[str], vocab: Vocabulary) -> dict[str, list[int]]:
     """
     scores, longest, unknown = vocab.scores, vocab.longest, vocab.unknown
     best, back, out, before = [0.0], [0], {}, ""
-    get = scores.get
+    get, tail = scores.get, vocab.tails.get
     for word in sorted(words):
         shared, most = 0, min(len(word), len(before))
         while shared < most and word[shared] == before[shared]:
@@ -87,7 +91,9 @@ def best_paths(words: list[str], vocab: Vocabulary) -> dict[str, list[int]]:
             if known is not None:
                 top = best[end - 1] + known[0]
             for start in range(end - 2, max(-1, end - longest - 1), -1):
-                found = get(word[start:end])
+                found = tail(word[start:end], 0)
+                if found == 0:  # no piece ends like this, so no longer one does
+                    break
                 if found is not None and best[start] + found[0] >= top:
                     top, frm = best[start] + found[0], start
             best.append(top)
@@ -179,8 +185,8 @@ def sentence_pieces(docs: DataFrame, model: str = MODEL) -> DataFrame:
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
         for batch in batches:
-            for k in range(0, len(batch), 500):
-                part = batch.slice(k, 500)
+            for k in range(0, len(batch), 4000):
+                part = batch.slice(k, 4000)
                 texts = part.column(1).to_pylist()
                 ids = encode_batch(texts, vocab)
                 exact = [decode_ids(x, vocab) == t for x, t in zip(ids, texts)]
