@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rankweave.llm.common import kept
+
 TOKENIZERS = "/opt/tokenizers"
 # Lengths in one window task; the sums of the ranges below and above come from one row per range.
-RANGE = 4096
+RANGE = 256
 # Fixed value: the pattern that cuts text before byte pairs are merged.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -48,8 +50,10 @@ def limit_answers(histogram: DataFrame) -> DataFrame:
     length, n_docs, n_tokens (of this length alone), docs_up_to, docs_at_least and tokens_at_least (suffix sums),
     total_docs, total_tokens, truncated_total (tokens left when every text is cut to the limit) and docs_cut. A limit
     that does not occur lies between two rows: see `truncated_at`. An empty histogram gives no rows. Sums run inside
-    ranges of 4,096 lengths; only one row per range is summed in one task.
+    ranges of 256 lengths; only one row per range is summed in one task. The histogram is written once, as its
+    rows are read for the ranges and for the sums, and the texts would be encoded for each.
     """
+    histogram = kept(histogram, "length-histogram")
     rows = histogram.select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("n_tokens"))
     rows = rows.withColumn("part", F.floor(F.col("length") / RANGE))
     parts = rows.groupBy("part").agg(F.sum("n_docs").alias("d"), F.sum("n_tokens").alias("t"))
