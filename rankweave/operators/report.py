@@ -112,20 +112,18 @@ def leaderboard_series(board: DataFrame) -> DataFrame:
     return series_long(board, "model", {"accuracy": "Accuracy", "auc": "AUC"}, 4)
 
 
-def lookup_names(df: DataFrame, names: DataFrame, code: str, label: str, salts: int = 64) -> DataFrame:
+def lookup_names(df: DataFrame, names: DataFrame, code: str, label: str, broadcast: bool | None = None) -> DataFrame:
     """Left join of display names `(code, label)`; an unknown code is its own label.
 
-    The names are broadcast when counting shows that they are few. Otherwise both sides are
-    shuffled, with the rows of one code spread over `salts` keys and each name repeated for them. The
-    salt is taken from the row, so a retried task gives the same; rows equal in every column share it.
+    The names are broadcast when counting shows that they are few and short, or as `broadcast` says.
+    Otherwise both sides are shuffled by code. A hot code has one name, so adaptive execution splits its
+    rows by the tasks they come from, also where they are equal in every column, and repeats that name.
     """
     unique = names.groupBy(code).agg(F.min(label).alias(label))
-    if fits_broadcast(unique):
+    if fits_broadcast(unique) if broadcast is None else broadcast:
         joined = df.join(F.broadcast(unique), code, "left")
     else:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
-        repeated = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = df.withColumn("_salt", salt).join(repeated, [code, "_salt"], "left").drop("_salt")
+        joined = df.hint("merge").join(unique, code, "left")
     return joined.withColumn(label, F.coalesce(F.col(label), F.col(code).cast("string")))
 
 

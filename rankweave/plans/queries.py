@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from rankweave.functions.numeric import number, whole_number
 from rankweave.functions.text import WHITE_SPACE_RANGES, clean_text, digest, display_name, fill_empty, wrap_text
 from rankweave.operators import cleaning, dedup, learning, ranking, report, segment, statistics, words
-from rankweave.sinks import tsv_line, write_result
+from rankweave.sinks import tsv_line, write_result, write_table
 from rankweave.sources import envelopes, tables
 from rankweave.storage import new_folder
 from rankweave.streaming.ingest import keep_first_stream
@@ -845,15 +845,37 @@ def q27_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.lookup_names(customers, names, "c_nationkey", "label").select("c_custkey", "c_nationkey", "label")
 
 
+@register(
+    """
+    select l_orderkey, l_linenumber, cast(l_partkey as bigint) as l_partkey,
+           coalesce(case when p_size > 5 then p_name end, cast(l_partkey as varchar)) as label
+    from lineitem left join part on l_partkey = p_partkey
+    """
+)
+def q27_lookup_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names too many to broadcast: part names of line items, without the small parts."""
+    parts = table(spark, sf_dir, "part").where("p_size > 5")
+    names = parts.select(F.col("p_partkey").cast("bigint").alias("l_partkey"), F.col("p_name").alias("label"))
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("bigint").alias("l_partkey"))
+    return report.lookup_names(items, names, "l_partkey", "label", broadcast=False)
+
+
 # --- arrival ---------------------------------------------------------------------------------------
 
 
+# Batches the documents arrive in, at least.
+ARRIVALS = 5
+
+
 @register("select distinct md5(text) as text_md5, length(text) as n_chars from documents")
 def q28_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as a file stream, keeping the first arrival of each text."""
-    documents = table(spark, sf_dir, "documents")
-    # As a pattern: the stream source takes a plain path only for a folder, and the table may be one file.
-    stream = spark.readStream.schema(documents.schema).parquet(f"{sf_dir.rstrip('/')}/documents.parque[t]")
+    """Documents as a file stream of about ARRIVALS batches, keeping the first arrival of each text."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    landing = new_folder(spark, "ingest-landing")
+    files = max(ARRIVALS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    write_table(documents.repartition(files, "doc_id"), landing)
+    arriving = max(1, len(spark.read.parquet(landing).inputFiles()) // ARRIVALS)
+    stream = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", arriving).parquet(landing)
     keyed = stream.select(
         digest(F.col("text")).alias("text_key"),
         "doc_id",

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, uri: str) -> None:
-    """Parquet, the form every later job reads."""
-    df.write.mode("overwrite").parquet(uri)
+def write_table(df: DataFrame, uri: str, by: list[str] | None = None) -> None:
+    """Parquet, the form every later job reads; with `by` in a folder for each value of these columns."""
+    df.write.mode("overwrite").parquet(uri, partitionBy=by)
 
 
 def tsv_line(df: DataFrame) -> Column:

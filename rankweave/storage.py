@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Rows a side may have to be sent to every executor. Checked by counting, never assumed.
 BROADCAST_ROWS = 100_000
+# Bytes such a side may have, its values written as text.
+BROADCAST_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,6 +31,9 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/rankweave/{purpose}-{uuid.uuid4().hex}"
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `limit` rows. Reads no further than it needs to."""
-    return df.select(F.lit(1)).limit(limit + 1).count() <= limit
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when `df` has at most `limit` rows of at most `most_bytes` as text. Reads no further than it needs to."""
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("bigint") for c in df.columns]
+    width = sum(lengths[1:], lengths[0])
+    seen = df.select(width.alias("width")).limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("width"), F.lit(0))).first()
+    return seen[0] <= limit and seen[1] <= most_bytes

@@ -13,16 +13,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rankweave.operators.cleaning import FILE_RULES, CleanRules, finish, first_complete
+from rankweave.operators.cleaning import DUPLICATE, FILE_RULES, CleanRules, finish, first_complete, rejected
 from rankweave.operators.dedup import keep_first
 from rankweave.sinks import write_table
 from rankweave.sources.envelopes import accepted, envelope_records, parse_payloads, stream_payloads
+from rankweave.storage import fits_broadcast
 
 BATCH = "batch_id"
+# Column and number of the folders the keys of a batch are spread over.
+BUCKET = "_bucket"
+BUCKETS = 64
 
 
 def _batch_folder(uri: str, batch_id: int) -> str:
@@ -42,15 +46,55 @@ def _earlier(spark: SparkSession, uri: str, batch_id: int) -> DataFrame | None:
 
 
 def _unseen(firsts: DataFrame, keys: list[str], uri: str, batch_id: int) -> DataFrame:
-    """Both sides hold each key once, so the join has no skew; only keys of the table are read."""
+    """The rows of `firsts` whose key no earlier batch has; `firsts` is held, as it is read several times.
+
+    Earlier rows lie in folders by a hash of the key, and only the keys in folders that the batch needs are
+    read. They are cut to the batch's keys before anything is shuffled where the batch's keys, counted,
+    can be broadcast. Both sides hold each key once, so the join has no skew.
+    """
     earlier = _earlier(firsts.sparkSession, uri, batch_id)
     if earlier is None:
         return firsts
-    earlier = earlier.select(*[F.col(key).alias(f"_earlier_{key}") for key in keys])
+    buckets = [row[0] for row in firsts.select(BUCKET).distinct().collect()]
+    earlier = earlier.where(F.col(BUCKET).isin(buckets)).select(*[F.col(key).alias(f"_earlier_{key}") for key in keys])
+    arrived = firsts.select(*[F.col(key).alias(f"_arrived_{key}") for key in keys])
+    if fits_broadcast(arrived):
+        met = [F.col(f"_earlier_{key}").eqNullSafe(F.col(f"_arrived_{key}")) for key in keys]
+        earlier = earlier.join(F.broadcast(arrived), met, "left_semi")
     same = [firsts[key].eqNullSafe(earlier[f"_earlier_{key}"]) for key in keys]
     return firsts.join(earlier, same, "left_anti")
 
 
+def _write_unseen(firsts: DataFrame, keys: list[str], uri: str, batch_id: int) -> None:
+    """Add the batch's folder to the table, split by a hash of the key."""
+    held = firsts.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")).persist()
+    try:
+        unseen = _unseen(held, keys, uri, batch_id)
+        write_table(unseen.hint("rebalance", BUCKET), _batch_folder(uri, batch_id), [BUCKET])
+    finally:
+        held.unpersist()
+
+
+def _rejected(records: DataFrame, firsts: DataFrame, written: DataFrame, rules: CleanRules) -> DataFrame:
+    """Rows of a batch that do not come into the clean table, with the rule that removed them.
+
+    As in the batch job, and a batch's first row of a key that an earlier batch has is a duplicate too.
+    """
+
+    def places(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(name).alias(f"_place_{name}") for name in rules.order_by])
+
+    def at(df: DataFrame, other: DataFrame) -> list[Column]:
+        return [df[name].eqNullSafe(other[f"_place_{name}"]) for name in rules.order_by]
+
+    repeated = firsts.join(other := places(written), at(firsts, other), "left_anti")
+    repeated = places(repeated)
+    inside = rejected(records, rules)
+    inside = inside.join(repeated, at(inside, repeated), "left_anti")
+    again = records.join(repeated, at(records, repeated), "left_semi").withColumn("reason", F.lit(DUPLICATE))
+    return inside.unionByName(again)
+
+
 def _start(
     stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint_uri: str
 ) -> StreamingQuery:
@@ -68,8 +112,7 @@ def keep_first_stream(
     """Write the first row of each key to `table_uri`; null keys are equal to each other."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        firsts = keep_first(batch, keys, order_by)
-        write_table(_unseen(firsts, keys, table_uri, batch_id), _batch_folder(table_uri, batch_id))
+        _write_unseen(keep_first(batch, keys, order_by), keys, table_uri, batch_id)
 
     return _start(stream, each, checkpoint_uri)
 
@@ -82,12 +125,14 @@ def ingest_issues(
     checkpoint_uri: str,
     rules: CleanRules = FILE_RULES,
     files_per_batch: int | None = None,
+    rejected_uri: str | None = None,
 ) -> StreamingQuery:
     """Parse and stage each issue that arrives; read the result with `ingested`.
 
     The table keeps the first complete row of each key with its validity flag, as an invalid first
     row still shadows later ones. Each document is parsed once, into `documents_uri`; `refused` of that
-    table is the quarantine.
+    table is the quarantine of documents. Rows that a rule removes go to `rejected_uri` with the reason,
+    where it is given; their counts by batch and reason are the audit.
     """
     keys = ["_key"] if rules.long_keys else rules.keys
 
@@ -95,8 +140,12 @@ def ingest_issues(
         folder = _batch_folder(documents_uri, batch_id)
         write_table(parse_payloads(batch), folder)
         documents = batch.sparkSession.read.parquet(folder)
-        firsts = first_complete(envelope_records(accepted(documents)), rules)
-        write_table(_unseen(firsts, keys, table_uri, batch_id), _batch_folder(table_uri, batch_id))
+        records = envelope_records(accepted(documents))
+        firsts = first_complete(records, rules)
+        _write_unseen(firsts, keys, table_uri, batch_id)
+        if rejected_uri:
+            written = batch.sparkSession.read.schema(firsts.schema).parquet(_batch_folder(table_uri, batch_id))
+            write_table(_rejected(records, firsts, written, rules), _batch_folder(rejected_uri, batch_id))
 
     return _start(stream_payloads(spark, landing_uri, True, files_per_batch), each, checkpoint_uri)
 

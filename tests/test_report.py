@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from rankweave.operators import report
 
@@ -60,3 +61,24 @@ def test_lookup_names_both_ways(spark, monkeypatch, few):
     assert len(got) == 52
     labels = {(r[0], r[2]) for r in got}
     assert labels == {("hot", "Hot"), ("x", "x"), (None, None)}
+
+
+def test_equal_rows_of_a_hot_code_use_more_than_one_task(spark):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        facts = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("code"))
+        names = spark.range(5000).select(F.col("id").alias("code"), F.concat(F.lit("n"), "id").alias("label"))
+        got = report.lookup_names(facts, names, "code", "label", broadcast=False)
+        hot = got.withColumn("part", F.spark_partition_id()).where("code = 7").agg(F.count("*"), F.countDistinct("part")).first()
+        assert hot[0] == facts.where("code = 7").count() and hot[1] > 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 from conftest import rows
 from issues import write_issues
+from pyspark.sql import functions as F
 
 from rankweave.operators import cleaning
 from rankweave.sources.envelopes import envelope_records, read_payloads, refused, split_payloads
+from rankweave.streaming import ingest
 from rankweave.streaming.ingest import ingest_issues, ingested, keep_first_stream
 
 
@@ -15,10 +17,48 @@ def batch_result(spark, landing):
 
 def run(spark, tmp_path, landing, files_per_batch=None):
     uris = [str(tmp_path / name) for name in ("table", "documents", "checkpoint")]
-    ingest_issues(spark, str(landing), *uris, files_per_batch=files_per_batch).awaitTermination()
+    rejected = str(tmp_path / "rejected")
+    ingest_issues(spark, str(landing), *uris, files_per_batch=files_per_batch, rejected_uri=rejected).awaitTermination()
     return uris
 
 
+def raw_records(spark, landing):
+    accepted, _ = split_payloads(read_payloads(spark, str(landing)))
+    return envelope_records(accepted)
+
+
+def test_one_batch_rejects_the_rows_of_the_batch_job(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_issues(landing, 6)
+    run(spark, tmp_path, landing)
+    columns = ["file_name", "pos", "reason"]
+    got = spark.read.parquet(str(tmp_path / "rejected")).select(columns)
+    assert rows(got) == rows(cleaning.rejected(raw_records(spark, landing), cleaning.FILE_RULES).select(columns))
+
+
+def test_many_batches_lose_no_row(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_issues(landing, 6)
+    table, _, _ = run(spark, tmp_path, landing, files_per_batch=2)
+    places = ["file_name", "pos"]
+    kept = spark.read.parquet(table).where("_valid").select(places)
+    rejected = spark.read.parquet(str(tmp_path / "rejected")).select(places)
+    assert rows(kept.union(rejected)) == rows(raw_records(spark, landing).select(places))
+
+
+def test_a_small_batch_does_not_shuffle_the_history(spark, tmp_path):
+    table = str(tmp_path / "table")
+    ingest._write_unseen(spark.range(200_000).withColumnRenamed("id", "k"), ["k"], table, 0)
+    batch = spark.createDataFrame([(5,), (None,), (300_000,)], "k long")
+    held = batch.withColumn(ingest.BUCKET, F.pmod(F.xxhash64("k"), F.lit(ingest.BUCKETS)).cast("int"))
+    unseen = ingest._unseen(held, ["k"], table, 1)
+    assert rows(unseen.select("k")) == [(300_000,), (None,)]
+    plan = unseen._jdf.queryExecution().sparkPlan().toString()
+    semi = plan.index("LeftSemi")
+    assert "BroadcastHashJoin" in plan[plan.rindex("\n", 0, semi) : semi]
+    assert "PartitionFilters: [" in unseen._jdf.queryExecution().toString()
+
+
 def test_one_batch_equals_the_batch_job(spark, tmp_path):
     landing = tmp_path / "landing"
     write_issues(landing, 6)
