@@ -11,8 +11,10 @@ from rankweave.llm.common import kept, table
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity lies within the limit of their language."""
-    own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "lang", "text")
-    return quality.judged(own, table(spark, sf_dir, "labels")).where("q_kept").select("row.*")
+    read = ["doc_id", "lang", "text"]
+    rest = F.struct(F.lit(0).alias("none"), *[c for c in docs.columns if c not in read])
+    left = quality.judged(docs.select(*read, rest.alias("rest")), table(spark, sf_dir, "labels")).where("q_kept")
+    return left.select(*[c if c in read else F.col("rest")[c].alias(c) for c in docs.columns])
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

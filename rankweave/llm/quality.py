@@ -1,22 +1,23 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over symbols: every character falls into one of 64 classes, so an order-4 model has at most 64 ** 4
-entries however large the corpus is. Counting and the discounts are joins and aggregations on n-gram codes. Because
-of that proven bound the finished model is sent to the executors in shards by context, and the n-grams of a block of
-documents are joined with one shard after the other where the text already is: no n-gram of a document is shuffled.
+The model is over whole code points (`ngrams`): its tables grow with the trusted text and are joined by shuffle.
+
+The functions up to `shards` are an earlier model over 64 symbol classes with at most 64 ** 4 entries. `judged` does
+not use them; tests hold them against brute force.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.llm import ngrams
 from rankweave.llm.common import kept
+from rankweave.storage import fits_broadcast
 
 ORDER = 4
 BITS = 6
@@ -167,17 +168,6 @@ def shards(model: dict[int, tuple[np.ndarray, ...]]) -> list[np.ndarray]:
     return out
 
 
-_at_hand: dict[str, list[np.ndarray]] = {}
-
-
-def _shards_of(name: str, model: dict[int, tuple[np.ndarray, ...]]) -> list[np.ndarray]:
-    """The shards of the model a worker used last."""
-    if name not in _at_hand:
-        _at_hand.clear()
-        _at_hand[name] = shards(model)
-    return _at_hand[name]
-
-
 def _interpolated(rows, k: int, lower: np.ndarray, first: int, contexts: int) -> np.ndarray:
     """Probabilities of all symbols after `contexts` contexts from `first` on, each a row of CLASSES."""
     context, code, share, passed = rows
@@ -190,70 +180,40 @@ def _interpolated(rows, k: int, lower: np.ndarray, first: int, contexts: int) ->
     return p
 
 
-def perplexity_parts(text: str, model: dict[int, tuple[np.ndarray, ...]]) -> Column:
-    """struct(symbols, nll) of a text column: its number of symbols and the sum of their negative logarithms.
-
-    Each block's n-grams are joined with one shard of the `compact` model after the other.
-    """
-    sent = SparkSession.active().sparkContext.broadcast(model)
-    name = uuid.uuid4().hex
-
-    @F.pandas_udf("symbols bigint, nll double")
-    def parts(texts):
-        import pandas as pd
-
-        size, total = [], []
-        shard_size = CLASSES**ORDER // SHARDS
-        for some in _pieces(pa.array(texts, pa.string(), from_pandas=True)):
-            symbols, offsets = _symbols(some)
-            code = _codes(symbols, offsets)
-            shard = code // shard_size
-            nll = np.empty(len(code), np.float32)
-            for s, block in enumerate(_shards_of(name, sent.value)):
-                own = np.flatnonzero(shard == s)
-                if len(own):
-                    nll[own] = block[code[own] - s * shard_size]
-            sums = np.concatenate([[0.0], np.cumsum(nll, dtype=np.float64)])
-            size.append(np.diff(offsets))
-            total.append(sums[offsets[1:]] - sums[offsets[:-1]])
-        join = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
-        return pd.DataFrame({"symbols": join(size, np.int64), "nll": join(total, np.float64)})
-
-    return parts(F.col(text))
-
-
-def train(docs: DataFrame, trusted: DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
-    """The compact model of all trusted texts: rows of `docs` whose doc_id is among the identifiers in `trusted`."""
+def train(docs: DataFrame, trusted: DataFrame) -> dict[int, DataFrame]:
+    """The model of all trusted texts: rows of `docs` whose doc_id is among the identifiers in `trusted`."""
     # labels grow with the documents, so they are not broadcast, however few there are
     texts = docs.select("doc_id", "text").join(trusted.select("doc_id").distinct().hint("merge"), "doc_id").select("text")
-    return compact(kneser_ney(kept(ngram_counts(texts), "ngram-counts")))
+    return ngrams.kneser_ney(ngrams.counts(texts))
 
 
-def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, carry: list[str] | None = None) -> DataFrame:
     """`docs` with columns q_symbols, q_perplexity, q_limit and q_kept (names that `docs` may not have are replaced).
 
     Trusted are the documents that a label marks with quality 1. Perplexity is per symbol, with PRIOR_SYMBOLS symbols
     of average trusted text added to each document, so an empty or null text has the average and is kept. A fifth of
     the trusted documents is not trained on. The limit of a language is ROOM times the `quantile` of its documents in
     that fifth; languages with fewer than LEAST_TRUSTED there, and null, take the quantile of all. Without any trusted
-    text nothing is rejected. A null doc_id has no label; a doc_id given twice is judged for each row.
+    text nothing is rejected. A null doc_id has no label; a doc_id given twice is judged for each row. Of the columns
+    of `docs` only `carry` is in the result, if given; it must have doc_id and lang.
     """
     trusted = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     aside = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
     model = train(docs, trusted.where(~aside))
-    trusted = trusted.where(aside)
-    parts = perplexity_parts("text", model)
-    scored = docs.withColumn("q_parts", parts)
-    scored = kept(scored.select("doc_id", "lang", F.col("q_parts.symbols").alias("n"), F.col("q_parts.nll").alias("nll")).join(trusted, "doc_id"), "trusted-scores")
-    mean = scored.agg(F.sum("nll") / F.sum("n")).first()[0] or 0.0
+    docs = docs.drop("q_symbols", "q_perplexity", "q_limit", "q_kept", "symbols", "nll") if carry is None else docs
+    carry = carry or docs.columns
+    scored = kept(ngrams.scored(docs, "text", model, carry), "scores")
+    known = kept(scored.select("doc_id", "lang", F.col("symbols").alias("n"), "nll").join(trusted.where(aside), "doc_id"), "trusted-scores")
+    mean = known.agg(F.sum("nll") / F.sum("n")).first()[0] or 0.0
     smooth = lambda nll, n: F.exp((nll + PRIOR_SYMBOLS * mean) / (n + PRIOR_SYMBOLS))
     value = smooth(F.col("nll"), F.col("n"))
-    whole = scored.agg(F.percentile_approx(value, quantile, 10_000)).first()[0]
-    limits = scored.groupBy("lang").agg(F.percentile_approx(value, quantile, 10_000).alias("own"), F.count("*").alias("rows"))
+    whole = known.agg(F.percentile_approx(value, quantile, 10_000)).first()[0]
+    limits = known.groupBy("lang").agg(F.percentile_approx(value, quantile, 10_000).alias("own"), F.count("*").alias("rows"))
     limits = limits.where(F.col("rows") >= LEAST_TRUSTED).where("lang is not null").select(F.col("lang").alias("q_lang"), "own")
-    out = docs.withColumn("q_parts", parts)
-    out = out.withColumns({"q_symbols": F.col("q_parts.symbols"), "q_perplexity": smooth(F.col("q_parts.nll"), F.col("q_parts.symbols"))})
+    limits = kept(limits, "limits")
+    limits = F.broadcast(limits) if fits_broadcast(limits) else limits
+    out = scored.withColumns({"q_symbols": F.col("symbols"), "q_perplexity": smooth(F.col("nll"), F.col("symbols"))})
     out = out.join(limits, out["lang"] == limits["q_lang"], "left")
     out = out.withColumn("q_limit", ROOM * F.coalesce("own", F.lit(whole).cast("double")))
     kept_flag = F.coalesce(F.col("q_perplexity") <= F.col("q_limit"), F.lit(True))
-    return out.withColumn("q_kept", kept_flag).drop("q_parts", "q_lang", "own")
+    return out.withColumn("q_kept", kept_flag).drop("symbols", "nll", "q_lang", "own")

@@ -87,7 +87,7 @@ FROM d LEFT JOIN g USING (doc_id)
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return quality.judged(docs.select("doc_id", "lang", "text"), labels).select(
+    return quality.judged(docs, labels, carry=["doc_id", "lang"]).select(
         "doc_id", "lang", F.col("q_symbols").alias("n_symbols"), F.col("q_perplexity").alias("perplexity"),
         F.col("q_limit").alias("perplexity_limit"), F.col("q_kept").alias("kept"),
     )

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA, rows
-from rankweave.llm import chat, components, digests, leaks, lengths, lines, minhash, pieces, quality, repeats, toxicity
+from rankweave.llm import chat, components, digests, leaks, lengths, lines, minhash, ngrams, pieces, quality, repeats, toxicity
 from rankweave.llm.common import table
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, bucket string, kept string, k int"
@@ -235,6 +235,57 @@ def test_quality_of_odd_rows(spark):
     assert quality.judged(docs, labels.limit(0)).where("q_kept").count() == len(ODD)
 
 
+def test_ngram_model_matches_brute_force(spark, monkeypatch):
+    from math import log
+
+    monkeypatch.setattr(ngrams, "BLOCK", 700)
+    monkeypatch.setattr(ngrams, "BLOCKS_A_SALT", 1)
+    trusted = prose(31, 40) + ["что за день сегодня", "何の日 𝒳 \0", "", None]
+    own = [collections.Counter() for _ in range(5)]
+    for t in trusted:
+        line = "\U0010ffff" * 3 + (t or "")
+        own[4].update(line[k - 3 : k + 1] for k in range(3, len(line)))
+    for k in (3, 2, 1):
+        own[k].update(x[1:] for x in own[k + 1])
+    p, rest = [{} for _ in range(5)], [{} for _ in range(5)]
+    for k in range(1, 5):
+        n = [sum(c == i for c in own[k].values()) for i in range(5)]
+        y = n[1] / (n[1] + 2 * n[2])
+        d = [0.5, 1.0, 1.5]
+        if all(n[1:]):
+            d = [min(max(x, 0.05), i - 0.05) for i, x in ((1, 1 - 2 * y * n[2] / n[1]), (2, 2 - 3 * y * n[3] / n[2]), (3, 3 - 4 * y * n[4] / n[3]))]
+        total, passed = collections.Counter(), collections.Counter()
+        for g, c in own[k].items():
+            total[g[:-1]] += c
+            passed[g[:-1]] += d[min(c, 3) - 1]
+        p[k] = {g: (c - d[min(c, 3) - 1]) / total[g[:-1]] for g, c in own[k].items()}
+        rest[k] = {c: passed[c] / total[c] for c in total}
+
+    def chance(g):
+        under = chance(g[1:]) if len(g) > 1 else 1 / (len(own[1]) + 1)
+        return p[len(g)].get(g, 0) + rest[len(g)].get(g[:-1], 1) * under
+
+    texts = [*trusted, *prose(32, 20), "ждать 日 ?"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(2)
+    model = ngrams.kneser_ney(ngrams.counts(spark.createDataFrame([(t,) for t in trusted], "text string")))
+    got = {r["doc_id"]: (r["symbols"], r["nll"]) for r in ngrams.scored(docs, "text", model, ["doc_id"]).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        line = "\U0010ffff" * 3 + (t or "")
+        assert got[i] == (len(t or ""), pytest.approx(sum(-log(chance(line[k - 3 : k + 1])) for k in range(3, len(line)))))
+
+
+def test_quality_tells_letters_of_other_scripts_apart(spark):
+    pick = random.Random(33)
+    vocabulary = ["".join(pick.choices("абвгд", k=pick.randint(2, 6))) for _ in range(60)]
+    clean = [" ".join(pick.choices(vocabulary, k=40)) for _ in range(60)]
+    junk = ["".join(x if x == " " else chr(ord(x) + 15) for x in t) for t in clean[:10]]  # equal in classes by code % 15
+    docs = documents(spark, list(enumerate(clean + junk)))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    out = {r["doc_id"]: r["q_kept"] for r in quality.judged(docs, labels).collect()}
+    assert not any(out[i] for i in range(60, 70)) and sum(out[i] for i in range(60)) >= 55
+
+
 # toxicity
 
 
