@@ -23,12 +23,11 @@ ORDER = 4
 BITS = 6
 CLASSES = 1 << BITS
 SHARDS = 16
-# Share of the trusted documents of a language that lie within its quantile, and the room above it.
+# Share of the trusted documents of a language that lie within its limit; README says what others cost.
 QUANTILE = 0.995
-ROOM = 1.2
 # One of so many trusted documents is kept out of the model and gives the quantiles.
 HELD_OUT = 5
-# Symbols of average text a document is filled up with, so that a few words alone cannot be rejected.
+# Symbols of average text a document is filled up with: without, short trusted texts lift the limits for all.
 PRIOR_SYMBOLS = 60
 # A language with fewer such documents takes the quantile of all.
 LEAST_TRUSTED = 5
@@ -192,8 +191,8 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, carry
 
     Trusted are the documents that a label marks with quality 1. Perplexity is per symbol, with PRIOR_SYMBOLS symbols
     of average trusted text added to each document, so an empty or null text has the average and is kept. A fifth of
-    the trusted documents is not trained on. The limit of a language is ROOM times the `quantile` of its documents in
-    that fifth; languages with fewer than LEAST_TRUSTED there, and null, take the quantile of all. Without any trusted
+    the trusted documents is not trained on. The limit of a language is the `quantile` of its documents in that
+    fifth; languages with fewer than LEAST_TRUSTED there, and null, take the quantile of all. Without any trusted
     text nothing is rejected. A null doc_id has no label; a doc_id given twice is judged for each row. Of the columns
     of `docs` only `carry` is in the result, if given; it must have doc_id and lang.
     """
@@ -214,6 +213,6 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, carry
     limits = F.broadcast(limits) if fits_broadcast(limits) else limits
     out = scored.withColumns({"q_symbols": F.col("symbols"), "q_perplexity": smooth(F.col("nll"), F.col("symbols"))})
     out = out.join(limits, out["lang"] == limits["q_lang"], "left")
-    out = out.withColumn("q_limit", ROOM * F.coalesce("own", F.lit(whole).cast("double")))
+    out = out.withColumn("q_limit", F.coalesce("own", F.lit(whole).cast("double")))
     kept_flag = F.coalesce(F.col("q_perplexity") <= F.col("q_limit"), F.lit(True))
     return out.withColumn("q_kept", kept_flag).drop("symbols", "nll", "q_lang", "own")

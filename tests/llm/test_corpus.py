@@ -286,6 +286,13 @@ def test_quality_tells_letters_of_other_scripts_apart(spark):
     assert not any(out[i] for i in range(60, 70)) and sum(out[i] for i in range(60)) >= 55
 
 
+def test_quality_limit_is_the_quantile_itself(spark):
+    docs = documents(spark, list(enumerate(prose(34, 100))))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)], "doc_id bigint, quality int, toxic int")
+    out = quality.judged(docs, labels).withColumn("aside", F.pmod(F.xxhash64("doc_id"), F.lit(quality.HELD_OUT)) == 0).collect()
+    assert {r["q_limit"] for r in out} == {max(r["q_perplexity"] for r in out if r["aside"])}
+
+
 # toxicity
 
 
