@@ -1,7 +1,7 @@
 """Dictionary segmentation for scripts written without spaces.
 
-Texts are cut into pieces first: runs of the unspaced script, and runs of other letters and digits,
-which are words already. Only distinct pieces are segmented. Spark finds and spreads the pieces; the
+Texts are cut into pieces first: runs of letters and digits. Those with no character of the unspaced
+script are words already. Only distinct pieces are segmented. Spark finds and spreads the pieces; the
 Python part chooses a path through the dictionary words of one piece.
 """
 
@@ -18,37 +18,70 @@ from rankweave.functions.numeric import once
 from rankweave.functions.text import digest
 
 HAN = r"\p{IsHan}"
-# Dictionary rows that may be sent to every executor; counted before it is done.
+# Dictionary rows, and bytes of a table of all their beginnings at most, that may be sent to every
+# executor; counted before it is done.
 MOST_WORDS = 1_000_000
+MOST_BYTES = 192 << 20
+# Words up to this length are joined as they are, longer ones by their digest.
+LONG = 32
 LIKELIEST = "likeliest"
 LONGEST = "longest"
 
 
 def pieces(df: DataFrame, text: str, keep: list[str] | None = None, script: str = HAN) -> DataFrame:
-    """`(*keep, piece)`: runs of the script, and runs of other letters and digits."""
-    runs = rf"({script}+|[\p{{L}}\p{{N}}&&[^{script}]]+)"
+    """`(*keep, piece)`: runs of the script and other letters and digits."""
+    runs = rf"([{script}\p{{L}}\p{{N}}]+)"  # one class: a repeated group overflows the stack on long runs
     return df.select(*(keep or []), F.explode(F.regexp_extract_all(text, F.lit(runs), 1)).alias("piece"))
 
 
-def path_finder(unknown: float, method: str) -> Callable[[str, dict[int, list[tuple[int, float]]]], list[str]]:
-    """A function from one piece and the words found in it to the words of the best path.
+def path_finder(unknown: float, method: str) -> Callable[..., list[str]]:
+    """A function from one piece, the words found in it and its atoms to the words of the best path.
 
-    The words found are `{start: [(length, log probability), …]}`. A character that starts no word
-    stands alone, with the log probability `unknown`. The function is an inner one so that it travels
-    to the Python workers by value; they need not have this package.
+    The words found are `{start: [(length, log probability), …]}`. The atoms are the sizes of the parts of
+    the piece, one for each character of the script and one for each run of others; without them every
+    character is an atom. An atom that no word covers stands alone, with the log probability `unknown`; of
+    one that a word covers in part, the rest does. A word without the script counts only as a whole run.
+    The function is an inner one so that it travels to the Python workers by value; they need not have
+    this package.
     """
     longest_first = method == LONGEST
 
-    def find(piece: str, found: dict[int, list[tuple[int, float]]]) -> list[str]:
+    def find(piece: str, found: dict[int, list[tuple[int, float]]], atoms=None) -> list[str]:
         size = len(piece)
-        step = [1] * size
+        ends = list(range(1, size + 1))
+        if atoms is not None and len(atoms) < size:
+            at = 0
+            for width in atoms:
+                end = at + int(width)
+                for start in range(at, end):
+                    ends[start] = end
+                    if end - at > 1 and start in found:
+                        found[start] = [x for x in found[start] if start + x[0] > end or (start == at and x[0] == width)]
+                # what no word covers reaches to the next place in the run where a word starts
+                for start in range(end - 2, at - 1, -1):
+                    ends[start] = start + 1 if found.get(start + 1) else ends[start + 1]
+                at = end
+        step = [end - start for start, end in enumerate(ends)]
         if longest_first:
             for start, options in found.items():
-                step[start] = max(length for length, _ in options)
+                if options:
+                    step[start] = max(length for length, _ in options)
         else:
+            whole = {}
+            at = 0
+            for width in atoms if atoms is not None and len(atoms) < size else ():
+                whole |= {start: at + int(width) for start in range(at, at + int(width) - 1)}
+                at += int(width)
             score = [0.0] * (size + 1)
             for start in range(size - 1, -1, -1):
-                best, width = unknown + score[start + 1], 1
+                # up to each place of the run where a word starts, and to its end
+                last = whole.get(start, start + 1)
+                end = ends[start]
+                best, width = unknown + score[end], end - start
+                while end < last:
+                    end = ends[end]
+                    if (unknown + score[end], end - start) > (best, width):
+                        best, width = unknown + score[end], end - start
                 for length, weight in found.get(start, ()):
                     value = weight + score[start + length]
                     if (value, length) > (best, width):
@@ -63,17 +96,23 @@ def path_finder(unknown: float, method: str) -> Callable[[str, dict[int, list[tu
     return find
 
 
-def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST) -> DataFrame:
+def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST, script: str | None = None) -> DataFrame:
     """Add `words` to a table of distinct pieces, column `piece`.
 
     `dictionary` is `(word, freq)`. It is broadcast when counting shows that it is small enough;
-    otherwise the words inside the pieces are found by a join, with the same result.
+    otherwise the words inside the pieces are found by a join, with the same result. With `script`, runs
+    of other characters stay whole where no word covers them.
     """
     weights = dictionary.groupBy("word").agg(F.max("freq").cast("double").alias("freq"))
     # the total is of the counts as they are used: a word that was never counted counts once
     weights = weights.where("word <> ''").withColumn("freq", F.greatest(F.coalesce("freq", F.lit(1.0)), F.lit(1.0)))
-    size, total, longest = weights.agg(
-        F.count("word"), F.coalesce(F.sum("freq"), F.lit(1.0)), F.coalesce(F.max(F.length("word")), F.lit(1))
+    # every beginning of a word is a string of its own, of up to 4 bytes a character and about 130 besides
+    width = F.length("word").cast("double")
+    size, total, most, lengths = weights.agg(
+        F.count("word"),
+        F.coalesce(F.sum("freq"), F.lit(1.0)),
+        F.coalesce(F.sum(130 * width + 2 * width * (width + 1)), F.lit(0.0)),
+        F.array_sort(F.collect_set(F.length("word"))),
     ).first()
     unknown = -log(total)
     weights = weights.select("word", (F.log("freq") + unknown).alias("weight"))
@@ -82,9 +121,15 @@ def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST)
     spark = distinct.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     distinct = distinct.repartition(tasks, F.xxhash64("piece"))
-    if size <= MOST_WORDS:
-        return _segment_by_broadcast(distinct, weights, unknown, method)
-    return _segment_by_join(distinct, weights, longest, unknown, method)
+    atoms = F.lit(None).cast("array<int>")
+    if script is not None:
+        parts = F.regexp_extract_all("piece", F.lit(rf"({script}|[^{script}]+)"), F.lit(1))
+        atoms = F.transform(parts, F.length)
+    distinct = distinct.withColumn("_atoms", atoms)
+    by_broadcast = size <= MOST_WORDS and most <= MOST_BYTES
+    if by_broadcast:
+        return _segment_by_broadcast(distinct, weights, unknown, method).drop("_atoms")
+    return _segment_by_join(distinct, weights, lengths, unknown, method).drop("_atoms")
 
 
 def _uncopied(udf):
@@ -108,10 +153,10 @@ def _segment_by_broadcast(distinct: DataFrame, weights: DataFrame, unknown: floa
     find = path_finder(unknown, method)
 
     @F.pandas_udf("array<string>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         known = shared.value
 
-        def one(piece: str) -> list[str]:
+        def one(piece: str, atoms) -> list[str]:
             found: dict[int, list[tuple[int, float]]] = {}
             size = len(piece)
             for start in range(size):
@@ -125,60 +170,59 @@ def _segment_by_broadcast(distinct: DataFrame, weights: DataFrame, unknown: floa
                         options.append((end - start, weight))
                 if options:
                     found[start] = options
-            return find(piece, found)
+            return find(piece, found, atoms)
 
-        for batch in batches:
-            yield batch.map(one)
+        for texts, atoms in batches:
+            yield pd.Series([one(*x) for x in zip(texts, atoms)], dtype=object)
 
-    return distinct.withColumn("words", _uncopied(cut)("piece"))
+    return distinct.withColumn("words", _uncopied(cut)("piece", "_atoms"))
 
 
 def _segment_by_join(
-    distinct: DataFrame, weights: DataFrame, longest: int, unknown: float, method: str, salts: int = 32
+    distinct: DataFrame, weights: DataFrame, lengths: list[int], unknown: float, method: str, salts: int = 32
 ) -> DataFrame:
-    """Every substring up to the longest word is looked up; a common one is spread over salted keys.
+    """Every substring as long as some word is looked up; a common one is spread over salted keys.
 
     Rows of substrings carry a digest of their piece, as the piece itself, repeated for each of its
-    characters, would be quadratic. What comes back for a piece is bounded by its own length times the
-    longest word.
+    characters, would be quadratic; long substrings are digests too. There are at most as many for each
+    character as words have different lengths.
     """
     keyed = distinct.withColumn("_id", digest(F.col("piece")))
     characters = F.regexp_extract_all("piece", F.lit("(?s)."), F.lit(0))
     spelled = keyed.select("_id", "piece").distinct().select("_id", once(characters).alias("characters"))
-    heads = F.transform(
-        F.sequence(F.lit(1), F.size("characters")),
-        lambda place: F.array_join(F.slice("characters", place, F.lit(longest)), ""),
-    )
-    starts = spelled.select("_id", F.posexplode(heads).alias("start", "head"))
-    spans = starts.select(
-        "_id", "start", "head", F.explode(F.sequence(F.lit(1), F.length("head"))).alias("length")
-    ).select(
-        "_id",
-        "start",
-        "length",
-        F.substring("head", F.lit(1), F.col("length")).alias("word"),
-        F.pmod(F.xxhash64("_id", "start"), F.lit(salts)).cast("int").alias("salt"),
-    )
+    key = lambda word, length: F.when(length <= LONG, word).otherwise(digest(word))
+    count = F.size("characters")
+    known = F.array(*[F.lit(x) for x in lengths or [1]])
+
+    def at(place):
+        word = lambda length: F.array_join(F.slice("characters", place + 1, length), "")
+        fit = F.filter(known, lambda length: place + length <= count)
+        return F.transform(fit, lambda length: F.struct(place.alias("start"), length.alias("length"), key(word(length), length).alias("key")))
+
+    places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    spans = spelled.select("_id", F.inline(F.flatten(F.transform(places, at))))
+    spans = spans.withColumn("salt", F.pmod(F.xxhash64("_id", "start"), F.lit(salts)).cast("int"))
+    weights = weights.select(F.length("word").alias("length"), key(F.col("word"), F.length("word")).alias("key"), "weight")
     repeated = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     found = (
-        spans.join(repeated, ["word", "salt"])
+        spans.join(repeated, ["length", "key", "salt"])
         .groupBy("_id")
         .agg(F.collect_list(F.struct("start", "length", "weight")).alias("found"))
     )
     find = path_finder(unknown, method)
 
     @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series, spans_found: pd.Series) -> pd.Series:
+    def cut(texts: pd.Series, spans_found: pd.Series, parts: pd.Series) -> pd.Series:
         out = []
-        for piece, spans in zip(texts, spans_found):
+        for piece, spans, atoms in zip(texts, spans_found, parts):
             by_start: dict[int, list[tuple[int, float]]] = {}
             for span in spans if spans is not None else []:
                 by_start.setdefault(span["start"], []).append((span["length"], span["weight"]))
-            out.append(find(piece, by_start))
+            out.append(find(piece, by_start, atoms))
         return pd.Series(out, dtype=object)
 
     joined = keyed.join(found, "_id", "left")
-    return joined.withColumn("words", _uncopied(cut)("piece", "found")).drop("_id", "found")
+    return joined.withColumn("words", _uncopied(cut)("piece", "found", "_atoms")).drop("_id", "found")
 
 
 def dictionary_word_counts(
@@ -194,11 +238,11 @@ def dictionary_word_counts(
     by = by or []
     times = pieces(df, text, by, script).groupBy(*by, "piece").agg(F.count(F.lit(1)).alias("times"))
     shortest = max(min_length, 1)
-    kind = F.when(F.col("piece").rlike(f"^{script}"), "cut").when(F.length("piece") >= shortest, "word")
+    kind = F.when(F.col("piece").rlike(script), "cut").when(F.length("piece") >= shortest, "word")
     # Generated after the counting, so that the two filters below stay above it and share its shuffle.
     counted = times.select("*", once(kind).alias("kind"))
     whole = counted.where("kind = 'word'").select(*by, F.col("piece").alias("word"), "times")
     # With `by`, a piece may be here once per group; it is then cut for each, which needs no join.
-    cut = segment(counted.where("kind = 'cut'"), dictionary, method)
+    cut = segment(counted.where("kind = 'cut'"), dictionary, method, script)
     parts = cut.select(*by, F.explode("words").alias("word"), "times").where(F.length("word") >= shortest)
     return whole.unionByName(parts).groupBy(*by, "word").agg(F.sum("times").alias("count"))

@@ -108,6 +108,28 @@ def test_dictionary_counts_mix_scripts(spark, both_ways):
     assert rows(got) == [("GTA5", 1), ("abc", 1), ("中国", 3), ("中国人", 1), ("游戏", 2)]
 
 
+def test_dictionary_words_that_mix_scripts(spark, both_ways):
+    mixed = spark.createDataFrame([("B站", 30), ("T恤", 20), ("卡拉OK", 20), ("中国", 50), ("TA", 90), ("x" * 40 + "国", 9)], "word string, freq long")
+    df = texts(spark, "B站中国", "中国T恤GTA5", "唱卡拉OK吧", "OK", "AB站", "x" * 40 + "国中国TA")
+    for method in (segment.LIKELIEST, segment.LONGEST):
+        got = segment.dictionary_word_counts(df, "text", mixed, method=method, min_length=1)
+        expected = [("A", 1), ("B站", 2), ("GTA5", 1), ("OK", 1), ("TA", 1), ("T恤", 1), ("x" * 40 + "国", 1), ("中国", 3), ("卡拉OK", 1), ("吧", 1), ("唱", 1)]
+        assert sorted(rows(got)) == sorted(expected)
+
+
+def test_long_runs_are_cut(spark):
+    df = texts(spark, "x" * 200_000 + "中国")
+    got = segment.dictionary_word_counts(df, "text", dictionary(spark))
+    assert rows(got) == sorted([("x" * 200_000, 1), ("中国", 1)], key=repr)
+
+
+def test_one_long_word_is_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(segment, "_segment_by_broadcast", None)
+    long = spark.createDataFrame([("中" * 20_000, 1), ("中国", 1)], "word string, freq long")
+    df = spark.createDataFrame([("中国中国",)], "piece string")
+    assert [r["words"] for r in segment.segment(df, long).collect()] == [["中国", "中国"]]
+
+
 def test_dictionary_counts_by_group(spark, both_ways):
     df = spark.createDataFrame([("a", "中国游戏"), ("b", "中国游戏"), ("b", "中国游戏 中国")], "g string, text string")
     got = segment.dictionary_word_counts(df, "text", dictionary(spark), ["g"])
