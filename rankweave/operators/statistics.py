@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from rankweave.functions.numeric import all_of
 from rankweave.storage import BROADCAST_ROWS
 
-# Distinct values one window task should sort, and the most value ranges that are made.
+# Distinct values one window task should sort.
 VALUES_PER_RANGE = 1_000_000
-MOST_RANGES = 1000
-# Values picked to place the range limits; also the size of what the driver collects for it.
+# Values picked to place the range limits, at least and for each range; the driver collects them.
 RANGE_PICKS = 16_384
+PICKS_A_RANGE = 16
 # A value on more than 1/HOT_SHARE of the rows is hot; there are at most HOT_SHARE such values.
 HOT_SHARE = 1000
 # Keys the rows of one hot value are spread over.
@@ -42,13 +42,14 @@ def _range_limits(df: DataFrame, distinct: dict[str, int]) -> dict[str, list[flo
     group, the one with the smallest hash, which is an even choice among the distinct values whatever
     their frequency. The limits go through the driver so that all steps and retries use the same.
     """
-    ranges = {c: min(MOST_RANGES, -(-d // VALUES_PER_RANGE)) for c, d in distinct.items()}
+    ranges = {c: -(-d // VALUES_PER_RANGE) for c, d in distinct.items()}
     split = [c for c, count in ranges.items() if count > 1]
     limits = {c: [] for c in distinct}
     if not split:
         return limits
     code = F.xxhash64("value")
-    groups = _stacked(df, split).groupBy("place", F.pmod(code, F.lit(RANGE_PICKS)))
+    wanted = max(RANGE_PICKS, PICKS_A_RANGE * max(ranges.values()))
+    groups = _stacked(df, split).groupBy("place", F.pmod(code, F.lit(wanted)))
     picks = groups.agg(F.min_by("value", code).alias("value")).select("place", "value").collect()
     for i, c in enumerate(split):
         values = sorted(value for place, value in picks if place == i)
@@ -73,7 +74,7 @@ def running_before(
     sums = {prefix + a: F.coalesce(F.sum(a).over(inside), F.lit(0)) for a in amounts}
     if not limits:
         return ranged.withColumns(sums).drop("_range")
-    # At most MOST_RANGES rows: small enough for one window task and for a broadcast.
+    # One row for each VALUES_PER_RANGE distinct values: small enough for one window task and for a broadcast.
     lower = Window.partitionBy(F.lit(1)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range")
@@ -174,13 +175,15 @@ def accuracy(df: DataFrame, truth: Column, predicted: Column) -> DataFrame:
 
 
 def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row `(positives, negatives, auc)`; tied scores count half.
+    """One row `(positives, negatives, auc, skipped)`; tied scores count half.
 
-    Works on one row per distinct score. Counts are multiplied as decimals, so the sum is exact and
+    Rows with a missing score (null or NaN) or a label that is not 0 or 1 are left out and counted in
+    `skipped`. Works on one row per distinct score. Counts are multiplied as decimals, so the sum is exact and
     does not depend on partition order.
     """
-    scored = df.select(F.col(label).cast("int").alias("label"), F.col(score).cast("double").alias("score"))
-    scored = scored.na.drop()
+    scored = df.select(F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score"))
+    rows = scored.count()
+    scored = scored.where("label in (0, 1) and score is not null and not isnan(score)")
     _, distinct = _profile(scored, ["score"])
     limits = _range_limits(scored, distinct)["score"]
     per_score = scored.groupBy("score").agg(
@@ -193,6 +196,10 @@ def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"), F.sum(halves).alias("halves")
     )
     pairs = 2.0 * F.col("positives").cast("double") * F.col("negatives").cast("double")
+    used = F.coalesce(F.col("positives") + F.col("negatives"), F.lit(0))
     return sums.select(
-        "positives", "negatives", (F.col("halves").cast("double") / F.when(pairs > 0, pairs)).alias("auc")
+        "positives",
+        "negatives",
+        (F.col("halves").cast("double") / F.when(pairs > 0, pairs)).alias("auc"),
+        (F.lit(rows).cast("bigint") - used).alias("skipped"),
     )

@@ -699,7 +699,9 @@ def q20_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q21_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _labelled_documents(spark, sf_dir).select("quality", "n_chars")
-    return statistics.area_under_roc(scored, "quality", "n_chars").withColumn("auc", F.round("auc", 6))
+    # its SQL has no count of skipped rows
+    row = statistics.area_under_roc(scored, "quality", "n_chars").drop("skipped")
+    return row.withColumn("auc", F.round("auc", 6))
 
 
 def _share_of_letters(pattern: str) -> Column:

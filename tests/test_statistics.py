@@ -122,6 +122,21 @@ def test_auc_limits(spark):
     assert auc([(1, 1.0)]) is None
 
 
+def test_auc_counts_the_rows_it_leaves_out(spark):
+    data = [(0.0, 1.0), (1.0, 2.0), (None, 1.0), (1.0, None), (0.0, float("nan")), (2.0, 1.0), (0.5, 1.0)]
+    df = spark.createDataFrame(data, "label double, score double")
+    row = statistics.area_under_roc(df, "label", "score").first()
+    assert (row["positives"], row["negatives"], row["auc"], row["skipped"]) == (1, 1, 1.0, 5)
+    assert statistics.area_under_roc(df.limit(0), "label", "score").first()["skipped"] == 0
+
+
+def test_ranges_follow_the_distinct_values(spark, monkeypatch):
+    monkeypatch.setattr(statistics, "VALUES_PER_RANGE", 1)
+    df = spark.range(3000).select(F.col("id").cast("double").alias("value"))
+    limits = statistics._range_limits(df, {"value": 3000})["value"]
+    assert len(limits) > 1500
+
+
 def test_accuracy(spark):
     df = scored(spark, 500).withColumn("prediction", (F.col("score") > 0.6).cast("double"))
     row = statistics.accuracy(df, F.col("label"), F.col("prediction")).first()
