@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankweave.llm import chat, digests, leaks, lengths, lines, minhash, pieces, quality, repeats, toxicity
+from rankweave.llm import centroids, chat, digests, leaks, lengths, lines, minhash, pieces, quality, repeats, search, tiles, toxicity
 from rankweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,87 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.sentence_pieces(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.similar_documents(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+ORACLE["op11_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+t AS (SELECT doc_id, sh, n FROM s JOIN n USING (doc_id)),
+e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.sh = b.sh AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, u.b FROM r JOIN u ON r.c = u.a)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed="2:")
+
+
+def _centroids_sql(rounds: int = 5) -> str:
+    """Distances as sums over components; they stay far below 2 ** 53, so sums of doubles are exact."""
+    steps = [
+        """WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM v),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), v) - 1 AS c, v
+  FROM v WHERE vec_id IS NOT NULL QUALIFY c < 40)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (
+  SELECT vec_id, v.v, min(struct_pack(d := list_sum(list_transform(list_zip(v.v, k.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, c := c)) AS best
+  FROM v CROSS JOIN c{r} k GROUP BY vec_id, v.v)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (
+  SELECT best.c AS c, j, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT best, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{r}) GROUP BY best.c, j),
+m{r} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM s{r} GROUP BY c),
+c{r + 1} AS (SELECT c, coalesce(m{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN m{r} USING (c))""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia,
+       (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(k.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} k ON k.c = best.c
+"""
+
+
+ORACLE["op12_centroids"] = _centroids_sql()
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+_TERMS = r"""unnest(regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+
+ORACLE["op13_ranked_search"] = f"""
+WITH t AS (SELECT doc_id, {_TERMS.format("text")} FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+z AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, z GROUP BY term, docs),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, {_TERMS.format("text")} FROM benchmark) GROUP BY ALL),
+m AS (SELECT doc_id, 25 + (75 * n * docs) // total AS m FROM n, z),
+s AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
