@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rankweave.llm.common import kept
+from rankweave.storage import fits_broadcast
 
 # Letters and digits of ASCII and every byte of other characters are in a term, A-Z as a-z.
 _SPELLED = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -68,8 +69,11 @@ def index(rows: DataFrame, documents: int, occurrences: int, slope: int = 75) ->
     """
     normal = F.expr(f"{100 - slope} + (({slope} * n * {documents}) div {max(occurrences, 1)})")
     held = rows.where(F.size("term") > 0).withColumn("m", normal)
-    pieces = held.groupBy("m").agg(F.ceil(F.sum(F.size("term")) / PIECE_POSTINGS).alias("pieces"))
-    dealt = held.join(pieces, "m").withColumn("piece", F.pmod(F.xxhash64("doc_id", "n", "term", "tf"), F.col("pieces"))).drop("n", "pieces")
+    large = held.groupBy("m").agg(F.ceil(F.sum(F.size("term")) / PIECE_POSTINGS).alias("pieces")).where("pieces > 1")
+    # documents of one stratum would all meet in a shuffled join; few strata are large
+    large = F.broadcast(large) if fits_broadcast(large) else large
+    piece = F.pmod(F.xxhash64("doc_id", "n", "term", "tf"), F.coalesce("pieces", F.lit(1)))
+    dealt = held.join(large, "m", "left").withColumn("piece", piece).drop("n", "pieces")
 
     def build(piece: pa.Table) -> pa.Table:
         piece = piece.combine_chunks()
