@@ -276,6 +276,53 @@ def q08_fill_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.md5(fill_empty(F.col("t"), F.col("s"))).alias("filled_md5"))
 
 
+# Documents of one issue file, by their numbers.
+ISSUE_DOCUMENTS = 50
+
+
+def _issue_files(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as issue files, each in a folder of its own, where Spark names them alike.
+
+    Of five files one is cut off, one has a byte that is no UTF-8, one has text after its end. The driver adds one
+    file of zero bytes, which no writer makes.
+    """
+    docs = table(spark, sf_dir, "documents").withColumn("part", F.floor(F.col("doc_id") / ISSUE_DOCUMENTS))
+    item = F.struct(F.col("doc_id"), F.col("source").alias("title"))
+    lists = docs.groupBy("part").agg(F.sort_array(F.collect_list(item)).alias("list"))
+    whole = F.to_json(F.struct(F.struct(F.transform("list", lambda x: F.struct(x["title"])).alias("list")).alias("data")))
+    half = (F.length("whole") / 2).cast("int")
+    damaged = (
+        F.when(F.col("part") % 5 == 1, F.substring("whole", F.lit(1), half))
+        .when(F.col("part") % 5 == 2, F.concat(F.encode(F.substring("whole", F.lit(1), half), "UTF-8"), F.unhex(F.lit("FF")), F.encode(F.substring(F.col("whole"), half + 1, F.length("whole")), "UTF-8")).cast("string"))
+        .when(F.col("part") % 5 == 3, F.concat("whole", F.lit("{}")))
+        .otherwise(F.col("whole"))
+    )
+    landing = new_folder(spark, "issue-files")
+    lists.select("part", whole.alias("whole")).select("part", damaged.alias("value")).write.partitionBy("part").text(landing)
+    empty = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/part=-1/part-empty.txt")
+    empty.getFileSystem(spark._jsc.hadoopConfiguration()).create(empty).close()
+    return landing
+
+
+@register(
+    f"""
+    select cast(floor(doc_id / {ISSUE_DOCUMENTS}) as bigint) as part, count(*) as n_documents,
+           case cast(floor(doc_id / {ISSUE_DOCUMENTS}) as bigint) % 5 when 1 then 'unparseable' when 2 then 'undecodable' when 3 then 'unparseable' else 'accepted' end as state,
+           case when cast(floor(doc_id / {ISSUE_DOCUMENTS}) as bigint) % 5 in (0, 4) then count(*) else 0 end as n_items
+    from documents group by 1
+    union all select -1, 0, 'empty', 0
+    """
+)
+def q02_quarantine_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issue files read whole: each is accepted or named with the reason it is refused for; none gets lost or mended."""
+    payloads = envelopes.read_payloads(spark, f"{_issue_files(spark, sf_dir)}/*/*.txt")
+    read = envelopes.parse_payloads(payloads)
+    part = F.regexp_extract("file_path", r"/part=(-?\d+)/", 1).cast("bigint").alias("part")
+    files = read.select(part, F.coalesce("reason", F.lit("accepted")).alias("state"), F.coalesce(F.size("doc.data.list"), F.lit(0)).cast("bigint").alias("n_items"))
+    docs = table(spark, sf_dir, "documents").groupBy(F.floor(F.col("doc_id") / ISSUE_DOCUMENTS).alias("part")).agg(F.count(F.lit(1)).alias("n_documents"))
+    return files.join(docs, "part", "left").select("part", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), "state", "n_items")
+
+
 @register(
     f"""
     with {_LINES_SQL}

@@ -10,6 +10,16 @@ from rankweave.functions.numeric import once
 from rankweave.schemas import BEST_RANK, DISLIKE, ENVELOPE, METRICS
 
 _END = "end"
+# Bytes of a file that is read as one document, at most.
+MOST_BYTES = 256 << 20
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+# Why a document is refused.
+EMPTY = "empty"
+TOO_LARGE = "too_large"
+UNDECODABLE = "undecodable"
+UNPARSEABLE = "unparseable"
+NULL_ITEM = "null_item"
 
 
 def parse_json(df: DataFrame, payload: str, schema: T.StructType | str, out: str = "doc") -> DataFrame:
@@ -44,50 +54,91 @@ def parse_json(df: DataFrame, payload: str, schema: T.StructType | str, out: str
     )
 
 
-def read_payloads(spark: SparkSession, uri: str, one_per_file: bool = True) -> DataFrame:
-    """`(file_name, file_path, payload)` for each file, or for each line of each file.
+def read_payloads(spark: SparkSession, uri: str, one_per_file: bool = True, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """`(file_name, file_path, payload, fault)` for each file, or for each line of each file.
+
+    Files are read as bytes, so that `parse_payloads` can tell those that are no UTF-8. `fault` says why a file
+    has no payload: it is empty, or larger than `most_bytes` and then never read; a line has none. Lines of one file
+    share its name; cleaning needs a name per document, so take it from the payload there.
+    """
+    if not one_per_file:
+        return _named(spark.read.text(uri), F.col("value"), F.lit(None).cast("string"))
+    files = spark.read.format("binaryFile").load(uri)
+    large = _named(files.where(F.col("length") > most_bytes), F.lit(None).cast("string"), F.lit(TOO_LARGE))
+    whole = _named(files.where(F.col("length") <= most_bytes), F.col("content").cast("string"), F.lit(None).cast("string"))
+    empty = empty_files(spark, uri).select("*", F.lit(None).cast("string").alias("payload"), F.lit(EMPTY).alias("fault"))
+    return whole.unionByName(large).unionByName(empty)
+
+
+def empty_files(spark: SparkSession, uri: str) -> DataFrame:
+    """`(file_name, file_path)` of files of zero bytes, which every file source of Spark passes over.
 
-    Files of zero bytes give no row: Spark's file sources pass over them. Lines of one file share its
-    name; cleaning needs a name per document, so take it from the payload there.
+    They are the files that the driver listed and that no task was given. The driver holds the names of all
+    files to plan any scan of them; no content is read.
     """
-    return _named(spark.read.text(uri, wholetext=one_per_file))
+    files = spark.read.format("binaryFile").load(uri)
+    listed = spark.createDataFrame([(path,) for path in files.inputFiles()], "path string").select(_location("path").alias("file_path"))
+    given = files.select(_location("_metadata.file_path").alias("given"))
+    empty = listed.join(given, F.col("file_path") == F.col("given"), "left_anti")
+    return empty.select(_spelled(F.element_at(F.split("file_path", "/"), -1)).alias("file_name"), "file_path")
 
 
 def stream_payloads(
-    spark: SparkSession, uri: str, one_per_file: bool = True, files_per_batch: int | None = None
+    spark: SparkSession, uri: str, one_per_file: bool = True, files_per_batch: int | None = None, most_bytes: int = MOST_BYTES
 ) -> DataFrame:
-    """Streaming form of `read_payloads`."""
-    reader = spark.readStream.format("text").option("wholetext", one_per_file)
+    """Streaming form of `read_payloads`; a stream is never given an empty file, see `empty_files` for those."""
+    reader = spark.readStream.format("binaryFile").schema(_FILE) if one_per_file else spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _named(reader.load(uri))
+    if not one_per_file:
+        return _named(reader.load(uri), F.col("value"), F.lit(None).cast("string"))
+    small = F.col("length") <= most_bytes
+    return _named(reader.load(uri), F.when(small, F.col("content").cast("string")), F.when(~small, F.lit(TOO_LARGE)))
+
+
+def _location(path: str) -> Column:
+    """A path with one slash after its scheme, as listings and scans write it differently."""
+    return F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def _spelled(name: Column) -> Column:
+    """A file's name from its form in a path, which is that of a URL, but for a plus sign."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def _named(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("value").alias("payload"),
+def _named(files: DataFrame, payload: Column, fault: Column) -> DataFrame:
+    return files.select(
+        _spelled(F.col("_metadata.file_name")).alias("file_name"),
+        _location("_metadata.file_path").alias("file_path"),
+        payload.alias("payload"),
+        fault.alias("fault"),
     )
 
 
 def parse_payloads(df: DataFrame, payload: str = "payload", schema: T.StructType = ENVELOPE) -> DataFrame:
     """Documents with `doc`, and `payload` and `reason` where one is refused.
 
-    A document with an unusable item is refused as a whole, like one that does not parse. Write this
-    once and take `accepted` and `refused` from it, to parse each document once.
+    A document with an unusable item is refused as a whole, like one that does not parse or holds a byte that
+    is no UTF-8: nothing is repaired. A refused payload stays as it came, byte for byte. Write this once
+    and take `accepted` and `refused` from it, to parse each document once.
     """
-    parsed = parse_json(df, payload, schema)
-    reason = F.when(~F.col("is_valid"), "unparseable").when(
-        F.exists("doc.data.list", lambda item: item.isNull()), "null_item"
+    fault = F.col("fault") if "fault" in df.columns else F.lit(None).cast("string")
+    others = [name for name in df.columns if name not in (payload, "fault")]
+    decoded = F.is_valid_utf8(F.col(payload))
+    held = df.select(*others, F.col(payload).alias("_raw"), fault.alias("_fault"), F.when(decoded, F.col(payload)).alias("_text"))
+    parsed = parse_json(held, "_text", schema)
+    reason = (
+        F.when(F.col("_fault").isNotNull(), F.col("_fault"))
+        .when(F.col("_raw").isNotNull() & F.col("_text").isNull(), UNDECODABLE)
+        .when(~F.col("is_valid"), UNPARSEABLE)
+        .when(F.exists("doc.data.list", lambda item: item.isNull()), NULL_ITEM)
     )
-    others = [name for name in df.columns if name != payload]
-    kept = parsed.select(*others, "doc", payload, reason.alias("reason"))
-    return kept.withColumns(
-        {
-            "doc": F.when(F.col("reason").isNull(), F.col("doc")),
-            payload: F.when(F.col("reason").isNotNull(), F.col(payload)),
-        }
+    kept = parsed.select(*others, "doc", "_raw", reason.alias("reason"))
+    return kept.select(
+        *others,
+        F.when(F.col("reason").isNull(), F.col("doc")).alias("doc"),
+        F.when(F.col("reason").isNotNull(), F.col("_raw")).alias(payload),
+        "reason",
     )
 
 

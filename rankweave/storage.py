@@ -1,8 +1,11 @@
-"""Shared scratch folders and checks of table size."""
+"""Shared scratch folders, checks of table size, and the package itself for the executors."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,3 +40,23 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int =
     width = sum(lengths[1:], lengths[0])
     seen = df.select(width.alias("width")).limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("width"), F.lit(0))).first()
     return seen[0] <= limit and seen[1] <= most_bytes
+
+
+_given: set[str] = set()
+
+
+def give_package(spark: SparkSession) -> None:
+    """Let the Python workers of this session import the package, wherever they run; once for each application.
+
+    Spark's driver serves the archive to the executors. Nothing is done where the package was itself loaded from an
+    archive, as with `--py-files`: that one is there already.
+    """
+    package, context = Path(__file__).resolve().parent, spark.sparkContext
+    if context.applicationId in _given or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _given.add(context.applicationId)

@@ -62,6 +62,49 @@ def test_a_bad_file_is_rejected_whole_and_named(spark, tmp_path):
     assert reasons == {name: "null_item" if name == "null_item.json" else "unparseable" for name in BAD}
 
 
+def test_files_that_are_no_text_are_refused_and_named(spark, tmp_path):
+    good = '{"data": {"config": {"name": "é"}, "list": [{"title": "t"}]}}'
+    files = {
+        "good.json": good.encode(),
+        "a b+c%41.json": good.encode(),
+        "none + at.json": b"",
+        "latin.json": good.encode("latin-1"),
+        "cut.json": good.encode()[:-20] + b"\xf0\x9f",
+        "mark.json": b"\xef\xbb\xbf" + good.encode(),
+        "large.json": good.encode() + b" " * 500,
+        "sub/good.json": b"",
+        "sub/cut.json": b"{",
+    }
+    for name, content in files.items():
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content)
+    payloads = envelopes.read_payloads(spark, f"{tmp_path}/in/*.json", most_bytes=200).unionByName(envelopes.read_payloads(spark, f"{tmp_path}/in/sub"))
+    documents = envelopes.parse_payloads(payloads)
+    reasons = {
+        "a b+c%41.json": None, "cut.json": "undecodable", "good.json": None, "large.json": "too_large", "latin.json": "undecodable",
+        "mark.json": "unparseable", "none + at.json": "empty",
+    }
+    got = documents.withColumn("sub", F.col("file_path").contains("/sub/")).select("sub", "file_name", "reason")
+    assert rows(got) == sorted([(False, *x) for x in reasons.items()] + [(True, "good.json", "empty"), (True, "cut.json", "unparseable")], key=repr)
+    kept = {r[0]: bytes(r[1]) for r in envelopes.refused(documents).where("reason = 'undecodable'").select("file_name", F.col("payload").cast("binary")).collect()}
+    assert kept == {name: files[name] for name in ("latin.json", "cut.json")}
+    assert documents.where("reason is null").select("file_path").distinct().count() == 2
+
+
+def test_large_files_are_not_read(spark, tmp_path):
+    (tmp_path / "one.json").write_bytes(b"x" * 50)
+    large = envelopes.read_payloads(spark, str(tmp_path), most_bytes=10).where("fault = 'too_large'")
+    assert rows(large.select("file_name", "payload")) == [("one.json", None)]
+    assert "ReadSchema: struct<length:bigint>" in large._jdf.queryExecution().toString()
+
+
+def test_lines_that_are_no_text_are_refused(spark, tmp_path):
+    (tmp_path / "lines.txt").write_bytes(b'{"data": null}\n\xff\n')
+    documents = envelopes.parse_payloads(envelopes.read_payloads(spark, str(tmp_path), one_per_file=False))
+    assert rows(documents.select("reason")) == [("undecodable",), (None,)]
+
+
 def test_null_payload_is_rejected(spark):
     df = spark.createDataFrame([(1, None), (2, '{"data": {}}')], "id int, payload string")
     accepted, rejected = envelopes.split_payloads(df)

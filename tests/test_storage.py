@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from rankweave import storage
@@ -40,3 +45,29 @@ def test_only_a_local_master_may_use_a_folder_of_the_machine():
 @pytest.mark.parametrize(("limit", "fits"), [(9, False), (10, True), (11, True)])
 def test_fits_broadcast_counts(spark, limit, fits):
     assert storage.fits_broadcast(spark.range(10), limit) is fits
+
+
+def test_workers_import_the_package_from_anywhere(tmp_path):
+    """A session of its own, whose workers know neither the repository nor its path."""
+    repository = Path(__file__).resolve().parents[1]
+    script = f"""
+import sys
+sys.path.insert(0, {str(repository)!r})
+from pyspark.sql import SparkSession
+import __spark_entry__
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").getOrCreate()
+__spark_entry__.give_package(spark)
+__spark_entry__.give_package(spark)
+sys.path.remove({str(repository)!r})
+
+def names(batches):
+    import rankweave.functions.text as module
+    for batch in batches:
+        batch["id"] = len(module.__name__)
+        yield batch
+
+print("found", spark.range(1).mapInPandas(names, "id long").first()[0])
+"""
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=200)
+    assert "found 24" in run.stdout, run.stderr[-2000:]
