@@ -205,6 +205,11 @@ def audit(df: DataFrame, rules: CleanRules = VIDEO_RULES) -> DataFrame:
         F.count_if(kept).alias("n_valid"),
         *[F.count_if(kept & F.col(f"first._empty_{t}")).alias(f"n_fill_{t}") for t in rules.fill],
     )
+    return audit_rows(totals, rules)
+
+
+def audit_rows(totals: DataFrame, rules: CleanRules) -> DataFrame:
+    """The audit from one row of totals `n_all`, `n_complete`, `n_first`, `n_valid` and `n_fill_<target>`."""
     steps = [
         ("drop_null", "n_all", "n_complete"),
         ("keep_first", "n_complete", "n_first"),

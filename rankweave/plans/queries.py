@@ -19,7 +19,7 @@ from rankweave.operators import cleaning, dedup, learning, ranking, report, segm
 from rankweave.sinks import tsv_line, write_result, write_table
 from rankweave.sources import envelopes, tables
 from rankweave.storage import new_folder
-from rankweave.streaming.ingest import keep_first_stream
+from rankweave.streaming.ingest import audited, clean_stream, keep_first_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -916,15 +916,18 @@ def q27_lookup_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARRIVALS = 5
 
 
+def _arriving(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """A table as a file stream of about ARRIVALS batches."""
+    landing = new_folder(spark, "ingest-landing")
+    arriving = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // ARRIVALS)
+    write_table(df.repartition(ARRIVALS * arriving, key), landing)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", arriving).parquet(landing)
+
+
 @register("select distinct md5(text) as text_md5, length(text) as n_chars from documents")
 def q28_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as a file stream of about ARRIVALS batches, keeping the first arrival of each text."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    landing = new_folder(spark, "ingest-landing")
-    files = max(ARRIVALS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    write_table(documents.repartition(files, "doc_id"), landing)
-    arriving = max(1, len(spark.read.parquet(landing).inputFiles()) // ARRIVALS)
-    stream = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", arriving).parquet(landing)
+    """Documents as they arrive, keeping the first arrival of each text."""
+    stream = _arriving(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     keyed = stream.select(
         digest(F.col("text")).alias("text_key"),
         "doc_id",
@@ -934,3 +937,12 @@ def q28_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, checkpoint = new_folder(spark, "ingest"), new_folder(spark, "ingest-checkpoint")
     keep_first_stream(keyed, ["text_key"], ["doc_id"], target, checkpoint).awaitTermination()
     return spark.read.parquet(target).select("text_md5", "n_chars")
+
+
+@register(ORACLE["q09_clean_documents_audit"])
+def q28_ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of documents that arrive in batches is that of the batch job: rows with one key are alike here."""
+    stream = _arriving(spark, _noted_documents(spark, sf_dir), "doc_id")
+    target, checkpoint, audit = (new_folder(spark, f"ingest-{x}") for x in ("clean", "checkpoint", "audit"))
+    clean_stream(stream, _DOCUMENT_RULES, target, checkpoint, audit_uri=audit).awaitTermination()
+    return audited(spark, audit, _DOCUMENT_RULES)

@@ -60,3 +60,41 @@ def give_package(spark: SparkSession) -> None:
             out.write(module, module.relative_to(package.parent))
     context.addPyFile(str(archive))
     _given.add(context.applicationId)
+
+
+def _at(spark: SparkSession, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def names_below(spark: SparkSession, uri: str) -> list[str]:
+    """Names of what lies directly below a folder; none where there is no folder."""
+    files, path = _at(spark, uri)
+    return [entry.getPath().getName() for entry in files.listStatus(path)] if files.exists(path) else []
+
+
+def remove(spark: SparkSession, uri: str) -> None:
+    files, path = _at(spark, uri)
+    files.delete(path, True)
+
+
+def read_note(spark: SparkSession, uri: str) -> str:
+    """A file of a few lines, read by the driver."""
+    files, path = _at(spark, uri)
+    content = files.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(content, "UTF-8")
+    finally:
+        content.close()
+
+
+def write_note(spark: SparkSession, uri: str, text: str) -> None:
+    """A file of a few lines, which is there whole or not at all: written beside its place and renamed."""
+    files, path = _at(spark, uri)
+    _, beside = _at(spark, f"{uri}.{uuid.uuid4().hex}.tmp")
+    out = files.create(beside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    files.delete(path, False)
+    if not files.rename(beside, path):
+        raise OSError(f"cannot write {uri}")

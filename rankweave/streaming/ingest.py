@@ -5,58 +5,38 @@ files at once uses the given order throughout.
 
 The keys seen so far are the table already written, not operator state. So state cannot outgrow
 executor memory, and a hot key is reduced before the shuffle, as in the batch job. Each batch writes
-its own folder by overwriting it: a batch that is run again after a failure gives the same table.
+its own folder by overwriting it: a batch that is run again after a failure gives the same table. The keys of
+earlier batches are read from runs that are merged by size (`runs`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rankweave.operators.cleaning import DUPLICATE, FILE_RULES, CleanRules, finish, first_complete, rejected
+from rankweave.functions.text import clean_text
+from rankweave.operators.cleaning import DUPLICATE, FILE_RULES, CleanRules, audit_rows, finish, first_complete, rejected, stage
 from rankweave.operators.dedup import keep_first
 from rankweave.sinks import write_table
-from rankweave.sources.envelopes import accepted, envelope_records, parse_payloads, stream_payloads
+from rankweave.sources.envelopes import EMPTY, accepted, empty_files, envelope_records, parse_payloads, refused, stream_payloads
 from rankweave.storage import fits_broadcast
-
-BATCH = "batch_id"
-# Column and number of the folders the keys of a batch are spread over.
-BUCKET = "_bucket"
-BUCKETS = 64
+from rankweave.streaming.runs import BATCH, Runs
 
 
 def _batch_folder(uri: str, batch_id: int) -> str:
     return f"{uri.rstrip('/')}/{BATCH}={batch_id}"
 
 
-def _earlier(spark: SparkSession, uri: str, batch_id: int) -> DataFrame | None:
-    """Rows of earlier batches. Later folders may exist when an old batch is replayed."""
-    if batch_id == 0:
-        return None
-    try:
-        return spark.read.parquet(uri).where(F.col(BATCH) < batch_id)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def _unseen(firsts: DataFrame, keys: list[str], uri: str, batch_id: int) -> DataFrame:
-    """The rows of `firsts` whose key no earlier batch has; `firsts` is held, as it is read several times.
+def _unseen(firsts: DataFrame, keys: list[str], earlier: DataFrame) -> DataFrame:
+    """The rows of `firsts` whose key is not in `earlier`; `firsts` is held, as it is read several times.
 
-    Earlier rows lie in folders by a hash of the key, and only the keys in folders that the batch needs are
-    read. They are cut to the batch's keys before anything is shuffled where the batch's keys, counted,
-    can be broadcast. Both sides hold each key once, so the join has no skew.
+    The keys of earlier batches are cut to those of this one before anything is shuffled where the batch's keys,
+    counted, can be broadcast. Both sides hold each key once, so the join has no skew.
     """
-    earlier = _earlier(firsts.sparkSession, uri, batch_id)
-    if earlier is None:
-        return firsts
-    buckets = [row[0] for row in firsts.select(BUCKET).distinct().collect()]
-    earlier = earlier.where(F.col(BUCKET).isin(buckets)).select(*[F.col(key).alias(f"_earlier_{key}") for key in keys])
+    earlier = earlier.select(*[F.col(key).alias(f"_earlier_{key}") for key in keys])
     arrived = firsts.select(*[F.col(key).alias(f"_arrived_{key}") for key in keys])
     if fits_broadcast(arrived):
         met = [F.col(f"_earlier_{key}").eqNullSafe(F.col(f"_arrived_{key}")) for key in keys]
@@ -65,14 +45,22 @@ def _unseen(firsts: DataFrame, keys: list[str], uri: str, batch_id: int) -> Data
     return firsts.join(earlier, same, "left_anti")
 
 
-def _write_unseen(firsts: DataFrame, keys: list[str], uri: str, batch_id: int) -> None:
-    """Add the batch's folder to the table, split by a hash of the key."""
-    held = firsts.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")).persist()
+def _write_unseen(firsts: DataFrame, keys: list[str], uri: str, batch_id: int, counts: dict[str, Column] | None = None) -> dict[str, int]:
+    """Add the batch's folder to the table; `counts` are taken from the rows written, in the tasks that write them."""
+    runs = Runs(firsts.sparkSession, uri, firsts.select(*keys).schema)
+    earlier = runs.read(runs.before(batch_id))
+    held = firsts if earlier is None else firsts.persist()
+    seen = Observation()
     try:
-        unseen = _unseen(held, keys, uri, batch_id)
-        write_table(unseen.hint("rebalance", BUCKET), _batch_folder(uri, batch_id), [BUCKET])
+        unseen = held if earlier is None else _unseen(held, keys, earlier)
+        if counts:
+            unseen = unseen.observe(seen, *[value.alias(name) for name, value in counts.items()])
+        write_table(unseen, _batch_folder(uri, batch_id))
     finally:
         held.unpersist()
+    runs.add(batch_id, f"{BATCH}={batch_id}")
+    found = seen.get if counts else {}
+    return {name: found.get(name) or 0 for name in counts or {}}
 
 
 def _rejected(records: DataFrame, firsts: DataFrame, written: DataFrame, rules: CleanRules) -> DataFrame:
@@ -117,6 +105,44 @@ def keep_first_stream(
     return _start(stream, each, checkpoint_uri)
 
 
+def _clean_batch(
+    records: DataFrame, rules: CleanRules, batch_id: int, table_uri: str, rejected_uri: str | None, audit_uri: str | None, also: dict[str, int]
+) -> None:
+    """One batch into the table, the rejected rows and the audit.
+
+    What goes into the table is counted where it is written, which is once for each row. Rows that came in are
+    counted by an aggregate: a metric observed ahead of a shuffle would count a task that is run again twice.
+    """
+    keys = ["_key"] if rules.long_keys else rules.keys
+    filled = {f"n_fill_{t}": F.count_if(F.col("_valid") & (clean_text(F.col(t)) == "")) for t in rules.fill}
+    counts = {"n_first": F.count(F.lit(1)), "n_valid": F.count_if("_valid"), **filled}
+    firsts = first_complete(records, rules)
+    written = _write_unseen(firsts, keys, table_uri, batch_id, counts if audit_uri else None)
+    if rejected_uri:
+        table = records.sparkSession.read.schema(firsts.schema).parquet(_batch_folder(table_uri, batch_id))
+        write_table(_rejected(records, firsts, table, rules), _batch_folder(rejected_uri, batch_id))
+    if audit_uri:
+        came = stage(records, rules).agg(F.count(F.lit(1)).alias("n_all"), F.count_if(F.coalesce("_complete", F.lit(False))).alias("n_complete"))
+        one = came.select(*[F.lit(value).cast("bigint").alias(name) for name, value in also.items()], "*")
+        write_table(one.withColumns({name: F.lit(value).cast("bigint") for name, value in written.items()}), _batch_folder(audit_uri, batch_id))
+
+
+def clean_stream(
+    stream: DataFrame, rules: CleanRules, table_uri: str, checkpoint_uri: str, rejected_uri: str | None = None, audit_uri: str | None = None
+) -> StreamingQuery:
+    """Clean records as they arrive; read the result with `ingested` and the audit with `audited`.
+
+    The table keeps the first complete row of each key with its validity flag, as an invalid first row still
+    shadows later ones. Rows that a rule removes go to `rejected_uri` with the reason, and counts of each batch to
+    `audit_uri`, where these are given; a batch that is run again replaces both.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        _clean_batch(batch, rules, batch_id, table_uri, rejected_uri, audit_uri, {})
+
+    return _start(stream, each, checkpoint_uri)
+
+
 def ingest_issues(
     spark: SparkSession,
     landing_uri: str,
@@ -126,26 +152,20 @@ def ingest_issues(
     rules: CleanRules = FILE_RULES,
     files_per_batch: int | None = None,
     rejected_uri: str | None = None,
+    audit_uri: str | None = None,
 ) -> StreamingQuery:
-    """Parse and stage each issue that arrives; read the result with `ingested`.
+    """Parse and clean each issue that arrives, as `clean_stream` does with records.
 
-    The table keeps the first complete row of each key with its validity flag, as an invalid first
-    row still shadows later ones. Each document is parsed once, into `documents_uri`; `refused` of that
-    table is the quarantine of documents. Rows that a rule removes go to `rejected_uri` with the reason,
-    where it is given; their counts by batch and reason are the audit.
+    Each document is parsed once, into `documents_uri`; `refused_documents` of that table is the quarantine.
     """
-    keys = ["_key"] if rules.long_keys else rules.keys
 
     def each(batch: DataFrame, batch_id: int) -> None:
         folder = _batch_folder(documents_uri, batch_id)
-        write_table(parse_payloads(batch), folder)
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("n_documents"), F.count("reason").alias("n_refused")]
+        write_table(parse_payloads(batch).observe(seen, *counts), folder)
         documents = batch.sparkSession.read.parquet(folder)
-        records = envelope_records(accepted(documents))
-        firsts = first_complete(records, rules)
-        _write_unseen(firsts, keys, table_uri, batch_id)
-        if rejected_uri:
-            written = batch.sparkSession.read.schema(firsts.schema).parquet(_batch_folder(table_uri, batch_id))
-            write_table(_rejected(records, firsts, written, rules), _batch_folder(rejected_uri, batch_id))
+        _clean_batch(envelope_records(accepted(documents)), rules, batch_id, table_uri, rejected_uri, audit_uri, dict(seen.get))
 
     return _start(stream_payloads(spark, landing_uri, True, files_per_batch), each, checkpoint_uri)
 
@@ -153,3 +173,16 @@ def ingest_issues(
 def ingested(spark: SparkSession, table_uri: str, rules: CleanRules = FILE_RULES) -> DataFrame:
     """Clean records of everything ingested so far."""
     return finish(spark.read.parquet(table_uri), rules)
+
+
+def audited(spark: SparkSession, audit_uri: str, rules: CleanRules = FILE_RULES) -> DataFrame:
+    """The audit of everything ingested so far, as `cleaning.audit` gives it for a batch job."""
+    totals = spark.read.parquet(audit_uri)
+    names = [name for name in totals.columns if name.startswith("n_")]
+    return audit_rows(totals.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names]), rules)
+
+
+def refused_documents(spark: SparkSession, landing_uri: str, documents_uri: str) -> DataFrame:
+    """Quarantine of everything ingested so far, with the files of zero bytes, which no batch is given."""
+    documents = refused(spark.read.parquet(documents_uri)).drop(BATCH)
+    return documents.unionByName(empty_files(spark, landing_uri).withColumn("reason", F.lit(EMPTY)), allowMissingColumns=True)

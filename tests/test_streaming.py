@@ -1,12 +1,17 @@
 from __future__ import annotations
 
+import os
+
+import pytest
 from conftest import rows
 from issues import write_issues
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankweave.operators import cleaning
 from rankweave.sources.envelopes import envelope_records, read_payloads, refused, split_payloads
-from rankweave.streaming import ingest
+from rankweave.storage import names_below
+from rankweave.streaming import ingest, runs
 from rankweave.streaming.ingest import ingest_issues, ingested, keep_first_stream
 
 
@@ -46,17 +51,84 @@ def test_many_batches_lose_no_row(spark, tmp_path):
     assert rows(kept.union(rejected)) == rows(raw_records(spark, landing).select(places))
 
 
-def test_a_small_batch_does_not_shuffle_the_history(spark, tmp_path):
-    table = str(tmp_path / "table")
-    ingest._write_unseen(spark.range(200_000).withColumnRenamed("id", "k"), ["k"], table, 0)
+def test_a_small_batch_does_not_shuffle_the_history(spark):
+    history = spark.range(200_000).withColumnRenamed("id", "k")
     batch = spark.createDataFrame([(5,), (None,), (300_000,)], "k long")
-    held = batch.withColumn(ingest.BUCKET, F.pmod(F.xxhash64("k"), F.lit(ingest.BUCKETS)).cast("int"))
-    unseen = ingest._unseen(held, ["k"], table, 1)
+    unseen = ingest._unseen(batch, ["k"], history)
     assert rows(unseen.select("k")) == [(300_000,), (None,)]
     plan = unseen._jdf.queryExecution().sparkPlan().toString()
     semi = plan.index("LeftSemi")
     assert "BroadcastHashJoin" in plan[plan.rindex("\n", 0, semi) : semi]
-    assert "PartitionFilters: [" in unseen._jdf.queryExecution().toString()
+
+
+def keys_by_batch(spark, tmp_path, batches, upto=None):
+    """Batches of overlapping keys through the table; key k arrives in batches k // 10 and later."""
+    table = str(tmp_path / "table")
+    for batch in range(batches):
+        firsts = spark.range(max(0, batch * 10 - 25), batch * 10 + 10, numPartitions=2).withColumnRenamed("id", "k")
+        ingest._write_unseen(firsts, ["k"], table, batch)
+    return table
+
+
+def test_runs_read_for_a_batch_grow_with_the_logarithm(spark, tmp_path):
+    table = keys_by_batch(spark, tmp_path, 18)
+    assert rows(spark.read.parquet(table).select("k")) == [(k,) for k in sorted(range(180), key=lambda k: repr((k,)))]
+    held = runs.Runs(spark, table, T.StructType().add("k", "long"))
+    assert sorted(level for level, _ in held.before()) == [0, 0, 2]
+    assert held.read(held.before()).count() == 180
+    # notes of two batches and the runs they name are all that is kept
+    assert len(names_below(spark, f"{table}/_notes")) == 2
+    assert len(names_below(spark, f"{table}/_runs")) == 1
+
+
+@pytest.mark.parametrize("failing", ["merge", "note"])
+def test_a_batch_killed_while_it_merges_loses_nothing(spark, tmp_path, monkeypatch, failing):
+    table = keys_by_batch(spark, tmp_path, 3)
+    before = runs.Runs(spark, table, T.StructType().add("k", "long")).before()
+
+    def killed(df, uri, *rest):
+        if failing == "merge":
+            df.limit(3).write.mode("overwrite").parquet(uri)  # half of the run is there
+        raise KeyboardInterrupt
+
+    def last(batch):
+        ingest._write_unseen(spark.range(5, 40).withColumnRenamed("id", "k"), ["k"], table, batch)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(runs, "write_table" if failing == "merge" else "write_note", killed)
+        with pytest.raises(KeyboardInterrupt):
+            last(3)
+    held = runs.Runs(spark, table, T.StructType().add("k", "long"))
+    assert held.before() == before
+    for _ in range(2):  # the batch is run again, and once more
+        last(3)
+        assert [level for level, _ in held.before()] == [1]
+        assert rows(held.read(held.before())) == rows(spark.range(40)) == rows(spark.read.parquet(table).select("k"))
+
+
+def test_audit_of_all_batches_is_that_of_the_batch_job(spark, tmp_path):
+    landing = tmp_path / "landing"
+    write_issues(landing, 6)
+    (landing / "issue_none.json").write_bytes(b"")
+    for at, path in enumerate(sorted(landing.iterdir())):
+        os.utime(path, (1_000_000 + at, 1_000_000 + at))
+    audit, table, documents = (str(tmp_path / name) for name in ("audit", "table", "documents"))
+    want = rows(cleaning.audit(raw_records(spark, landing), cleaning.FILE_RULES))
+    for attempt in ("one", "two"):  # the second one replays all batches
+        ingest_issues(spark, str(landing), table, documents, str(tmp_path / attempt), files_per_batch=2, audit_uri=audit).awaitTermination()
+        assert rows(ingest.audited(spark, audit)) == want
+        assert spark.read.parquet(audit).select("batch_id").distinct().count() == 4
+        seen = spark.read.parquet(audit).agg(F.sum("n_documents"), F.sum("n_refused")).first()
+        assert tuple(seen) == (7, 1)
+    refused_files = ingest.refused_documents(spark, str(landing), documents).select("file_name", "reason")
+    assert rows(refused_files) == [("issue_broken.json", "unparseable"), ("issue_none.json", "empty")]
+
+
+def test_audit_of_a_batch_without_rows(spark, tmp_path):
+    audit = str(tmp_path / "audit")
+    records = raw_records(spark, write_issues(tmp_path / "landing", 1) and tmp_path / "landing").where("false")
+    ingest._clean_batch(records, cleaning.FILE_RULES, 0, str(tmp_path / "table"), None, audit, {})
+    assert rows(ingest.audited(spark, audit)) == rows(cleaning.audit(records, cleaning.FILE_RULES))
 
 
 def test_one_batch_equals_the_batch_job(spark, tmp_path):
