@@ -125,13 +125,13 @@ def _dedup_keys(rules: CleanRules) -> list[str]:
     return ["_key"] if rules.long_keys else rules.keys
 
 
-def stage(df: DataFrame, rules: CleanRules) -> DataFrame:
-    """Row-wise checks as flags `_complete` and `_valid`, numbers already whole, text untouched.
+def stage(df: DataFrame, rules: CleanRules, also: list[str] | None = None) -> DataFrame:
+    """Row-wise checks as flags `_complete` and `_valid`, numbers already whole, text untouched, and columns `also`.
 
     Done before the one shuffle, so that it moves bigints and two flags instead of number texts.
     """
     parsed, numbers, whole = _parsed(df, rules)
-    used = dict.fromkeys([*rules.order_by, *rules.keys, *rules.text, *rules.output])
+    used = dict.fromkeys([*rules.order_by, *rules.keys, *rules.text, *rules.output, *(also or [])])
     columns = [whole[name].alias(name) if name in whole else F.col(name) for name in used]
     if rules.long_keys:
         columns.append(digest(*[F.col(key) for key in rules.keys]).alias("_key"))

@@ -29,14 +29,18 @@ def _up(name: str) -> Column:
 def top_groups(df: DataFrame, key: str, k: int = 10, out: str = "count") -> DataFrame:
     """Keys with the most non-null rows. A null key is a group with count 0."""
     _check(df, key)
-    counts = df.groupBy(key).agg(F.count(key).alias(out))
-    return counts.orderBy(_down(out), _up(key)).limit(k)
+    return largest(df.groupBy(key).agg(F.count(key).alias(out)), [key], out, k)
+
+
+def largest(df: DataFrame, columns: list[str], value: str, k: int) -> DataFrame:
+    """The k rows with the largest value."""
+    return df.orderBy(_down(value), *[_up(c) for c in columns]).limit(k)
 
 
 def top_rows(df: DataFrame, metric: str, columns: list[str], k: int = 10) -> DataFrame:
     """Rows with the largest value of one metric."""
     _check(df, metric, *columns)
-    return df.select(*columns, metric).orderBy(_down(metric), *[_up(c) for c in columns]).limit(k)
+    return largest(df.select(*columns, metric), columns, metric, k)
 
 
 def top_group_sums(
@@ -45,7 +49,7 @@ def top_group_sums(
     """Keys with the largest sum of one metric."""
     _check(df, key, metric)
     totals = df.groupBy(key).agg(exact_sum(df, metric, scale).alias(out))
-    return totals.orderBy(_down(out), _up(key)).limit(k)
+    return largest(totals, [key], out, k)
 
 
 def top_group_sums_by_metric(
@@ -54,7 +58,7 @@ def top_group_sums_by_metric(
     """`(metric, rank, key, total)` for all metrics from one pass over the table."""
     _check(df, key, *metrics)
     totals = df.groupBy(key).agg(*[exact_sum(df, m, scale).alias(m) for m in metrics])
-    return _best(_by_metric(totals, [key], metrics, "total"), [key], "total", k)
+    return best_by_metric(by_metric(totals, [key], metrics, "total"), [key], "total", k)
 
 
 def top_rows_by_metric(df: DataFrame, columns: list[str], metrics: list[str], k: int = 10) -> DataFrame:
@@ -69,11 +73,11 @@ def top_rows_by_metric(df: DataFrame, columns: list[str], metrics: list[str], k:
     _check(df, *columns, *metrics)
     floors = _floors(df, metrics, k)
     if any(floor is None for floor in floors.values()):
-        return _best(_by_metric(df.select(*columns, *metrics), columns, metrics, "value"), columns, "value", k)
+        return best_by_metric(by_metric(df.select(*columns, *metrics), columns, metrics, "value"), columns, "value", k)
     reaching = df.where(any_of([F.col(m) >= F.lit(floor) for m, floor in floors.items()]))
-    rows = _by_metric(reaching.select(*columns, *metrics), columns, metrics, "value")
+    rows = by_metric(reaching.select(*columns, *metrics), columns, metrics, "value")
     own = [(F.col("metric") == m) & (F.col("value") >= F.lit(floor)) for m, floor in floors.items()]
-    return _best(rows.where(any_of(own)), columns, "value", k)
+    return best_by_metric(rows.where(any_of(own)), columns, "value", k)
 
 
 def _floors(df: DataFrame, metrics: list[str], k: int) -> dict[str, object]:
@@ -86,7 +90,7 @@ def _floors(df: DataFrame, metrics: list[str], k: int) -> dict[str, object]:
     return kth.first().asDict()
 
 
-def _by_metric(df: DataFrame, columns: list[str], metrics: list[str], out: str) -> DataFrame:
+def by_metric(df: DataFrame, columns: list[str], metrics: list[str], out: str) -> DataFrame:
     """One row per metric and input row. Unlike `unpivot`, takes metrics of different number types."""
     types = {df.schema[m].dataType for m in metrics}
     if len(types) == 1:
@@ -97,7 +101,8 @@ def _by_metric(df: DataFrame, columns: list[str], metrics: list[str], out: str)
     return df.select(*columns, F.inline(F.array(*pairs)))
 
 
-def _best(rows: DataFrame, columns: list[str], value: str, k: int) -> DataFrame:
+def best_by_metric(rows: DataFrame, columns: list[str], value: str, k: int) -> DataFrame:
+    """The k rows of each metric with the largest value, with their rank."""
     window = Window.partitionBy("metric").orderBy(_down(value), *[_up(c) for c in columns])
     ranked = rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
     return ranked.select("metric", F.col("rank").cast("bigint").alias("rank"), *columns, value)

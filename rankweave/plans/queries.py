@@ -7,6 +7,7 @@ themselves, over whole tables. Every output column has the same name and type in
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ from rankweave.operators import cleaning, dedup, learning, ranking, report, segm
 from rankweave.sinks import tsv_line, write_result, write_table
 from rankweave.sources import envelopes, tables
 from rankweave.storage import new_folder
+from rankweave.streaming import rankings
+from rankweave.streaming.eventtime import first_within_stream
 from rankweave.streaming.ingest import audited, clean_stream, keep_first_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -946,3 +949,51 @@ def q28_ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, checkpoint, audit = (new_folder(spark, f"ingest-{x}") for x in ("clean", "checkpoint", "audit"))
     clean_stream(stream, _DOCUMENT_RULES, target, checkpoint, audit_uri=audit).awaitTermination()
     return audited(spark, audit, _DOCUMENT_RULES)
+
+
+@register("select distinct user_id, event_type from events")
+def q28_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as they arrive, the first of each user and type within a time longer than all events take."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    target, checkpoint = new_folder(spark, "event-time"), new_folder(spark, "event-time-checkpoint")
+    stream = _arriving(spark, events, "event_id")
+    first_within_stream(stream, ["user_id", "event_type"], "ts", "10000 days", target, checkpoint).awaitTermination()
+    return spark.read.parquet(target).select("user_id", "event_type")
+
+
+_ARRIVING_RULES = replace(_DOCUMENT_RULES, text=["text"], fill={}, output=["lang", "n_chars", "text"])
+_ARRIVING_RANKINGS = [
+    rankings.group_counts("lengths", "n_chars", 10),
+    rankings.group_sums("languages", "lang", ["n_chars"], 10),
+    rankings.best_rows("longest", ["text"], ["n_chars"], 10),
+    rankings.word_totals("words", ["text"], 50),
+]
+
+
+@register(
+    f"""
+    with firsts as (select distinct lang, text, n_chars from documents where n_chars > 0 and n_chars <= 5000),
+    tokens as ({_sql_tokens("firsts")}),
+    lengths as (select n_chars, count(*) as n from firsts group by 1),
+    languages as (select lang, cast(sum(n_chars) as bigint) as n from firsts group by 1),
+    words as (select word, count(*) as n from tokens where length(word) >= 2 group by 1)
+    (select 'lengths' as ranking, cast(n_chars as varchar) as name, n as value from lengths order by n desc, n_chars limit 10)
+    union all (select 'languages', lang, n from languages order by n desc, lang limit 10)
+    union all (select 'longest', md5({_sql_clean("text")}), n_chars from firsts order by n_chars desc, {_sql_clean("text")} limit 10)
+    union all (select 'words', word, n from words order by n desc, word limit 50)
+    """
+)
+def q29_rankings_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rankings of documents that arrive in batches, from what each batch contributed."""
+    stream = _arriving(spark, table(spark, sf_dir, "documents"), "doc_id")
+    target, checkpoint, own = (new_folder(spark, f"rankings-{x}") for x in ("clean", "checkpoint", "runs"))
+    clean_stream(stream, _ARRIVING_RULES, target, checkpoint, rankings=_ARRIVING_RANKINGS, rankings_uri=own).awaitTermination()
+    lengths, languages, longest, most = (rankings.current(spark, own, x) for x in _ARRIVING_RANKINGS)
+    parts = [
+        ("lengths", lengths, F.col("n_chars").cast("string"), "count"),
+        ("languages", languages, F.col("lang"), "total"),
+        ("longest", longest, F.md5("text"), "value"),
+        ("words", most, F.col("word"), "count"),
+    ]
+    out = [rows.select(F.lit(name).alias("ranking"), key.alias("name"), F.col(value).cast("bigint").alias("value")) for name, rows, key, value in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])

@@ -40,7 +40,7 @@ ENVELOPE = T.StructType(
             "data",
             T.StructType(
                 [
-                    T.StructField("config", T.StructType([T.StructField("name", _TEXT)])),
+                    T.StructField("config", T.StructType([T.StructField("name", _TEXT), T.StructField("etime", _TEXT)])),
                     T.StructField("list", T.ArrayType(ITEM)),
                 ]
             ),

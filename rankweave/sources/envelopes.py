@@ -170,8 +170,8 @@ def explode_items(docs: DataFrame, items: Column | str, **keep: Column) -> DataF
     return flat.select(*keep, F.posexplode("_items").alias("pos", "item"))
 
 
-def envelope_records(docs: DataFrame) -> DataFrame:
-    """Accepted documents to raw records, one per item, values still as text.
+def envelope_records(docs: DataFrame, **also: Column) -> DataFrame:
+    """Accepted documents to raw records, one per item, values still as text, with columns `also` of the document.
 
     Documents read from files also have the path, which tells files of equal name apart.
     """
@@ -181,9 +181,11 @@ def envelope_records(docs: DataFrame) -> DataFrame:
         "doc.data.list",
         **{name: F.col(name) for name in places},
         period=F.coalesce(F.col("doc.data.config.name"), F.lit("")),
+        **also,
     )
     return items.select(
         *places,
+        *also,
         "pos",
         "period",
         F.col("item.owner.name").alias("up"),

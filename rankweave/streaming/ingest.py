@@ -23,6 +23,7 @@ from rankweave.operators.dedup import keep_first
 from rankweave.sinks import write_table
 from rankweave.sources.envelopes import EMPTY, accepted, empty_files, envelope_records, parse_payloads, refused, stream_payloads
 from rankweave.storage import fits_broadcast
+from rankweave.streaming.rankings import Ranking, add_batch
 from rankweave.streaming.runs import BATCH, Runs
 
 
@@ -106,9 +107,17 @@ def keep_first_stream(
 
 
 def _clean_batch(
-    records: DataFrame, rules: CleanRules, batch_id: int, table_uri: str, rejected_uri: str | None, audit_uri: str | None, also: dict[str, int]
+    records: DataFrame,
+    rules: CleanRules,
+    batch_id: int,
+    table_uri: str,
+    rejected_uri: str | None,
+    audit_uri: str | None,
+    also: dict[str, int],
+    rankings: list[Ranking] | None = None,
+    rankings_uri: str | None = None,
 ) -> None:
-    """One batch into the table, the rejected rows and the audit.
+    """One batch into the table, the rejected rows, the audit and the rankings.
 
     What goes into the table is counted where it is written, which is once for each row. Rows that came in are
     counted by an aggregate: a metric observed ahead of a shuffle would count a task that is run again twice.
@@ -118,8 +127,10 @@ def _clean_batch(
     counts = {"n_first": F.count(F.lit(1)), "n_valid": F.count_if("_valid"), **filled}
     firsts = first_complete(records, rules)
     written = _write_unseen(firsts, keys, table_uri, batch_id, counts if audit_uri else None)
+    table = records.sparkSession.read.schema(firsts.schema).parquet(_batch_folder(table_uri, batch_id))
+    if rankings:
+        add_batch(finish(table, rules), batch_id, rankings, rankings_uri)
     if rejected_uri:
-        table = records.sparkSession.read.schema(firsts.schema).parquet(_batch_folder(table_uri, batch_id))
         write_table(_rejected(records, firsts, table, rules), _batch_folder(rejected_uri, batch_id))
     if audit_uri:
         came = stage(records, rules).agg(F.count(F.lit(1)).alias("n_all"), F.count_if(F.coalesce("_complete", F.lit(False))).alias("n_complete"))
@@ -128,17 +139,25 @@ def _clean_batch(
 
 
 def clean_stream(
-    stream: DataFrame, rules: CleanRules, table_uri: str, checkpoint_uri: str, rejected_uri: str | None = None, audit_uri: str | None = None
+    stream: DataFrame,
+    rules: CleanRules,
+    table_uri: str,
+    checkpoint_uri: str,
+    rejected_uri: str | None = None,
+    audit_uri: str | None = None,
+    rankings: list[Ranking] | None = None,
+    rankings_uri: str | None = None,
 ) -> StreamingQuery:
     """Clean records as they arrive; read the result with `ingested` and the audit with `audited`.
 
     The table keeps the first complete row of each key with its validity flag, as an invalid first row still
     shadows later ones. Rows that a rule removes go to `rejected_uri` with the reason, and counts of each batch to
-    `audit_uri`, where these are given; a batch that is run again replaces both.
+    `audit_uri`, where these are given; a batch that is run again replaces both. `rankings` are kept up to date
+    below `rankings_uri`; read them with `rankings.current`.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        _clean_batch(batch, rules, batch_id, table_uri, rejected_uri, audit_uri, {})
+        _clean_batch(batch, rules, batch_id, table_uri, rejected_uri, audit_uri, {}, rankings, rankings_uri)
 
     return _start(stream, each, checkpoint_uri)
 
@@ -153,6 +172,8 @@ def ingest_issues(
     files_per_batch: int | None = None,
     rejected_uri: str | None = None,
     audit_uri: str | None = None,
+    rankings: list[Ranking] | None = None,
+    rankings_uri: str | None = None,
 ) -> StreamingQuery:
     """Parse and clean each issue that arrives, as `clean_stream` does with records.
 
@@ -165,7 +186,8 @@ def ingest_issues(
         counts = [F.count(F.lit(1)).alias("n_documents"), F.count("reason").alias("n_refused")]
         write_table(parse_payloads(batch).observe(seen, *counts), folder)
         documents = batch.sparkSession.read.parquet(folder)
-        _clean_batch(envelope_records(accepted(documents)), rules, batch_id, table_uri, rejected_uri, audit_uri, dict(seen.get))
+        records = envelope_records(accepted(documents))
+        _clean_batch(records, rules, batch_id, table_uri, rejected_uri, audit_uri, dict(seen.get), rankings, rankings_uri)
 
     return _start(stream_payloads(spark, landing_uri, True, files_per_batch), each, checkpoint_uri)
 

@@ -22,9 +22,9 @@ BATCH = "batch_id"
 
 
 class Runs:
-    """The runs below `uri`. `schema` has the columns of a run that are read; `merge` may make rows of several runs fewer."""
+    """The runs below `uri`. `schema` has the columns that are read, if not all; `merge` may make rows of several runs fewer."""
 
-    def __init__(self, spark: SparkSession, uri: str, schema: StructType, merge: Callable[[DataFrame], DataFrame] | None = None):
+    def __init__(self, spark: SparkSession, uri: str, schema: StructType | None, merge: Callable[[DataFrame], DataFrame] | None = None):
         self.spark, self.uri, self.schema = spark, uri.rstrip("/"), schema
         self.merge = merge or (lambda rows: rows)
 
@@ -51,7 +51,8 @@ class Runs:
         """Rows of these runs."""
         if not runs:
             return None
-        return self.spark.read.schema(self.schema).parquet(*[self.folder(name) for _, name in runs])
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return reader.parquet(*[self.folder(name) for _, name in runs])
 
     def add(self, batch_id: int, name: str) -> None:
         """Add a written folder as the run of a batch, merge what is due, and make both valid."""
