@@ -56,6 +56,13 @@ def prepare(
     return assemble(labelled, features, ["label", "is_train"])
 
 
+def split_counts(prepared: DataFrame) -> DataFrame:
+    """`(part, rows)`: training and test rows; a part without rows is there with 0."""
+    counts = prepared.agg(F.count_if("is_train").alias("train"), F.count_if(~F.col("is_train")).alias("test"))
+    parts = [F.struct(F.lit(name).alias("part"), F.col(name).alias("rows")) for name in ("train", "test")]
+    return counts.select(F.inline(F.array(*parts)))
+
+
 def classifiers(seed: int = 42) -> dict:
     """The compared models by name, with library defaults other than those given."""
     columns = {"labelCol": "label", "featuresCol": "features"}

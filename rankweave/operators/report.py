@@ -34,24 +34,25 @@ def metric_pages(
 ) -> DataFrame:
     """`(metric, series, rank, label, value)`: best rows and best group totals of each metric."""
     rows = top_rows_by_metric(df, [row_label], metrics, k).withColumnRenamed(row_label, "name")
-    totals = top_group_sums_by_metric(df, group_key, metrics, k, scale).withColumnRenamed(group_key, "name")
+    totals = top_group_sums_by_metric(df, group_key, metrics, k, scale).select("metric", "rank", F.col(group_key).alias("name"), F.col("total").alias("value"))
+    return page_series(rows, "rows", every).unionByName(page_series(totals, "totals", every))
 
-    def series(table: DataFrame, name: str, value: str) -> DataFrame:
-        return table.select(
-            "metric",
-            F.lit(name).alias("series"),
-            "rank",
-            wrap_text(F.col("name").cast("string"), every).alias("label"),
-            F.col(value).alias("value"),
-        )
 
-    return series(rows, "rows", "value").unionByName(series(totals, "totals", "total"))
+def page_series(ranked: DataFrame, name: str, every: int = METRIC_LABEL) -> DataFrame:
+    """One series of metric pages, from `(metric, rank, name, value)`."""
+    label = wrap_text(F.col("name").cast("string"), every).alias("label")
+    return ranked.select("metric", F.lit(name).alias("series"), "rank", label, "value")
 
 
 def count_page(df: DataFrame, key: str, k: int = 10, every: int = COUNT_LABEL) -> DataFrame:
     """`(key, label, count, percent)`: largest groups with their share of the rows shown."""
-    shown = share_of_shown(top_groups(df, key, k), "count")
-    return shown.select(key, wrap_text(F.col(key).cast("string"), every).alias("label"), "count", "percent")
+    return shown_page(top_groups(df, key, k), key, every)
+
+
+def shown_page(shown: DataFrame, key: str, every: int = COUNT_LABEL) -> DataFrame:
+    """The same from the groups that are shown, `(key, count)`."""
+    label = wrap_text(F.col(key).cast("string"), every).alias("label")
+    return share_of_shown(shown, "count").select(key, label, "count", "percent")
 
 
 def word_weights(

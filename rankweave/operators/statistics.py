@@ -13,9 +13,11 @@ from rankweave.storage import BROADCAST_ROWS
 
 # Distinct values one window task should sort.
 VALUES_PER_RANGE = 1_000_000
-# Values picked to place the range limits, at least and for each range; the driver collects them.
-RANGE_PICKS = 16_384
-PICKS_A_RANGE = 16
+# Ranges at most. With more distinct values than they are made for ranges are larger and sort on disk.
+MOST_RANGES = 4096
+# Values picked to place the range limits, and the size of the sketch that the limits are read from.
+RANGE_PICKS = 16 * MOST_RANGES
+SKETCH_SIZE = 4096
 # A value on more than 1/HOT_SHARE of the rows is hot; there are at most HOT_SHARE such values.
 HOT_SHARE = 1000
 # Keys the rows of one hot value are spread over.
@@ -40,20 +42,22 @@ def _range_limits(df: DataFrame, distinct: dict[str, int]) -> dict[str, list[flo
 
     Limits only spread the work: results are exact for any limits. One value is picked from each hash
     group, the one with the smallest hash, which is an even choice among the distinct values whatever
-    their frequency. The limits go through the driver so that all steps and retries use the same.
+    their frequency; quantile sketches take in the picks. The driver gets one row, with
+    MOST_RANGES limits a column at most, so that all steps and retries use the same.
     """
-    ranges = {c: -(-d // VALUES_PER_RANGE) for c, d in distinct.items()}
+    ranges = {c: min(MOST_RANGES, -(-d // VALUES_PER_RANGE)) for c, d in distinct.items()}
     split = [c for c, count in ranges.items() if count > 1]
     limits = {c: [] for c in distinct}
     if not split:
         return limits
     code = F.xxhash64("value")
-    wanted = max(RANGE_PICKS, PICKS_A_RANGE * max(ranges.values()))
-    groups = _stacked(df, split).groupBy("place", F.pmod(code, F.lit(wanted)))
-    picks = groups.agg(F.min_by("value", code).alias("value")).select("place", "value").collect()
-    for i, c in enumerate(split):
-        values = sorted(value for place, value in picks if place == i)
-        limits[c] = sorted({values[len(values) * i // ranges[c]] for i in range(1, ranges[c])})
+    groups = _stacked(df, split).groupBy("place", F.pmod(code, F.lit(RANGE_PICKS)).alias("group"))
+    picks = groups.agg(F.min_by("value", code).alias("value"))
+    sketches = {c: F.kll_sketch_agg_double(F.when(F.col("place") == i, F.col("value")), F.lit(SKETCH_SIZE)) for i, c in enumerate(split)}
+    shares = {c: F.lit([i / ranges[c] for i in range(1, ranges[c])]) for c in split}
+    quantiles = picks.agg(*[F.kll_sketch_get_quantile_double(sketches[c], shares[c]) for c in split]).first()
+    for c, values in zip(split, quantiles):
+        limits[c] = sorted({value for value in values or () if abs(value) < float("inf")})
     return limits
 
 
@@ -74,7 +78,7 @@ def running_before(
     sums = {prefix + a: F.coalesce(F.sum(a).over(inside), F.lit(0)) for a in amounts}
     if not limits:
         return ranged.withColumns(sums).drop("_range")
-    # One row for each VALUES_PER_RANGE distinct values: small enough for one window task and for a broadcast.
+    # One row for each of MOST_RANGES ranges at most: small enough for one window task and for a broadcast.
     lower = Window.partitionBy(F.lit(1)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range")
@@ -182,10 +186,10 @@ def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
     does not depend on partition order.
     """
     scored = df.select(F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score"))
-    rows = scored.count()
-    scored = scored.where("label in (0, 1) and score is not null and not isnan(score)")
-    _, distinct = _profile(scored, ["score"])
-    limits = _range_limits(scored, distinct)["score"]
+    used = "label in (0, 1) and score is not null and not isnan(score)"
+    rows, distinct = scored.agg(F.count(F.lit(1)), F.approx_count_distinct(F.when(F.expr(used), F.col("score")))).first()
+    scored = scored.where(used)
+    limits = _range_limits(scored, {"score": distinct})["score"]
     per_score = scored.groupBy("score").agg(
         F.count_if(F.expr("label = 1")).alias("pos"), F.count_if(F.expr("label = 0")).alias("neg")
     )

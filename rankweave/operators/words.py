@@ -39,6 +39,33 @@ def tokenize_with(
     return rows.withColumn("word", strip_unicode(F.col("word"))).where(F.length("word") >= max(min_length, 1))
 
 
+def tokenize_by(
+    df: DataFrame,
+    text: str,
+    segmenter: Callable[[], Callable[[str], Iterable[str]]],
+    keep: list[str] | None = None,
+    min_length: int = 2,
+) -> DataFrame:
+    """Like `tokenize`, with a segmenter that is costly to make: `segmenter` is called once in each task.
+
+    A table function yields the words of a text as rows, so that those of a long text are never held as one array.
+    """
+
+    class Words:
+        def __init__(self):
+            self.cut = segmenter()
+
+        def eval(self, value: str):
+            for word in self.cut(value) if value else ():
+                yield (word,)
+
+    keep = keep or []
+    words_of = F.udtf(Words, returnType="word string")
+    rows = df.select(*keep, F.col(text).alias("_text"))
+    rows = rows.lateralJoin(words_of(F.col("_text").outer())).select(*keep, strip_unicode(F.col("word")).alias("word"))
+    return rows.where(F.length("word") >= max(min_length, 1))
+
+
 def word_counts(tokens: DataFrame, by: list[str] | None = None) -> DataFrame:
     """`(*by, word, count)`. Partial sums before the shuffle keep a frequent word to one row per task."""
     return tokens.groupBy(*(by or []), "word").agg(F.count(F.lit(1)).alias("count"))

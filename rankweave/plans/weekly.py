@@ -2,8 +2,8 @@
 
     clean_issues   landing folder      -> clean, clean_tsv, rejected, audit, refused documents
     rank           clean table         -> count, metric and word tables
-    compare        clean table         -> correlation matrix, model leaderboard
-    report         clean + comparison  -> chart tables
+    compare        clean table         -> correlation matrix, split counts, model leaderboard
+    chart_tables   stored results      -> chart tables
 
 The caller gives the session and the URIs; any file system Spark knows will do.
 """
@@ -11,6 +11,7 @@ The caller gives the session and the URIs; any file system Spark knows will do.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankweave.functions.text import display_name
 from rankweave.operators import cleaning, learning, ranking, report, statistics, words
@@ -97,18 +98,35 @@ def compare(clean: DataFrame, out_uri: str, models: dict | None = None) -> None:
     stored = clean.sparkSession.read.parquet(_at(out_uri, "correlation_long"))
     write_result(statistics.correlation_matrix(stored, METRICS), _at(out_uri, "correlation"))
     prepared = learning.prepare(clean, ROW_KEYS)
+    write_result(learning.split_counts(prepared), _at(out_uri, "split_counts"))
     write_result(learning.leaderboard(prepared, models), _at(out_uri, "classifier_performance"))
 
 
-def chart_tables(clean: DataFrame, results_uri: str) -> dict[str, DataFrame]:
-    """Chart tables by name. One whose result was never written is left out."""
-    spark = clean.sparkSession
-    pages = report.metric_pages(clean, METRICS, "title", "up")
-    tables = {
-        "metric_pages": pages.withColumn("metric_name", display_name(pages["metric"], METRIC_NAMES)),
-        "subject": report.count_page(clean, "tname"),
-        "up_count": report.count_page(clean, "up"),
-    }
+def _stored_pages(spark: SparkSession, results_uri: str) -> DataFrame | None:
+    """Pages of the metrics whose two results are both stored."""
+    rows, totals = [], []
+    for metric in METRICS:
+        best = read_result(spark, _at(results_uri, f"{metric}_video"), "name string, value bigint")
+        largest = read_result(spark, _at(results_uri, f"{metric}_up"), "name string, value bigint")
+        if best is not None and largest is not None:
+            rows.append(best.withColumn("metric", F.lit(metric)))
+            totals.append(largest.withColumn("metric", F.lit(metric)))
+    if not rows:
+        return None
+    ranked = [ranking.best_by_metric(report.union_all(parts), ["name"], "value", TOP) for parts in (rows, totals)]
+    return report.page_series(ranked[0], "rows").unionByName(report.page_series(ranked[1], "totals"))
+
+
+def chart_tables(spark: SparkSession, results_uri: str) -> dict[str, DataFrame]:
+    """Chart tables by name, from stored results only. One whose result was never written is left out."""
+    tables = {}
+    pages = _stored_pages(spark, results_uri)
+    if pages is not None:
+        tables["metric_pages"] = pages.withColumn("metric_name", display_name(pages["metric"], METRIC_NAMES))
+    for name, result, key in (("subject", "popular_subject", "tname"), ("up_count", "popular_up", "up")):
+        shown = read_result(spark, _at(results_uri, result), f"{key} string, count bigint")
+        if shown is not None:
+            tables[name] = report.shown_page(shown, key)
     matrix_type = f"feature string, {', '.join(f'`{m}` double' for m in METRICS)}"
     matrix = read_result(spark, _at(results_uri, "correlation"), matrix_type)
     if matrix is not None:

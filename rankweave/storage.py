@@ -78,6 +78,12 @@ def remove(spark: SparkSession, uri: str) -> None:
     files.delete(path, True)
 
 
+def rename(spark: SparkSession, uri: str, to: str) -> None:
+    files, path = _at(spark, uri)
+    if not files.rename(path, _at(spark, to)[1]):
+        raise OSError(f"cannot rename {uri} to {to}")
+
+
 def read_note(spark: SparkSession, uri: str) -> str:
     """A file of a few lines, read by the driver."""
     files, path = _at(spark, uri)

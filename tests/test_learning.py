@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows, values
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -49,3 +51,30 @@ def test_leaderboard_on_separable_rows(spark):
         assert 0 <= row["accuracy"] <= 1 and row["accuracy"] == round(row["accuracy"], 4)
         assert row["auc"] > 0.9
     assert not prepared.is_cached
+
+
+def test_leaderboard_equals_direct_fits(spark):
+    """Overlapping classes, so that the models differ; the same rows in the same partitions for both."""
+    df = spark.range(900, numPartitions=3).select(
+        F.concat(F.lit("k"), "id").alias("key"),
+        (F.col("id") % 20 + 1).alias("his_rank"),
+        ((F.col("id") * 7919) % 400 - 15 * (F.col("id") % 20)).cast("double").alias("view"),
+        ((F.col("id") * 104_729) % 37).cast("double").alias("like"),
+    )
+    prepared = learning.prepare(df, ["key"], ["view", "like"])
+    train, test = prepared.where("is_train"), prepared.where("not is_train")
+    columns = {"labelCol": "label", "featuresCol": "features"}
+    models = {
+        "LogisticRegression": LogisticRegression(maxIter=15, **columns),
+        "DecisionTree": DecisionTreeClassifier(seed=42, **columns),
+        "RandomForest": RandomForestClassifier(seed=42, **columns),
+        "GBT": GBTClassifier(seed=42, **columns),
+    }
+    want = []
+    for name, model in models.items():
+        scored = model.fit(train).transform(test)
+        right = scored.where("label = prediction").count() / scored.count()
+        want.append((name, round(right, 4), round(BinaryClassificationEvaluator(labelCol="label").evaluate(scored), 4)))
+    got = [tuple(r) for r in learning.leaderboard(prepared).collect()]
+    assert got == want and len({r[1:] for r in got}) > 1 and all(0.5 < r[2] < 1 for r in got)
+    assert rows(learning.split_counts(prepared)) == sorted([("train", train.count()), ("test", test.count())], key=repr)

@@ -137,6 +137,29 @@ def test_ranges_follow_the_distinct_values(spark, monkeypatch):
     assert len(limits) > 1500
 
 
+def test_the_driver_holds_no_more_limits_for_more_values(spark, monkeypatch):
+    monkeypatch.setattr(statistics, "VALUES_PER_RANGE", 1)
+    monkeypatch.setattr(statistics, "MOST_RANGES", 40)
+    sizes = {}
+    for n in (500, 20_000):
+        # half of the rows have one value, which must not take the ranges of the others
+        df = spark.range(2 * n).select(F.when(F.col("id") < n, F.col("id")).otherwise(3).cast("double").alias("value"))
+        limits = statistics._range_limits(df, {"value": n})["value"]
+        parts = [int(n * (b - a) / n) for a, b in zip([0, *limits], [*limits, n])]
+        assert max(parts) < 2.5 * n / len(parts)
+        sizes[n] = len(limits)
+    assert sizes[500] == sizes[20_000] == 39
+
+
+def test_infinite_values_keep_their_place(spark, monkeypatch):
+    monkeypatch.setattr(statistics, "VALUES_PER_RANGE", 10)
+    inside = [float(x) for x in range(60)]
+    df = spark.createDataFrame([(x, 1) for x in [float("-inf"), *inside, float("inf")]], "v double, w long")
+    limits = statistics._range_limits(df, {"v": 62})["v"]
+    got = [tuple(r) for r in statistics.running_before(df, "v", ["w"], limits).orderBy("v").select("v", "before_w").collect()]
+    assert limits and got == [(x, i) for i, x in enumerate([float("-inf"), *inside, float("inf")])]
+
+
 def test_accuracy(spark):
     df = scored(spark, 500).withColumn("prediction", (F.col("score") > 0.6).cast("double"))
     row = statistics.accuracy(df, F.col("label"), F.col("prediction")).first()

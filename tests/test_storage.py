@@ -7,7 +7,9 @@ from pathlib import Path
 
 import pytest
 
-from rankweave import storage
+from pyspark.sql import functions as F
+
+from rankweave import sinks, storage
 
 
 def test_scratch_folders_are_below_the_session_setting(spark):
@@ -71,3 +73,53 @@ print("found", spark.range(1).mapInPandas(names, "id long").first()[0])
     environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=200)
     assert "found 24" in run.stdout, run.stderr[-2000:]
+
+
+def parted(spark, n, fails=False):
+    """Rows of two tasks; the second one may fail after the first has written."""
+    value = F.when((F.col("id") == n - 1) & F.lit(fails), F.raise_error(F.lit("lost"))).otherwise(F.col("id").cast("string"))
+    return spark.range(n, numPartitions=2).select(value.cast("string").alias("v"))
+
+
+@pytest.mark.parametrize("write", [sinks.write_table, sinks.write_tsv, sinks.write_result])
+def test_a_failing_write_leaves_the_old_result(spark, tmp_path, write):
+    uri = str(tmp_path / "out" / "result")
+    with pytest.raises(Exception, match="lost"):
+        write(parted(spark, 8, fails=True), uri)
+    assert not (tmp_path / "out" / "result").exists()
+    write(parted(spark, 8), uri)
+    read = spark.read.parquet if write is sinks.write_table else spark.read.text
+    before = sorted(r[0] for r in read(uri).collect())
+    with pytest.raises(Exception, match="lost"):
+        write(parted(spark, 30, fails=True), uri)
+    assert sorted(r[0] for r in read(uri).collect()) == before
+    write(parted(spark, 30), uri)
+    assert read(uri).count() == 30 + (write is sinks.write_result)
+    assert [p.name for p in (tmp_path / "out").iterdir() if not p.name.endswith(".crc")] == ["result"]
+
+
+def test_a_result_can_be_replaced_by_one_made_from_it(spark, tmp_path):
+    uri = str(tmp_path / "table")
+    sinks.write_table(spark.range(10), uri)
+    sinks.write_table(spark.read.parquet(uri).where("id < 4"), uri)
+    assert spark.read.parquet(uri).count() == 4
+
+
+def test_a_replacement_that_stopped_half_way_is_undone(spark, tmp_path, monkeypatch):
+    uri = str(tmp_path / "table")
+    sinks.write_table(spark.range(10), uri)
+    done = []
+
+    def once(spark, old, new):
+        if done:
+            raise KeyboardInterrupt
+        done.append(storage.rename(spark, old, new))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "rename", once)
+        with pytest.raises(KeyboardInterrupt):
+            sinks.write_table(spark.range(3), uri)
+    sinks.restore(spark, uri)
+    assert spark.read.parquet(uri).count() == 10
+    sinks.write_table(spark.range(3), uri)
+    assert spark.read.parquet(uri).count() == 3

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from conftest import rows
 from issues import write_issues
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 
-from rankweave.operators import ranking
+from rankweave.operators import ranking, report
 from rankweave.plans import weekly
 from rankweave.schemas import METRICS, TEXT_FIELDS
 from rankweave.sources import envelopes
@@ -78,17 +80,31 @@ def test_comparison_tables(spark, week):
 
 def test_chart_tables(spark, week):
     root, clean, _ = week
-    charts = weekly.chart_tables(clean, str(root / "results"))
+    charts = weekly.chart_tables(spark, str(root / "results"))
     assert set(charts) == {"metric_pages", "subject", "up_count", "correlation", "classifier"} | {f"{f}_words" for f in TEXT_FIELDS}
     assert charts["correlation"].count() == 49
     assert charts["classifier"].count() == 4
-    assert charts["metric_pages"].where("series = 'rows'").count() == 70
+    pages = charts["metric_pages"].drop("metric_name")
+    assert rows(pages) == rows(report.metric_pages(clean, METRICS, "title", "up")) and pages.where("series = 'rows'").count() == 70
+    assert rows(charts["up_count"]) == rows(report.count_page(clean, "up"))
+    assert rows(charts["subject"]) == rows(report.count_page(clean, "tname"))
     assert "播放量" in [r["label_i"] for r in charts["correlation"].collect()]
 
 
 def test_missing_results_are_left_out(spark, week, tmp_path):
-    _, clean, _ = week
-    assert set(weekly.chart_tables(clean, str(tmp_path))) == {"metric_pages", "subject", "up_count"}
+    root, _, _ = week
+    assert weekly.chart_tables(spark, str(tmp_path)) == {}
+    for name in ("view_video", "like_video", "like_up", "popular_up"):
+        shutil.copytree(root / "results" / name, tmp_path / name)
+    charts = weekly.chart_tables(spark, str(tmp_path))
+    assert set(charts) == {"metric_pages", "up_count"}
+    assert {r["metric"] for r in charts["metric_pages"].collect()} == {"like"}
+
+
+def test_split_counts_are_stored(spark, week):
+    root, clean, _ = week
+    counts = {r["part"]: r["rows"] for r in result(spark, root, "split_counts").collect()}
+    assert set(counts) == {"train", "test"} and sum(counts.values()) == clean.count() and min(counts.values()) > 0
 
 
 def test_a_landing_table_gives_the_same_rows_as_files(spark, week, tmp_path):

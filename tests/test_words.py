@@ -47,6 +47,22 @@ def test_callable_segmenter(spark):
     assert sorted(values(got)) == ["ab", "de"]
 
 
+def test_a_segmenter_is_made_once_in_each_task(spark):
+    def segmenter():
+        import uuid
+
+        own = uuid.uuid4().hex
+        return lambda text: [own, *text.split("|")]
+
+    df = spark.createDataFrame([(i, "ab|c| de　|" if i % 5 else None) for i in range(40)], "i int, text string").repartition(3)
+    got = words.tokenize_by(df, "text", segmenter, ["i"])
+    made = [r["word"] for r in got.collect() if len(r["word"]) == 32]
+    assert len(made) == 32 and len(set(made)) <= 3
+    assert rows(got.where("length(word) < 32")) == sorted([(i, w) for i in range(40) if i % 5 for w in ("ab", "de")], key=repr)
+    physical = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in physical and "NestedLoop" not in physical
+
+
 DICTIONARY = [("中国", 100), ("游戏", 80), ("中", 5), ("国游", 1), ("国", 5), ("中国人", 30), ("人民", 60), ("研究", 50), ("研究生", 40), ("生命", 45), ("命", 4), ("起源", 20)]
 
 
