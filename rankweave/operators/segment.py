@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from math import log
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +19,14 @@ from rankweave.functions.numeric import once
 from rankweave.functions.text import digest
 
 HAN = r"\p{IsHan}"
-# Dictionary rows, and bytes of a table of all their beginnings at most, that may be sent to every
-# executor; counted before it is done.
+# Dictionary rows, and bytes of a trie of them at most, that may be sent to every executor; counted before it is done.
 MOST_WORDS = 1_000_000
 MOST_BYTES = 192 << 20
 # Words up to this length are joined as they are, longer ones by their digest.
 LONG = 32
+# Log probabilities are whole millionths, so that sums are exact and equal paths are equal on every machine.
+SCALE = 1_000_000
+NO_WORD = -(1 << 62)
 LIKELIEST = "likeliest"
 LONGEST = "longest"
 
@@ -46,8 +49,26 @@ def path_finder(unknown: float, method: str) -> Callable[..., list[str]]:
     """
     longest_first = method == LONGEST
 
+    def by_character(piece: str, found: dict[int, list[tuple[int, float]]]) -> list[str]:
+        size = len(piece)
+        step, score = [1] * size, [0] * (size + 1)
+        for start in range(size - 1, -1, -1):
+            best, width = unknown + score[start + 1], 1
+            for length, weight in found.get(start, ()):
+                value = weight + score[start + length]
+                if value > best or (value == best and length > width):
+                    best, width = value, length
+            score[start], step[start] = best, width
+        words, start = [], 0
+        while start < size:
+            words.append(piece[start : start + step[start]])
+            start += step[start]
+        return words
+
     def find(piece: str, found: dict[int, list[tuple[int, float]]], atoms=None) -> list[str]:
         size = len(piece)
+        if not longest_first and (atoms is None or len(atoms) == size):
+            return by_character(piece, found)
         ends = list(range(1, size + 1))
         if atoms is not None and len(atoms) < size:
             at = 0
@@ -72,7 +93,7 @@ def path_finder(unknown: float, method: str) -> Callable[..., list[str]]:
             for width in atoms if atoms is not None and len(atoms) < size else ():
                 whole |= {start: at + int(width) for start in range(at, at + int(width) - 1)}
                 at += int(width)
-            score = [0.0] * (size + 1)
+            score = [0] * (size + 1)
             for start in range(size - 1, -1, -1):
                 # up to each place of the run where a word starts, and to its end
                 last = whole.get(start, start + 1)
@@ -106,16 +127,16 @@ def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST,
     weights = dictionary.groupBy("word").agg(F.max("freq").cast("double").alias("freq"))
     # the total is of the counts as they are used: a word that was never counted counts once
     weights = weights.where("word <> ''").withColumn("freq", F.greatest(F.coalesce("freq", F.lit(1.0)), F.lit(1.0)))
-    # every beginning of a word is a string of its own, of up to 4 bytes a character and about 130 besides
+    # no more beginnings than characters, of 16 bytes each, and the words that the trie is made of
     width = F.length("word").cast("double")
     size, total, most, lengths = weights.agg(
         F.count("word"),
         F.coalesce(F.sum("freq"), F.lit(1.0)),
-        F.coalesce(F.sum(130 * width + 2 * width * (width + 1)), F.lit(0.0)),
+        F.coalesce(F.sum(20 * width), F.lit(0.0)),
         F.array_sort(F.collect_set(F.length("word"))),
     ).first()
-    unknown = -log(total)
-    weights = weights.select("word", (F.log("freq") + unknown).alias("weight"))
+    unknown = round(-log(total) * SCALE)
+    weights = weights.select("word", F.round((F.log("freq") - log(total)) * SCALE).cast("bigint").alias("weight"))
     # Cutting is heavy for its bytes: a fixed count, which runtime coalescing by size leaves alone. By
     # a hash of the piece, as a repartition by the piece itself is dropped after a grouping by it.
     spark = distinct.sparkSession
@@ -124,7 +145,8 @@ def segment(distinct: DataFrame, dictionary: DataFrame, method: str = LIKELIEST,
     atoms = F.lit(None).cast("array<int>")
     if script is not None:
         parts = F.regexp_extract_all("piece", F.lit(rf"({script}|[^{script}]+)"), F.lit(1))
-        atoms = F.transform(parts, F.length)
+        # without two other characters side by side every character is a part
+        atoms = F.when(F.col("piece").rlike(rf"[^{script}][^{script}]"), F.transform(parts, F.length))
     distinct = distinct.withColumn("_atoms", atoms)
     by_broadcast = size <= MOST_WORDS and most <= MOST_BYTES
     if by_broadcast:
@@ -141,39 +163,85 @@ def _uncopied(udf):
     return udf.asNondeterministic()
 
 
+def trie(words: list[str], weights: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The beginnings of all words as a trie in two arrays: 16 bytes for each different beginning.
+
+    Node n > 0 is the beginning that entry n - 1 of the first array leads to: its parent's number, times 2 ** 21, plus
+    the code of its last character. Nodes are numbered by length first, so the array is sorted. The second array has
+    a node's weight, or NO_WORD where only a longer word goes on.
+    """
+    codes = [np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) for word in words]
+    sizes = np.array([len(x) for x in codes], np.int64)
+    flat, starts = np.concatenate([*codes, np.empty(0, np.int64)]), np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    node, own, keys, of_node = np.zeros(len(words), np.int64), np.arange(len(words)), [], [np.array([NO_WORD])]
+    weights, numbered, depth = np.array(weights, np.int64), 1, 0
+    while True:
+        own = own[sizes[own] > depth]
+        if not len(own):
+            return np.concatenate([*keys, np.empty(0, np.int64)]), np.concatenate(of_node)
+        level, place = np.unique((node[own] << 21) + flat[starts[own] + depth], return_inverse=True)
+        node[own] = numbered + place
+        depth += 1
+        weight = np.full(len(level), NO_WORD)
+        whole = sizes[own] == depth
+        weight[place[whole]] = weights[own[whole]]
+        keys.append(level)
+        of_node.append(weight)
+        numbered += len(level)
+
+
+def word_finder() -> Callable[[np.ndarray, np.ndarray, list[str]], Iterator[dict]]:
+    """A function from a `trie` and pieces to the words in each, `{start: [(length, weight), ...]}`, shortest first.
+
+    All places of all pieces go down the trie together, one character a step. An inner function, as `path_finder`.
+    """
+    import numpy as np
+
+    no_word = NO_WORD
+
+    def find(keys, weights, pieces: list[str]) -> Iterator[dict]:
+        code = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in pieces])]).astype(np.int64)
+        end = np.repeat(bounds[1:], np.diff(bounds))
+        at, node, length = np.arange(len(code)), np.zeros(len(code), np.int64), 0
+        starts, lengths, found = [], [], []
+        while len(at) and len(keys):
+            inside = at + length < end[at]
+            at, node = at[inside], node[inside]
+            key = (node << 21) + code[at + length]
+            next_node = np.searchsorted(keys, key)
+            hit = keys[np.minimum(next_node, len(keys) - 1)] == key
+            at, node = at[hit], next_node[hit] + 1
+            length += 1
+            word = weights[node] != no_word
+            starts.append(at[word])
+            lengths.append(np.full(int(word.sum()), length))
+            found.append(weights[node[word]])
+        starts, lengths, found = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (starts, lengths, found))
+        order = np.argsort(starts, kind="stable")
+        starts, pairs = starts[order], list(zip(lengths[order].tolist(), found[order].tolist()))
+        places, first = np.unique(starts, return_index=True)
+        first = [*first.tolist(), len(pairs)]
+        options = [pairs[i:j] for i, j in zip(first, first[1:])]
+        piece = np.searchsorted(bounds, places, "right") - 1
+        places = (places - bounds[piece]).tolist()
+        parts = np.searchsorted(piece, np.arange(len(pieces) + 1)).tolist()
+        for i, j in zip(parts, parts[1:]):
+            yield dict(zip(places[i:j], options[i:j]))
+
+    return find
+
+
 def _segment_by_broadcast(distinct: DataFrame, weights: DataFrame, unknown: float, method: str) -> DataFrame:
     table = weights.toPandas()
-    # Every beginning of a word is a key too, with no weight: a lookup that fails ends the search.
-    beginnings: dict[str, float | None] = {}
-    for word in table["word"]:
-        for end in range(1, len(word)):
-            beginnings.setdefault(word[:end], None)
-    beginnings.update(zip(table["word"], table["weight"]))
-    shared = distinct.sparkSession.sparkContext.broadcast(beginnings)
-    find = path_finder(unknown, method)
+    shared = distinct.sparkSession.sparkContext.broadcast(trie(table["word"].tolist(), table["weight"].tolist()))
+    find, words_in = path_finder(unknown, method), word_finder()
 
     @F.pandas_udf("array<string>")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        known = shared.value
-
-        def one(piece: str, atoms) -> list[str]:
-            found: dict[int, list[tuple[int, float]]] = {}
-            size = len(piece)
-            for start in range(size):
-                options = []
-                for end in range(start + 1, size + 1):
-                    part = piece[start:end]
-                    if part not in known:
-                        break
-                    weight = known[part]
-                    if weight is not None:
-                        options.append((end - start, weight))
-                if options:
-                    found[start] = options
-            return find(piece, found, atoms)
-
         for texts, atoms in batches:
-            yield pd.Series([one(*x) for x in zip(texts, atoms)], dtype=object)
+            pieces = texts.tolist()
+            yield pd.Series([find(*x) for x in zip(pieces, words_in(*shared.value, pieces), atoms)], dtype=object)
 
     return distinct.withColumn("words", _uncopied(cut)("piece", "_atoms"))
 

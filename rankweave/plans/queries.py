@@ -594,13 +594,64 @@ def q15_wordcount_callable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.top_words(words.word_counts(tokens), 300)
 
 
-@register()
-def q15_wordcount_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their spaces taken out, cut by the words of `benchmark`. No SQL: path search."""
+def _dictionary_sql(method: str) -> str:
+    """Words of the best path by a fold over the places of a piece from its end, and a walk from its start.
+
+    The words of `benchmark` hold letters only, so a run of other characters stays whole.
+    """
+    best = {
+        "likeliest": "list_max(list_transform(x.options, lambda o: {'v': o.w + acc.scores[o.n], 'n': o.n}))",
+        "longest": "list_max(list_transform(x.options, lambda o: {'v': CAST(o.known AS BIGINT) * 100000 + o.n, 'n': o.n}))",
+    }[method]
+    return f"""
+    with recursive counted as (
+        select word, count(*) as freq from ({_sql_tokens("benchmark")}) where length(word) >= 2 group by 1),
+    total as (select cast(round(-ln(sum(freq)) * 1e6) as bigint) as unknown, -ln(sum(freq)) as whole from counted),
+    dictionary as (select word, length(word) as n, cast(round((ln(freq) + whole) * 1e6) as bigint) as w from counted, total),
+    pieces as (
+        select piece, count(*) as times, row_number() over (order by piece) as id
+        from (select unnest(regexp_extract_all(replace(text, ' ', ''), '[\\p{{L}}\\p{{N}}]+')) as piece from documents) group by 1),
+    places as (select id, piece, unnest(range(1, length(piece) + 1)) as pos from pieces where regexp_matches(piece, '\\p{{L}}')),
+    found as (
+        select id, pos, d.n, d.w, true as known
+        from (select id, pos, substring(piece, pos, n) as word from places, (select distinct n from dictionary) where pos + n - 1 <= length(piece))
+        join dictionary d using (word)
+        union all
+        select id, pos, case when regexp_matches(substring(piece, pos, 1), '\\p{{L}}') then 1 else length(regexp_extract(substring(piece, pos), '^[^\\p{{L}}]+')) end, unknown, false from places, total),
+    options as (select id, pos, list({{'n': n, 'w': w, 'known': known}}) as options from found group by 1, 2),
+    listed as (
+        select id, list({{'options': options, 'scores': cast([] as bigint[]), 'steps': cast([] as bigint[])}} order by pos desc) as xs
+        from options group by 1),
+    steps as (
+        select id, list_reduce(xs, lambda acc, x: struct_pack(options := x.options,
+            scores := list_concat([{best}.v], acc.scores[1:400]), steps := list_concat([{best}.n], acc.steps)),
+            {{'options': cast([] as struct(n bigint, w bigint, known boolean)[]), 'scores': cast([0] as bigint[]), 'steps': cast([] as bigint[])}}).steps as steps
+        from listed),
+    walk as (
+        select id, 1 as pos, steps from steps
+        union all select id, cast(pos + steps[pos] as integer), steps from walk where pos + steps[pos] <= len(steps)),
+    cut as (select substring(piece, pos, steps[pos]) as word, times from walk join pieces using (id)
+            union all select piece, times from pieces where not regexp_matches(piece, '\\p{{L}}'))
+    select word, cast(sum(times) as bigint) as count from cut where length(word) >= 2 group by 1 order by count desc, word limit 300
+    """
+
+
+def _unspaced_word_counts(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+    """Documents with their spaces taken out, cut by the words of `benchmark`."""
     vocabulary = words.word_counts(words.tokenize(table(spark, sf_dir, "benchmark"), "text"))
     dictionary = vocabulary.select("word", F.col("count").alias("freq"))
     unspaced = table(spark, sf_dir, "documents").select(F.replace("text", F.lit(" "), F.lit("")).alias("text"))
-    return words.top_words(segment.dictionary_word_counts(unspaced, "text", dictionary, script=r"\p{L}"), 300)
+    return words.top_words(segment.dictionary_word_counts(unspaced, "text", dictionary, script=r"\p{L}", method=method), 300)
+
+
+@register(_dictionary_sql(segment.LIKELIEST))
+def q15_wordcount_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unspaced_word_counts(spark, sf_dir, segment.LIKELIEST)
+
+
+@register(_dictionary_sql(segment.LONGEST))
+def q15_wordcount_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unspaced_word_counts(spark, sf_dir, segment.LONGEST)
 
 
 _STOP_SQL = f"""

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import plan, rows, values
 
@@ -115,7 +116,8 @@ def test_segment_finds_the_best_of_all_paths(spark, both_ways):
         total = log(sum(freq.values()))
         score = sum(log(freq.get(w, 1)) - total for w in got[piece])
         assert "".join(got[piece]) == piece
-        assert isclose(score, brute_best(piece)[1], abs_tol=1e-9)
+        # whole millionths, one rounding for each word
+        assert isclose(score, brute_best(piece)[1], abs_tol=1e-5)
 
 
 def test_dictionary_counts_mix_scripts(spark, both_ways):
@@ -139,11 +141,32 @@ def test_long_runs_are_cut(spark):
     assert rows(got) == sorted([("x" * 200_000, 1), ("中国", 1)], key=repr)
 
 
-def test_one_long_word_is_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(segment, "_segment_by_broadcast", None)
+def test_one_long_word_is_bounded_by_its_characters(spark, monkeypatch):
     long = spark.createDataFrame([("中" * 20_000, 1), ("中国", 1)], "word string, freq long")
-    df = spark.createDataFrame([("中国中国",)], "piece string")
-    assert [r["words"] for r in segment.segment(df, long).collect()] == [["中国", "中国"]]
+    df = spark.createDataFrame([("中国中国",), ("中" * 20_001,)], "piece string")
+    want = [["中国", "中国"], ["中" * 20_000, "中"]]
+    assert [r["words"] for r in segment.segment(df, long).collect()] == want
+    monkeypatch.setattr(segment, "_segment_by_broadcast", None)
+    monkeypatch.setattr(segment, "MOST_BYTES", 20 * 20_000)
+    assert [r["words"] for r in segment.segment(df.limit(1), long).collect()] == want[:1]
+
+
+def test_trie_finds_all_words():
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choices("ab国𠀀", k=rng.randint(1, 6))) for _ in range(300)})
+    rng.shuffle(words)
+    keys, weights = segment.trie(words, list(range(len(words))))
+    beginnings = {w[:n] for w in words for n in range(1, len(w) + 1)}
+    assert len(keys) == len(weights) - 1 == len(beginnings) and (np.diff(keys) > 0).all()
+    pieces = ["".join(rng.choices("ab国𠀀x", k=rng.randint(0, 12))) for _ in range(100)]
+    for piece, found in zip(pieces, segment.word_finder()(keys, weights, pieces)):
+        want = {}
+        for start in range(len(piece)):
+            for end in range(start + 1, len(piece) + 1):
+                if piece[start:end] in words:
+                    want.setdefault(start, []).append((end - start, words.index(piece[start:end])))
+        assert found == want
+    assert list(segment.word_finder()(*segment.trie([], []), ["ab", ""])) == [{}, {}]
 
 
 def test_dictionary_counts_by_group(spark, both_ways):
@@ -164,7 +187,8 @@ def test_the_path_finder_travels_without_the_package(tmp_path):
 
     from pyspark import cloudpickle
 
-    (tmp_path / "find").write_bytes(cloudpickle.dumps(segment.path_finder(-5.0, segment.LIKELIEST)))
-    code = "import pickle; print(pickle.load(open('find', 'rb'))('abc', {0: [(2, -1.0)]}))"
+    parts = segment.path_finder(-5.0, segment.LIKELIEST), segment.word_finder(), segment.trie(["ab"], [-1])
+    (tmp_path / "find").write_bytes(cloudpickle.dumps(parts))
+    code = "import pickle; f, w, t = pickle.load(open('find', 'rb')); print(f('abc', *w(*t, ['abc'])))"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={})
     assert done.stdout.strip() == "['ab', 'c']", done.stderr
