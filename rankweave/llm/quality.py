@@ -1,17 +1,10 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model is over whole code points (`ngrams`): its tables grow with the trusted text and are joined by shuffle.
-
-The functions up to `shards` are an earlier model over 64 symbol classes with at most 64 ** 4 entries. `judged` does
-not use them; tests hold them against brute force.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +12,6 @@ from rankweave.llm import ngrams
 from rankweave.llm.common import kept
 from rankweave.storage import fits_broadcast
 
-ORDER = 4
-BITS = 6
-CLASSES = 1 << BITS
-SHARDS = 16
 # Share of the trusted documents of a language that lie within its limit; README says what others cost.
 QUANTILE = 0.995
 # One of so many trusted documents is kept out of the model and gives the quantiles.
@@ -31,163 +20,37 @@ HELD_OUT = 5
 PRIOR_SYMBOLS = 60
 # A language with fewer such documents takes the quantile of all.
 LEAST_TRUSTED = 5
-STEP = 1 << 19
-
-# Class 0 pads, 1 space, 2 line feed, 3 other white space, 4 digit, 5 upper case, 6 to 31 a to z, 32 to 47
-# the marks below, 48 any other ASCII, 49 to 63 other characters by code point.
-MARKS = ".,;:!?'\"()-_/|*#"
-
-
-def _classes() -> np.ndarray:
-    table = np.full(1 << 16, 48, np.uint8)
-    code = np.arange(1 << 16)
-    table[128:] = 49 + code[128:] % 15
-    for k in range(128, 0x250):
-        if chr(k).isupper():
-            table[k] = 5
-    table[ord("0") : ord("9") + 1] = 4
-    table[ord("A") : ord("Z") + 1] = 5
-    table[ord("a") : ord("z") + 1] = np.arange(6, 32)
-    table[[9, 11, 12, 13]] = 3
-    table[32], table[10] = 1, 2
-    for k, mark in enumerate(MARKS):
-        table[ord(mark)] = 32 + k
-    return table
-
-
-_CLASS = _classes()
-
-
-def _symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all characters and the place where each text begins, with the end last."""
-    parts = [np.frombuffer((x or "").encode("utf-32-le", "surrogatepass"), np.uint32) for x in texts]
-    offsets = np.zeros(len(parts) + 1, np.int64)
-    np.cumsum([len(x) for x in parts], out=offsets[1:])
-    code = np.concatenate(parts) if parts else np.empty(0, np.uint32)
-    return _CLASS[np.where(code < (1 << 16), code, 128 + code % 15)], offsets
-
-
-def _codes(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each character the code of its n-gram; places before a text's start count as class 0."""
-    code = symbols.astype(np.int32)
-    place = np.arange(len(symbols)) - np.repeat(offsets[:-1], np.diff(offsets))
-    for k in range(1, ORDER):
-        before = np.zeros(len(symbols), np.int32)
-        before[k:] = symbols[:-k]
-        before[place < k] = 0
-        code |= before << (BITS * k)
-    return code
-
-
-def _pieces(column: pa.Array) -> Iterator[list]:
-    """Texts in lists of about STEP characters."""
-    some, size = [], 0
-    for text in column.to_pylist():
-        some.append(text)
-        size += len(text or "")
-        if size > STEP:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
+# Bits of a map of trusted identifiers: sixteen for each, but 16 MB at most. A full map only leaves all rows in.
+BITS_EACH, MOST_BITS = 16, 1 << 27
+ADDED = ["q_symbols", "q_perplexity", "q_limit", "q_kept"]
+# Fixed value: bits of one row of such a map.
+MAP_BITS = 1 << 15
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    codes, counts = np.empty(0, np.int32), np.empty(0, np.int64)
+def likely(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id is in `trusted`, and some others: those whose hash falls on a bit of the map as well.
 
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(codes, pa.int32()), pa.array(counts, pa.int64())], ["code", "n"])
-
-    for batch in batches:
-        for texts in _pieces(batch.column(0)):
-            seen, n = np.unique(_codes(*_symbols(texts)), return_counts=True)
-            both, back = np.unique(np.concatenate([codes, seen]), return_inverse=True)
-            counts = np.bincount(back, np.concatenate([counts, n]), len(both)).astype(np.int64)
-            codes = both
-    yield out()
-
-
-def ngram_counts(texts: DataFrame) -> DataFrame:
-    """code, n over all texts of a one-column table; each task sends one row for each different n-gram."""
-    return texts.mapInArrow(_counted, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """The interpolated modified Kneser-Ney model: k (order), context, code, p (discounted share), rest (weight of the lower order).
-
-    The highest order uses counts, lower ones the number of different symbols before an n-gram. Every order has
-    three discounts from how many n-grams occur once to four times; an order too small for them takes 0.5, 1 and 1.5
-    of what it has. `rest` is the mass a context passes on and the same for all its rows.
+    Cuts texts down before they are shuffled. The map is broadcast; it has 4,096 rows of 4 KB at most.
     """
-    orders = []
-    level = counts.select("code", F.col("n").cast("double").alias("n"))
-    for k in range(ORDER, 0, -1):
-        level = kept(level, f"ngrams-{k}")
-        seen = {int(r["n"]): r["c"] for r in level.where("n <= 4").groupBy("n").agg(F.count("*").alias("c")).collect()}
-        n1, n2, n3, n4 = (float(seen.get(i, 0)) for i in (1, 2, 3, 4))
-        if n1 and n2 and n3 and n4:
-            y = n1 / (n1 + 2 * n2)
-            discount = [min(max(d, 0.05), i - 0.05) for i, d in enumerate((1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3), 1)]
-        else:
-            discount = [0.5, 1.0, 1.5]
-        cut = F.when(F.col("n") >= 3, discount[2]).when(F.col("n") >= 2, discount[1]).otherwise(discount[0])
-        rows = level.withColumns({"context": F.shiftright("code", BITS), "cut": cut})
-        sums = rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("passed"))
-        orders.append(
-            rows.join(sums, "context").select(
-                F.lit(k).alias("k"), "context", "code", ((F.col("n") - F.col("cut")) / F.col("total")).alias("p"),
-                (F.col("passed") / F.col("total")).alias("rest"),
-            )
-        )
-        mask = (1 << (BITS * (k - 1))) - 1
-        level = level.groupBy(F.col("code").bitwiseAND(mask).alias("code")).agg(F.count("*").cast("double").alias("n"))
-    model = orders[0]
-    for rows in orders[1:]:
-        model = model.unionByName(rows)
-    return kept(model, "kneser-ney")
-
-
-def compact(model: DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
-    """The model's rows for each order as arrays: at most 64 ** 4 of the highest, and fewer of the others."""
-    rows = model.select("k", "context", "code", "p", "rest").toPandas()
-    pick = lambda own: tuple(own[c].to_numpy(t) for c, t in (("context", np.int32), ("code", np.int32), ("p", np.float32), ("rest", np.float32)))
-    return {k: pick(rows[rows["k"] == k]) for k in range(1, ORDER + 1)}
-
-
-def shards(model: dict[int, tuple[np.ndarray, ...]]) -> list[np.ndarray]:
-    """Negative natural logarithms of all n-gram probabilities, as one dense block for each range of contexts."""
-    lower = np.full(CLASSES, 1.0 / CLASSES)
-    for k in range(1, ORDER):
-        lower = _interpolated(model[k], k, lower, 0, CLASSES ** (k - 1))
-    context, width, out = model[ORDER][0], CLASSES ** (ORDER - 1) // SHARDS, []
-    for s in range(SHARDS):
-        own = (context >= s * width) & (context < (s + 1) * width)
-        top = _interpolated([x[own] for x in model[ORDER]], ORDER, lower, s * width, width)
-        out.append((-np.log(top)).astype(np.float32))
-    return out
-
-
-def _interpolated(rows, k: int, lower: np.ndarray, first: int, contexts: int) -> np.ndarray:
-    """Probabilities of all symbols after `contexts` contexts from `first` on, each a row of CLASSES."""
-    context, code, share, passed = rows
-    rest = np.ones(contexts)
-    rest[context - first] = passed
-    below = CLASSES ** (k - 2) if k > 1 else 1
-    under = lower.reshape(below, CLASSES)[(np.arange(contexts) + first) % below]
-    p = (rest[:, None] * under).reshape(-1)
-    p[code - first * CLASSES] += share
-    return p
+    bits = min(MOST_BITS, max(MAP_BITS, 1 << (BITS_EACH * trusted.count()).bit_length()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    part, bit = F.floor(place / MAP_BITS), place % MAP_BITS
+    rows = trusted.select(part.alias("map_part"), bit.alias("bit")).groupBy("map_part").agg(F.bitmap_construct_agg("bit").alias("map_bits"))
+    found = docs.withColumns({"map_part": part, "map_bit": bit}).join(F.broadcast(rows), "map_part")
+    byte = F.conv(F.hex(F.expr("substring(map_bits, cast(map_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return found.where(F.getbit(byte, (F.col("map_bit") % 8).cast("int")) == 1).select(docs.columns)
 
 
 def train(docs: DataFrame, trusted: DataFrame) -> dict[int, DataFrame]:
     """The model of all trusted texts: rows of `docs` whose doc_id is among the identifiers in `trusted`."""
     # labels grow with the documents, so they are not broadcast, however few there are
-    texts = docs.select("doc_id", "text").join(trusted.select("doc_id").distinct().hint("merge"), "doc_id").select("text")
+    trusted = trusted.select("doc_id").distinct()
+    texts = likely(docs.select("doc_id", "text"), trusted).join(trusted.hint("merge"), "doc_id").select("text")
     return ngrams.kneser_ney(ngrams.counts(texts))
 
 
 def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, carry: list[str] | None = None) -> DataFrame:
-    """`docs` with columns q_symbols, q_perplexity, q_limit and q_kept (names that `docs` may not have are replaced).
+    """`docs` with columns q_symbols, q_perplexity, q_limit and q_kept; columns of these names in `docs` are replaced.
 
     Trusted are the documents that a label marks with quality 1. Perplexity is per symbol, with PRIOR_SYMBOLS symbols
     of average trusted text added to each document, so an empty or null text has the average and is kept. A fifth of
@@ -199,9 +62,13 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, carry
     trusted = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     aside = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
     model = train(docs, trusted.where(~aside))
-    docs = docs.drop("q_symbols", "q_perplexity", "q_limit", "q_kept", "symbols", "nll") if carry is None else docs
-    carry = carry or docs.columns
-    scored = kept(ngrams.scored(docs, "text", model, carry), "scores")
+    read = ["doc_id", "lang", "text"]
+    result = [c for c in carry or docs.columns if c not in ADDED]
+    # the caller's other columns in one, whatever their names
+    others = {c: f"c{i}" for i, c in enumerate(c for c in result if c not in read)}
+    rest = F.struct(F.lit(0).alias("c"), *[docs[f"`{c}`"].alias(place) for c, place in others.items()])
+    own = docs.select(*read, rest.alias("rest"))
+    scored = kept(ngrams.scored(own, "text", model, ["doc_id", "lang", "rest", *[c for c in result if c == "text"]]), "scores")
     known = kept(scored.select("doc_id", "lang", F.col("symbols").alias("n"), "nll").join(trusted.where(aside), "doc_id"), "trusted-scores")
     mean = known.agg(F.sum("nll") / F.sum("n")).first()[0] or 0.0
     smooth = lambda nll, n: F.exp((nll + PRIOR_SYMBOLS * mean) / (n + PRIOR_SYMBOLS))
@@ -215,4 +82,5 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, carry
     out = out.join(limits, out["lang"] == limits["q_lang"], "left")
     out = out.withColumn("q_limit", F.coalesce("own", F.lit(whole).cast("double")))
     kept_flag = F.coalesce(F.col("q_perplexity") <= F.col("q_limit"), F.lit(True))
-    return out.withColumn("q_kept", kept_flag).drop("symbols", "nll", "q_lang", "own")
+    columns = [F.col("rest")[others[c]].alias(c) if c in others else c for c in result]
+    return out.withColumn("q_kept", kept_flag).select(*columns, *ADDED)

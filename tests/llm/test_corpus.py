@@ -202,23 +202,27 @@ def test_preference_format(spark):
 # quality
 
 
-def test_kneser_ney_sums_to_one_and_prefers_what_it_saw(spark):
-    texts = spark.createDataFrame([(t,) for t in prose(11, 50)] + [(None,), ("",)], "text string")
-    model = quality.shards(quality.compact(quality.kneser_ney(quality.ngram_counts(texts))))
-    import numpy as np
-
-    sums = np.concatenate([np.exp(-x.astype(float)).reshape(-1, quality.CLASSES).sum(1) for x in model])
-    assert len(model) == quality.SHARDS and np.allclose(sums, 1, atol=1e-3)
-
-
-def test_ngram_counts_match_brute_force(spark):
-    texts = prose(12, 20)
-    got = {r["code"]: r["n"] for r in quality.ngram_counts(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
-    own = collections.Counter()
-    for t in texts:
-        symbols = [0, 0, 0] + [int(quality._CLASS[ord(c)]) for c in t]
-        own.update(((a * 64 + b) * 64 + c) * 64 + d for a, b, c, d in zip(symbols, symbols[1:], symbols[2:], symbols[3:]))
-    assert got == dict(own)
+def test_map_of_identifiers_leaves_all_trusted_rows_in(spark, monkeypatch):
+    docs = spark.range(40_000).select((F.col("id") * 7 - 9_000).alias("doc_id"), F.lit("t").alias("text"))
+    trusted = docs.where("doc_id % 5 = 0").select("doc_id")
+    left = quality.likely(docs, trusted)
+    assert left.columns == docs.columns and left.join(trusted, "doc_id").count() == trusted.count()
+    assert left.count() < 1.3 * trusted.count()
+    assert quality.likely(docs, trusted.limit(0)).count() == 0
+    monkeypatch.setattr(quality, "MOST_BITS", quality.MAP_BITS)
+    assert quality.likely(docs, docs.select("doc_id")).count() == 40_000
+
+
+def test_quality_leaves_the_columns_of_the_caller(spark):
+    texts = list(enumerate(prose(36, 30)))
+    docs = documents(spark, texts)
+    names = ["own", "ngram_block", "symbols", "nll", "q_lang", "q_limit", "rest", "none", "map_part", "block"]
+    docs = docs.select("doc_id", "lang", "text", *[F.lit(name).alias(name) for name in names])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id bigint, quality int, toxic int")
+    out = quality.judged(docs, labels)
+    names.remove("q_limit")
+    assert out.columns == ["doc_id", "lang", "text", *names, "q_symbols", "q_perplexity", "q_limit", "q_kept"]
+    assert rows(out.select("doc_id", "text", *names)) == sorted([(i, t, *names) for i, t in texts], key=repr)
 
 
 def test_quality_keeps_clean_and_drops_junk(spark):
