@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import pandas as pd
@@ -17,6 +19,38 @@ TOKENIZERS = "/opt/tokenizers"
 RANGE = 256
 # Fixed value: the pattern that cuts text before byte pairs are merged.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: white space as that pattern has it.
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# Characters of white space in a row that are encoded apart, as the pattern's search goes too deep on very long ones.
+LONG_RUN = 10_000
+
+
+def _pieces_of_long_runs(text: str) -> list[tuple[str, bool]]:
+    """A text cut around long runs of white space, where the pattern cuts it too; True marks a part that is one run.
+
+    The pattern takes a run at the end of a text whole, and leaves the last character of any other to what follows.
+    """
+    out, at = [], 0
+    for run in re.finditer(rf"[{WHITE}]{{{LONG_RUN},}}", text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += [(text[at : run.start()], False), (text[run.start() : end], True)]
+        at = end
+    return [*out, (text[at:], False)]
+
+
+def counter(path: str) -> Callable[[str | None], int]:
+    """A function that counts the tokens of a text under a vocabulary file."""
+    encoding = _encoding(path)
+
+    def count(text: str | None) -> int:
+        if not text:
+            return 0
+        if len(text) < LONG_RUN:
+            return len(encoding.encode_ordinary(text))
+        parts = _pieces_of_long_runs(text)
+        return sum(len(encoding._encode_single_piece(part) if run else encoding.encode_ordinary(part)) for part, run in parts)
+
+    return count
 
 
 @lru_cache(maxsize=2)
@@ -29,12 +63,14 @@ def _encoding(path: str):
 
 
 def token_count(text: str, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> Column:
-    """Tokens of a text column under a byte-pair vocabulary file that every executor has. Null and empty have none."""
+    """Tokens of a text column under a byte-pair vocabulary file that every executor has. Null and empty have none.
+
+    Any text is counted whole, also one that is a single word or a single run of white space.
+    """
 
     @F.pandas_udf("bigint")
     def count(texts: pd.Series) -> pd.Series:
-        encode = _encoding(vocabulary).encode_ordinary
-        return pd.Series([len(encode(x)) if x else 0 for x in texts], dtype="int64")
+        return pd.Series(list(map(counter(vocabulary), texts)), dtype="int64")
 
     return count(F.col(text))
 
