@@ -1,16 +1,25 @@
-"""Toxicity: a weighted grammar of composed transducers scores clauses that hold an insult or a threat.
+"""Toxicity: a weighted grammar of five composed transducers scores clauses that match an insult or a threat.
 
-A lexical transducer turns words into classes with weights, three small ones follow negation, reported speech and the
-target of a clause, and their composition says for every insult or threat in which setting it stands. The lexicon
-grows from labelled texts (words and word beginnings that mark toxic ones), and the weight of each setting is fitted
-on other labelled texts, so a setting that takes the sting out of a word earns a low weight only if labels say so.
+A clause ends at a full stop, a question or exclamation mark, a semicolon, a line feed or the end of the text. Its words
+fall into classes. Transducers for insult, threat, target, negation and reported speech read the classes in step, and
+their composition says at the end of the clause which patterns it matches. There the clause speaks one weight, that of
+its path: the sum over the insult and threat words that the matched patterns took. Patterns:
+
+- insult: a word of that class, bare, aimed (a target at most SCOPE words away on either side), called (a copula at most
+  SCOPE words before it), or both;
+- threat: a word of that class, aimed or intended (will, going, ... at most SCOPE words before it), or both; a threat
+  word with neither matches nothing, so to kill time is no threat.
+
+A matched clause is negated where a negation stands at most SCOPE words before every insult and threat word of it, and
+reported where a verb of speech stands anywhere in it. The classes grow from labelled texts (words, and beginnings of
+words of 3 to 8 letters that stand for their endings), and the weight of each pattern is fitted on other labelled texts.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
-from typing import NamedTuple
+from collections.abc import Hashable, Iterable
+from typing import Callable, NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -19,116 +28,191 @@ from pyspark.sql import functions as F
 
 # Labelled rows the model is fitted on at most; which ones follows from a hash of doc_id.
 LABEL_ROWS = 20_000
+# Letters of a beginning of a word that may become an entry of its own; whole words of any length may, too.
 STEMS = range(3, 9)
 LEAST_SEEN = 8
 LEAST_RATE = 0.9
 LEAST_SHARE = 0.5
-# Learned entries kept, the strongest first.
-MOST_ENTRIES = 5_000
+# Words between the parts of a pattern.
+SCOPE = 4
 
 # Common words of each class in English, German, French and Spanish.
 INSULTS = "idiot moron scum trash loser stupid pathetic worthless disgusting dumm dummkopf trottel abschaum widerlich connard imbécile crétin stupide idiota imbécil estúpido basura".split()
 THREATS = "kill hurt destroy punish töten umbringen vernichten tuer détruire frapper matar destruir golpear".split()
-TARGETS = "you your yours they them he she du ihr dich euch sie tu vous toi vos ils elles tú usted ustedes ellos".split()
+TARGETS = "you your yours them they him she du ihr dich euch sie tu vous toi vos ils elles tú usted ustedes ellos".split()
+COPULAS = "is are was were am be being been bist ist sind seid war waren es est sont êtes était eres son era eran sois".split()
+INTENTS = "will shall going gonna must werde werden wirst muss vais va vont allons voy vas vamos van".split()
 NEGATIONS = "not no never none cannot nicht kein keine nie pas jamais aucun ne nunca ningún ni".split()
 REPORTS = "said says quoted claimed wrote reported sagte schrieb behauptete dit écrit affirme dijo escribió afirma".split()
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
+OTHER, INSULT, THREAT, TARGET, COPULA, INTENT, NEGATION, REPORT, END = range(9)
 TOKENS = re.compile(r"[^\W\d_]+|[.!?;\n]")
 MARKS = {".", "!", "?", ";", "\n"}
 
 
 class Transducer(NamedTuple):
-    """step[state][symbol] is the next state; says[state] is what a word read in that state is marked with."""
+    """A machine over word classes: where it starts, where a class takes it, and what a state says when a clause ends there."""
 
-    step: list[list[int]]
-    says: list[int]
+    start: Hashable
+    step: Callable[[Hashable, int], Hashable]
+    says: Callable[[Hashable], tuple]
 
 
-def _negation(scope: int = 3) -> Transducer:
-    """State k > 0: a negation stands at most `scope` words back, k words of its scope are left."""
-    step = []
-    for k in range(scope + 1):
-        row = [max(0, k - 1)] * 7
-        row[NEGATION], row[END] = scope, 0
-        step.append(row)
-    return Transducer(step, [0] + [1] * scope)
+def _called(hit: int, before: int) -> Transducer:
+    """Says 0 without a word of class `hit`, 2 where one has a word of class `before` at most SCOPE words before it, else 1."""
 
+    def step(state, symbol):
+        left, level = state
+        if symbol == hit:
+            level = max(level, 2 if left else 1)
+        return SCOPE if symbol == before else max(0, left - 1), level
 
-def _since(symbol: int) -> Transducer:
-    """State 1 from the symbol to the end of the clause."""
-    step = [[0] * 7, [1] * 7]
-    step[0][symbol], step[1][END] = 1, 0
-    return Transducer(step, [0, 1])
+    return Transducer((0, 0), step, lambda state: (state[1],))
 
 
-def compose(first: Transducer, second: Transducer) -> Transducer:
-    """Both at once: the state is the pair of states, the mark the pair of marks."""
-    n, marks = len(second.step), max(second.says) + 1
-    step = [[first.step[a][x] * n + second.step[b][x] for x in range(7)] for a in range(len(first.step)) for b in range(n)]
-    return Transducer(step, [first.says[a] * marks + second.says[b] for a in range(len(first.step)) for b in range(n)])
+def _aimed(hit: int) -> Transducer:
+    """Says whether a target stands at most SCOPE words before or after a word of class `hit`."""
+
+    def step(state, symbol):
+        target, struck, met = state
+        met = met or (symbol == hit and target > 0) or (symbol == TARGET and struck > 0)
+        return SCOPE if symbol == TARGET else max(0, target - 1), SCOPE if symbol == hit else max(0, struck - 1), met
+
+    return Transducer((0, 0, False), step, lambda state: (state[2],))
 
 
-GRAMMAR = compose(compose(_negation(), _since(REPORT)), _since(TARGET))
-# Settings: 2 x 2 x 2 of negated, reported and aimed, once for insults and once for threats.
-SETTINGS = 8
+def _negated() -> Transducer:
+    """Says whether there are insult or threat words and each has a negation at most SCOPE words before it."""
+
+    def step(state, symbol):
+        left, hits = state  # hits: 0 none, 1 all negated, 2 some not
+        if symbol in (INSULT, THREAT):
+            hits = max(hits, 1 if left else 2)
+        return SCOPE if symbol == NEGATION else max(0, left - 1), hits
+
+    return Transducer((0, 0), step, lambda state: (state[1] == 1,))
+
+
+def _reported() -> Transducer:
+    return Transducer(False, lambda state, symbol: state or symbol == REPORT, lambda state: (state,))
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """Both at once: a state is a pair of states, and a pair says what both say."""
+    return Transducer(
+        (first.start, second.start),
+        lambda state, symbol: (first.step(state[0], symbol), second.step(state[1], symbol)),
+        lambda state: first.says(state[0]) + second.says(state[1]),
+    )
+
+
+# Says: insult level, insult aimed, threat level, threat aimed, negated, reported.
+_INSULT = compose(_called(INSULT, COPULA), _aimed(INSULT))
+_THREAT = compose(_called(THREAT, INTENT), _aimed(THREAT))
+GRAMMAR = compose(compose(compose(_INSULT, _THREAT), _negated()), _reported())
+PATTERNS = ["insult", "insult aimed", "insult called", "insult aimed and called", "threat aimed or intended", "threat aimed and intended", "negated", "reported"]
+
+
+def patterns(said: tuple) -> list[int]:
+    """Numbers of the patterns that a clause matches; none where it has neither an insult nor a threat."""
+    insult, insult_aimed, threat, threat_aimed, negated, reported = said
+    out = []
+    if insult:
+        out.append(2 * (insult == 2) + insult_aimed)
+    if threat == 2 or threat and threat_aimed:
+        out.append(4 + (threat == 2 and threat_aimed))
+    if out:
+        out += [6] * negated + [7] * reported
+    return out
+
+
+class Lazy:
+    """A transducer whose states are numbered when they are first met; most states of a composition never are."""
+
+    def __init__(self, machine: Transducer):
+        self.machine, self.number, self.states = machine, {machine.start: 0}, [machine.start]
+        self.steps: list[list[int | None]] = [[None] * END]
+        self.ends: list[list[int] | None] = [None]
+
+    def step(self, state: int, symbol: int) -> int:
+        to = self.steps[state][symbol]
+        if to is None:
+            reached = self.machine.step(self.states[state], symbol)
+            to = self.number.setdefault(reached, len(self.states))
+            if to == len(self.states):
+                self.states.append(reached)
+                self.steps.append([None] * END)
+                self.ends.append(None)
+            self.steps[state][symbol] = to
+        return to
+
+    def end(self, state: int) -> list[int]:
+        if self.ends[state] is None:
+            self.ends[state] = patterns(self.machine.says(self.states[state]))
+        return self.ends[state]
+
+
+_machine = Lazy(GRAMMAR)
 
 
 class Lexicon(NamedTuple):
+    """Classes and weights of words, and weights of beginnings of words, which are insults."""
+
     words: dict[str, tuple[int, float]]
     stems: dict[str, float]
 
-    def of(self, token: str) -> tuple[int, float] | None:
-        found = self.words.get(token)
-        if found is None and token[:3] in self.starts:
-            for k in STEMS:
-                if token[:k] in self.stems:
-                    return INSULT, self.stems[token[:k]]
-        return found
-
-    @property
-    def starts(self) -> set[str]:
-        return {x[:3] for x in self.stems}
-
 
 def seed_words() -> dict[str, tuple[int, float]]:
     words = {x: (END, 0.0) for x in MARKS}
-    for symbol, some in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS), (INSULT, INSULTS)):
+    classes = ((TARGET, TARGETS), (COPULA, COPULAS), (INTENT, INTENTS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS), (INSULT, INSULTS))
+    for symbol, some in classes:
         words |= {x: (symbol, 1.0) for x in some}
     return words
 
 
-def settings(texts: Iterable[str | None], lexicon: Lexicon) -> np.ndarray:
-    """For each text the weight of insults and of threats in every setting, 16 numbers a text."""
-    out, known, stems, starts = [], lexicon.words, lexicon.stems, lexicon.starts
-    step, says = GRAMMAR.step, GRAMMAR.says
-    zero = np.zeros(2 * SETTINGS)
+def clause_sums(texts: Iterable[str | None], lexicon: Lexicon) -> np.ndarray:
+    """For each text and pattern the weights of the clauses that match it, added up."""
+    out, known, stems = [], lexicon.words, lexicon.stems
+    starts = {x[: STEMS[0]] for x in stems}
+    step, end = _machine.step, _machine.end
+    zero = np.zeros(len(PATTERNS))
+
+    def entry_of(token: str) -> tuple[int, float] | None:
+        found = known.get(token)
+        if found is None:
+            stem = next((token[:k] for k in STEMS if token[:k] in stems), None)
+            found = None if stem is None else (INSULT, stems[stem])
+        return found
+
     for text in texts:
         tokens = TOKENS.findall((text or "").lower())
-        heard = [(i, known.get(t), t) for i, t in enumerate(tokens) if t in known or t[:3] in starts]
-        sums, state, last = None, 0, -1
-        if not any(e is None or e[0] in (INSULT, THREAT) for _, e, _ in heard):
+        heard = [(i, entry_of(t)) for i, t in enumerate(tokens) if t in known or t[: STEMS[0]] in starts]
+        if not any(e and e[0] in (INSULT, THREAT) for _, e in heard):
             out.append(zero)
             continue
-        for i, entry, token in heard:
+        sums, state, last, weight = zero.copy(), 0, -1, {INSULT: 0.0, THREAT: 0.0}
+        for i, entry in [*heard, (len(tokens), (END, 0.0))]:
             if entry is None:
-                found = next((stems[token[:k]] for k in STEMS if token[:k] in stems), None)
-                if found is None:
-                    continue
-                entry = (INSULT, found)
-            for _ in range(min(i - last - 1, 4)):  # words outside the lexicon; the longest scope is 3
-                state = step[state][OTHER]
+                continue
+            if entry[0] == END:
+                matched = end(state)
+                if matched:
+                    spoken = weight[INSULT] + (weight[THREAT] if any(PATTERNS[k].startswith("threat") for k in matched) else 0)
+                    sums[matched] += spoken
+                state, last, weight = 0, i, {INSULT: 0.0, THREAT: 0.0}
+                continue
+            for _ in range(min(i - last - 1, SCOPE)):  # words outside the lexicon; more of them change nothing
+                state = step(state, OTHER)
             if entry[0] in (INSULT, THREAT):
-                sums = np.zeros(2 * SETTINGS) if sums is None else sums
-                sums[says[state] + SETTINGS * (entry[0] == THREAT)] += entry[1]
-            state, last = step[state][entry[0]], i
-        out.append(zero if sums is None else sums)
-    return np.array(out).reshape(-1, 2 * SETTINGS)
+                weight[entry[0]] += entry[1]
+            state, last = step(state, entry[0]), i
+        out.append(sums)
+    return np.array(out).reshape(-1, len(PATTERNS))
 
 
 def features(sums: np.ndarray) -> np.ndarray:
-    """What the weights of the settings multiply: damped sums, the whole of both kinds, whether there is any, and one."""
-    whole = sums.sum(1, keepdims=True)
+    """What is weighted: damped sums of the patterns, of all insults and threats, whether any clause matches, and one."""
+    whole = sums[:, :6].sum(1, keepdims=True)
     return np.hstack([np.log1p(sums), np.log1p(whole), whole > 0, np.ones((len(sums), 1))])
 
 
@@ -167,7 +251,8 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
 
     An entry is taken when it is seen in LEAST_SEEN toxic texts, its rate in toxic texts is LEAST_RATE of both rates
     together, and toxic texts are LEAST_SHARE of all that have it; its weight is the logarithm of the ratio. Longer
-    beginnings of one that is taken are left out. At most MOST_ENTRIES are kept.
+    beginnings of one that is taken are left out. Learned words are insults unless they are seeds of the threats. The
+    labelled rows bound how many entries there are.
     """
     rows = {int(r["toxic"]): r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = rows.get(1, 0), rows.get(0, 0)
@@ -183,7 +268,7 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
     bad, good = (F.col("bad") + 0.5) / toxic, (F.col("good") + 0.5) / clean
     entries = entries.withColumn("weight", F.log(bad / good))
     strong = entries.where((F.col("bad") >= LEAST_SEEN) & (bad / (bad + good) >= LEAST_RATE) & (F.col("bad") >= LEAST_SHARE * (F.col("bad") + F.col("good"))))
-    strong = strong.orderBy(F.desc(F.col("weight") * F.log1p("bad")), "entry").limit(MOST_ENTRIES).collect()
+    strong = strong.select("entry", "weight").collect()
     stems: dict[str, float] = {}
     for r in sorted(strong, key=lambda r: (len(r["entry"]), r["entry"])):
         stem = r["entry"][:-1]
@@ -191,20 +276,21 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
             stems[stem] = float(r["weight"])
     for r in strong:
         word = r["entry"]
-        if not word.endswith("*") and seeds.get(word, (INSULT,))[0] == INSULT:
-            seeds[word] = (INSULT, float(r["weight"]))
+        symbol = seeds.get(word, (INSULT,))[0]
+        if not word.endswith("*") and symbol in (INSULT, THREAT):
+            seeds[word] = (symbol, float(r["weight"]))
     return Lexicon(seeds, stems)
 
 
 def _gathered(texts: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
-    """Settings and labels of a table of at most LABEL_ROWS texts."""
+    """Sums over clauses and labels of a table of at most LABEL_ROWS texts."""
 
     @F.pandas_udf("array<double>")
     def told(text: pd.Series) -> pd.Series:
-        return pd.Series(list(settings(text, lexicon)))
+        return pd.Series(list(clause_sums(text, lexicon)))
 
     rows = texts.select("toxic", told("text").alias("sums")).toPandas()
-    return np.array([list(x) for x in rows["sums"]]).reshape(-1, 2 * SETTINGS), rows["toxic"].to_numpy(float)
+    return np.array([list(x) for x in rows["sums"]]).reshape(-1, len(PATTERNS)), rows["toxic"].to_numpy(float)
 
 
 class Model(NamedTuple):
@@ -212,21 +298,19 @@ class Model(NamedTuple):
     weights: np.ndarray
 
     def score(self, texts: Iterable[str | None]) -> np.ndarray:
-        z = features(settings(texts, self.lexicon)) @ self.weights
+        z = features(clause_sums(texts, self.lexicon)) @ self.weights
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> Model:
-    """Lexicon from one half of the labelled texts, weights of the settings from the other."""
+    """Lexicon from one half of the labelled texts, weights of the patterns from the other."""
     from rankweave.llm.common import kept
 
     texts = kept(labelled_texts(docs, labels, rows), "labelled-texts")
     lexicon = learn_lexicon(texts.where("half = 0").select("text", "toxic"))
     sums, toxic = _gathered(texts.where("half = 1"), lexicon)
-    if not len(toxic) or toxic.min() == toxic.max():  # nothing to fit on: any insult or threat counts
-        weights = np.zeros(2 * SETTINGS + 3)
-        weights[-3:] = 1.0, 1.0, -2.0
-        return Model(lexicon, weights)
+    if not len(toxic) or toxic.min() == toxic.max():  # nothing to fit on: the patterns count alike, more so where aimed, less where negated or reported
+        return Model(lexicon, np.array([1, 2, 2, 3, 2, 3, -2, -1, 0, 1, -2.0]))
     return Model(lexicon, _fitted(features(sums), toxic))
 
 

@@ -306,11 +306,71 @@ def test_toxicity_on_held_out_rows(spark):
     assert out.where("predicted = toxic").count() >= 0.9 * out.count()
 
 
-def test_grammar_follows_the_clause():
+def test_grammar_tells_patterns_apart():
     lexicon = toxicity.Lexicon(toxicity.seed_words(), {"achlich": 2.0})
-    sums = toxicity.settings(["you idiot", "he said: not an idiot.", "idiot", "not a b c idiot", "you. idiot", "achlichtz", None, "fine"], lexicon)
-    marks = [sorted(i for i in range(16) if row[i]) for row in sums]
-    assert marks == [[1], [7], [0], [0], [0], [0], [], []]
+    expected = {
+        "what an idiot": {"insult"},
+        "you idiot": {"insult aimed"},
+        "that film is stupid": {"insult called"},
+        "stupid, all of you": {"insult aimed"},
+        "you are really stupid": {"insult aimed and called"},
+        "he said: you are an idiot": {"insult aimed and called", "reported"},
+        "you are not an idiot": {"insult aimed and called", "negated"},
+        "not an idiot, an utter moron and loser": {"insult"},
+        "hurt them now": {"threat aimed or intended"},
+        "I will kill you": {"threat aimed and intended"},
+        "we are going to destroy it": {"threat aimed or intended"},
+        "to kill time": set(),
+        "you. kill. will! hurt": set(),
+        "achlichtz": {"insult"},
+        "you a b c d idiot": {"insult"},
+        "fine": set(),
+    }
+    sums = toxicity.clause_sums([*expected, None, ""], lexicon)
+    got = [{toxicity.PATTERNS[k] for k in range(len(row)) if row[k]} for row in sums]
+    assert got == [*expected.values(), set(), set()]
+    # one weight for each clause, that of all words its patterns took
+    assert toxicity.clause_sums(["idiot moron achlichtz time. idiot; kill idiot"], lexicon)[0].tolist() == [6.0] + [0.0] * 7
+    assert toxicity.clause_sums(["kill you idiot"], lexicon)[0].tolist() == [0.0, 2.0, 0.0, 0.0, 2.0, 0.0, 0.0, 0.0]
+
+
+def test_grammar_matches_a_brute_force_reading():
+    """Clauses of random words, each pattern looked up among all words of the clause."""
+    lexicon = toxicity.Lexicon(toxicity.seed_words(), {"zzz": 2.5})
+    classes = {
+        "i": ["idiot", "zzzab"], "t": ["kill", "hurt"], "g": ["you", "sie"], "c": ["is", "sind"],
+        "w": ["will", "voy"], "n": ["not", "nie"], "r": ["said"], "o": ["stone", "blau", "42", "zz"],
+    }
+    pick, scope = random.Random(41), toxicity.SCOPE
+    texts, expected = [], []
+    for _ in range(3000):
+        sums, text = [0.0] * 8, []
+        for _ in range(pick.randint(1, 3)):
+            kinds = pick.choices("itgcwnroooo", k=pick.randint(0, 9))
+            words = [pick.choice(classes[k]) for k in kinds]
+            text.append(" ".join(words) + pick.choice(".!?;\n"))
+            kinds = [k for k, w in zip(kinds, words) if w != "42"]  # a number is no word
+            words = [w for w in words if w != "42"]
+
+            def near(place, kind, after=False, kinds=kinds):
+                return kind in kinds[max(0, place - scope) : place] or after and kind in kinds[place + 1 : place + scope + 1]
+
+            insults, threats = ([p for p, k in enumerate(kinds) if k == x] for x in "it")
+            found = []
+            if insults:
+                found.append(2 * any(near(p, "c") for p in insults) + any(near(p, "g", True) for p in insults))
+            aimed, meant = any(near(p, "g", True) for p in threats), any(near(p, "w") for p in threats)
+            if aimed or meant:
+                found.append(4 + (aimed and meant))
+            if found and all(near(p, "n") for p in insults + threats):
+                found.append(6)
+            if found and "r" in kinds:
+                found.append(7)
+            for k in found:
+                sums[k] += sum(2.5 if words[p] == "zzzab" else 1.0 for p in insults + threats * (aimed or meant))
+        texts.append("".join(text))
+        expected.append(sums)
+    assert toxicity.clause_sums(texts, lexicon).tolist() == expected
 
 
 def test_toxicity_of_odd_rows(spark):
