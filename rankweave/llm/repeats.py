@@ -5,6 +5,10 @@ mostly share that run and travel as one segment of 100 to 180 bytes. The segment
 transform; there, backward extension in rounds of increasing length finds where the common prefix of neighbouring
 suffixes ends, and stops at 100: suffixes that no boundary separates start the same 100-byte string, and all but
 the first in document order are removed.
+
+A run that many different segments share (a common phrase) would bring them all to one task. Such hot runs are found by
+a count over all texts and rank after all others: a string that holds one is routed by its surroundings, and equal
+strings still agree on their run.
 """
 
 from __future__ import annotations
@@ -28,9 +32,15 @@ ANCHOR = 20
 PACK_BYTES = 16 << 20
 ROUTE_BYTES = 24 << 20
 BLOCK_BYTES = 3 << 20
+# Different segments that make a run hot; segments of a run that a task of the count must see to report it.
+HOT_SEGMENTS = 20_000
+LEAST_REPORTED = 8
+# Hot runs there can be at most, by the number of segments that each needs: 8 MB as a sorted array.
+HOT_RUNS = 1 << 20
 # Bytes of segments for one byte of text, about.
 _GROWTH = 3.4
 _PLACE_BITS = np.uint64(34)
+_PLACE = np.uint64((1 << 34) - 1)
 _FACTOR = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(2).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -76,14 +86,25 @@ class Segments(NamedTuple):
     place: np.ndarray
 
 
-def segments(data: np.ndarray, offsets: np.ndarray) -> Segments:
-    """All segments: maximal runs of 100-byte strings of a document that have their anchor at the same place."""
+def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array that is not empty."""
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
+
+
+def segments(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None = None) -> Segments:
+    """All segments: maximal runs of 100-byte strings of a document that have their anchor at the same place.
+
+    The routes in the sorted array `hot` become the anchor of a string only where it holds no other run.
+    """
     empty = np.empty(0, np.int64)
     if len(data) < LENGTH:
         return Segments(empty, empty, empty, empty, *[np.empty(0, np.uint64)] * 3, empty)
     anchors, wholes = _run_hashes(data)
     keys = (mixed(anchors) >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(anchors), dtype=np.uint64)
-    least = _least_places(keys, LENGTH - ANCHOR + 1) & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))
+    if hot is not None and len(hot):
+        after = _among(mixed(anchors + np.uint64(1)), hot).astype(np.uint64) << np.uint64(63)
+        keys = ((keys >> _PLACE_BITS >> np.uint64(1) << _PLACE_BITS) | (keys & _PLACE)) | after
+    least = _least_places(keys, LENGTH - ANCHOR + 1) & _PLACE
     inside = np.zeros(len(least) + 1, np.int32)
     long = np.flatnonzero(np.diff(offsets) >= LENGTH)
     inside[offsets[long]] += 1
@@ -331,7 +352,50 @@ def _removed_runs(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return docs, keys, *[np.concatenate(x).astype(np.int64) for x in zip(*runs)]
 
 
-def _routed(routes: int):
+def _shared_routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """route and n: routes that at least LEAST_REPORTED segments of the task have, equal ones of one pack counted once."""
+
+    def summed(routes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        each, number = np.unique(np.concatenate(routes), return_inverse=True)
+        return each, np.bincount(number, np.concatenate(counts), len(each)).astype(np.int64)
+
+    total, parts, held = (np.empty(0, np.uint64), np.empty(0, np.int64)), [], 0
+
+    def counted():
+        route, head, tail, size = (np.concatenate([getattr(s, k) for s in parts]) for k in ("route", "head", "tail", "size"))
+        order = np.lexsort((tail, head, size, route))
+        route, head, tail, size = route[order], head[order], tail[order], size[order]
+        new = np.ones(len(route), bool)
+        new[1:] = (route[1:] != route[:-1]) | (head[1:] != head[:-1]) | (tail[1:] != tail[:-1]) | (size[1:] != size[:-1])
+        each, n = np.unique(route[new], return_counts=True)
+        return summed([total[0], each[n > 1]], [total[1], n[n > 1]])
+
+    for batch in batches:
+        body, offsets = utf8(batch.column(0))
+        for first, last in steps(offsets):
+            s = segments(body[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+            parts.append(s)
+            held += int(offsets[last] - offsets[first])
+            if held >= PACK_BYTES:
+                total, parts, held = counted(), [], 0
+    if parts:
+        total = counted()
+    often = total[1] >= LEAST_REPORTED
+    yield pa.RecordBatch.from_arrays([pa.array(total[0][often].view(np.int64)), pa.array(total[1][often])], ["route", "n"])
+
+
+def hot_routes(docs: DataFrame, size: int) -> np.ndarray:
+    """Sorted routes that HOT_SEGMENTS different segments have, more where `size` bytes of text could hold over HOT_RUNS of them.
+
+    What is not found only stays together: results do not depend on it.
+    """
+    least = max(HOT_SEGMENTS, math.ceil(size * _GROWTH / LENGTH / HOT_RUNS))
+    shared = docs.select("text").mapInArrow(_shared_routes, "route bigint, n bigint")
+    hot = shared.groupBy("route").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("route").toArrow()
+    return np.sort(hot.column("route").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _routed(routes: int, hot: np.ndarray | None = None):
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(docs, keys, data, parts):
             if not parts:
@@ -357,7 +421,7 @@ def _routed(routes: int):
             body, offsets = utf8(batch.column(2))
             for first, last in steps(offsets):
                 own = body[offsets[first] : offsets[last]]
-                s = segments(own, offsets[first : last + 1] - offsets[first])
+                s = segments(own, offsets[first : last + 1] - offsets[first], hot)
                 if len(s.doc):
                     docs.append(ids[first:last])
                     keys.append(marks[first:last])
@@ -421,7 +485,9 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """id, mark, starts, ends (lists of lists): bytes of each text covered by a string of LENGTH bytes that starts earlier too."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     routes = max(1, math.ceil(size * _GROWTH / ROUTE_BYTES))
-    blocks = docs.select("id", "mark", "text").mapInArrow(_routed(routes), "route int, block binary")
+    # a table that holds fewer segments than a route does not need the count
+    hot = hot_routes(docs, size) if routes > 1 else None
+    blocks = docs.select("id", "mark", "text").mapInArrow(_routed(routes, hot), "route int, block binary")
     runs = blocks.groupBy("route").applyInArrow(_runs_of_route, "id bigint, mark int, starts array<bigint>, ends array<bigint>")
     return runs.groupBy("id", "mark").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
 

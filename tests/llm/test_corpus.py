@@ -83,6 +83,35 @@ def test_repeats_match_brute_force(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in out} == cut(texts)
 
 
+def phrased(count):
+    """Texts that all hold one phrase, each in other surroundings; every fifth one repeats a whole passage, too."""
+    fill = prose(42, 2 * count, 60)
+    passage = "p" + " ".join(prose(43, 3, 60))
+    return [
+        (i, f"{fill[2 * i]} this very phrase stands in every document {fill[2 * i + 1]}" + (passage if i % 5 == 0 else ""))
+        for i in range(count)
+    ]
+
+
+def test_repeats_around_a_phrase_in_every_text(spark, monkeypatch):
+    import numpy as np
+
+    for name, value in {"ROUTE_BYTES": 3000, "PACK_BYTES": 4000, "HOT_SEGMENTS": 12, "LEAST_REPORTED": 2}.items():
+        monkeypatch.setattr(repeats, name, value)
+    texts = phrased(150)
+    docs = documents(spark, texts)
+    hot = repeats.hot_routes(docs, sum(len(t) for _, t in texts))
+    assert len(hot)
+    out = repeats.without_repeats(docs).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in out} == cut(texts)
+    # most segments at one route: a third and more of the texts before, far fewer after
+    data = np.frombuffer("".join(t for _, t in texts).encode(), np.uint8)
+    offsets = np.cumsum([0] + [len(t.encode()) for _, t in texts])
+    before, after = (repeats.segments(data, offsets, h) for h in (None, hot))
+    most = [len(np.unique(s.head[s.route == r])) for s in (before, after) for r in [max(set(s.route.tolist()), key=s.route.tolist().count)]]
+    assert most[0] >= 50 and most[1] <= 12
+
+
 def test_repeats_across_packs_and_blocks(monkeypatch):
     import numpy as np
     import pyarrow as pa
