@@ -558,3 +558,64 @@ def test_pipeline_stages_only_drop_rows(spark):
         assert 0.5 * len(before) < len(left) <= len(before) and set(left) <= set(before)
         docs, before = spark.createDataFrame(out.collect(), docs.schema), left
     assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()} == {r[0] for r in before}
+
+
+def test_pipeline_halves_a_table_given_twice(spark):
+    import corpus_pipeline
+
+    texts = [(1, "a b"), (2, "a b"), (3, None), (None, "x y"), (None, None), (4, "alone"), (None, "a b")]
+    once = documents(spark, texts)
+    out = corpus_pipeline.exact_stage(spark, once.unionAll(once).unionAll(once), "")
+    assert out.columns == once.columns
+    left = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    assert left == sorted([(2, "a b"), (3, None), (None, "x y"), (4, "alone")], key=repr)
+    # rows that differ in another column only are one document, too
+    other = once.where("doc_id = 4").withColumn("source", F.lit("t"))
+    assert corpus_pipeline.exact_stage(spark, once.where("doc_id = 4").unionAll(other), "").select("source").collect() == [("t",)]
+
+
+def test_pipeline_matches_brute_force_behind_its_first_stage(spark):
+    """Exact and near duplicates, benchmark items and decoded texts of all documents that the quality stage kept."""
+    import corpus_pipeline
+
+    stages, sf = dict(corpus_pipeline.STAGES), str(DATA)
+    first = stages["quality"](spark, table(spark, sf, "documents"), sf).collect()
+    docs = spark.createDataFrame(first, table(spark, sf, "documents").schema)
+    texts = {r["doc_id"]: r["text"] or "" for r in first}
+    largest = {t: i for i, t in sorted(texts.items())}
+    texts = {i: t for i, t in texts.items() if largest[t] == i}
+    docs = stages["exact_duplicates"](spark, docs, sf)
+    assert {r["doc_id"]: r["text"] or "" for r in docs.collect()} == texts
+
+    def lowered(text):
+        return [w for w in re.split("[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda x: x[0].lower(), text)) if w]
+
+    def shingles_of(words, size=5):
+        return {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))} if words else set()
+
+    sets = {i: shingles_of(lowered(t)) for i, t in texts.items()}
+    least, changed = {i: i for i in sets}, True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if both and 100 * both >= 80 * len(sets[a] | sets[b]) and least[a] < least[b]:
+                    least[b], changed = least[a], True
+    texts = {i: t for i, t in texts.items() if least[i] == i}
+    docs = stages["near_duplicates"](spark, spark.createDataFrame(docs.collect(), docs.schema), sf)
+    assert {r["doc_id"] for r in docs.collect()} == set(texts)
+
+    items = [lowered(r["text"] or "") for r in table(spark, sf, "benchmark").collect()]
+    held = {i for i, t in texts.items() for w in items if w and f" {' '.join(w)} " in f" {' '.join(lowered(t))} "}
+    docs = stages["benchmark"](spark, spark.createDataFrame(docs.collect(), docs.schema), sf)
+    left = {r["doc_id"] for r in docs.collect()}
+    assert not left & held and left <= set(texts)
+    # what goes beyond exact passages shares a run of an item's length with it: most of the item's words in a row of as many
+    for i in set(texts) - left - held:
+        words = lowered(texts[i])
+        runs = ((set(w), set(words[k : k + len(w)])) for w in items if w for k in range(max(1, len(words) - len(w) + 1)))
+        assert any(len(a & b) >= 0.7 * len(a) for a, b in runs)
+    out = stages["sentence_pieces"](spark, spark.createDataFrame(docs.collect(), docs.schema), sf)
+    back = out.withColumn("text", pieces.decoded("pieces")).collect()
+    assert {r["doc_id"]: r["text"] or "" for r in back} == {i: texts[i] for i in left} and all(r["exact"] for r in back)
