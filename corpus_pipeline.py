@@ -18,10 +18,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest doc_id."""
-    dropped = digests.exact_duplicates(docs).where("not kept").select("doc_id", F.col("text_sha256").alias("digest"))
-    same = docs["doc_id"].eqNullSafe(dropped["doc_id"]) & (F.sha2(F.coalesce(docs["text"], F.lit("")), 256) == dropped["digest"])
-    return docs.join(dropped, same, "left_anti")
+    """Of equal texts the document with the largest doc_id. Of rows that agree in both, also without doc_id, one stays."""
+    marks = kept(digests.exact_duplicates(docs).select("doc_id", "kept", F.col("text_sha256").alias("digest")), "exact-marks")
+    dropped = marks.where("not kept").select("doc_id", "digest")
+    digest = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+    left = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["doc_id"]) & (digest == dropped["digest"]), "left_anti")
+    again = kept(marks.where("kept").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "given-again")
+    if again.isEmpty():
+        return left
+    rows = left.select(F.struct(*docs.columns).alias("row"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    once = rows.join(again, "digest", "left_anti").select("row")
+    one = rows.join(again, "digest", "left_semi").groupBy("digest").agg(F.max("row").alias("row")).select("row")
+    return once.unionByName(one).select("row.*")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
