@@ -19,11 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def kept(df: DataFrame, purpose: str) -> DataFrame:
-    """`df` written to the shared folder and read again: its lineage ends there, and lost executors lose nothing."""
+def kept(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
+    """`df` written to the shared folder and read again: its lineage ends there, and lost executors lose nothing.
+
+    `codec` compresses the files, the session's own if none is given.
+    """
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=codec)
     return spark.read.schema(df.schema).parquet(folder)
 
 

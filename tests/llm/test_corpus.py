@@ -308,6 +308,18 @@ def test_ngram_model_matches_brute_force(spark, monkeypatch):
         assert got[i] == (len(t or ""), pytest.approx(sum(-log(chance(line[k - 3 : k + 1])) for k in range(3, len(line)))))
 
 
+def test_rows_of_a_block_travel_whole_and_compressed(spark):
+    texts = [*prose(37, 400), None, "", "何の日 𝒳 \0"]
+    docs = spark.createDataFrame([(t, i, (i, [str(i)])) for i, t in enumerate(texts)], "text string, doc_id bigint, rest struct<a: bigint, b: array<string>>")
+    docs = docs.repartition(3, "doc_id")
+    packed = ngrams.packed_blocks(docs).toArrow()
+    blocks = set(packed.column("block").to_pylist())
+    assert len(blocks) > 1 and blocks == {r["block"] for r in ngrams.block_grams(docs).select("block").distinct().collect()}
+    assert sum(map(len, packed.column("packed").to_pylist())) < 0.7 * sum(len((t or "").encode()) for t in texts)
+    got = ngrams.unpacked(packed.column("packed")).sort_by("doc_id").to_pylist()
+    assert got == [{"text": t, "doc_id": i, "rest": {"a": i, "b": [str(i)]}} for i, t in enumerate(texts)]
+
+
 def test_quality_tells_letters_of_other_scripts_apart(spark):
     pick = random.Random(33)
     vocabulary = ["".join(pick.choices("абвгд", k=pick.randint(2, 6))) for _ in range(60)]
