@@ -4,7 +4,8 @@ Equal strings must meet, so every 100-byte string is routed by its smallest-hash
 mostly share that run and travel as one segment of 100 to 180 bytes. The segments of one route are the text of one
 transform; there, backward extension in rounds of increasing length finds where the common prefix of neighbouring
 suffixes ends, and stops at 100: suffixes that no boundary separates start the same 100-byte string, and all but
-the first in document order are removed.
+the first in document order are removed. Segments whose anchor no other one has with the same 40 bytes before or after it
+share no such string and are left out of the transform.
 
 A run that many different segments share (a common phrase) would bring them all to one task. Such hot runs are found by
 a count over all texts and rank after all others: a string that holds one is routed by its surroundings, and equal
@@ -37,6 +38,8 @@ HOT_SEGMENTS = 20_000
 LEAST_REPORTED = 8
 # Hot runs there can be at most, by the number of segments that each needs: 8 MB as a sorted array.
 HOT_RUNS = 1 << 20
+# Bytes of text whose runs are hashed at a time: their arrays stay in a core's cache.
+_HASHED_BYTES = 1 << 16
 # Bytes of segments for one byte of text, about.
 _GROWTH = 3.4
 _PLACE_BITS = np.uint64(34)
@@ -127,8 +130,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None = Non
 
 def _gather(data: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The bytes of many ranges, one after the other."""
-    before = np.cumsum(size) - size
-    return data[np.repeat(place - before, size) + np.arange(int(size.sum()))]
+    view = memoryview(data)
+    return np.frombuffer(b"".join([view[a:b] for a, b in zip(place.tolist(), (place + size).tolist())]), np.uint8)
 
 
 def _packed(docs: np.ndarray, keys: np.ndarray, data: np.ndarray, s: Segments, routes: int) -> Iterator[tuple[int, bytes]]:
@@ -184,10 +187,10 @@ def _unpacked(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, dict[str, np
     return np.concatenate(docs), np.concatenate(keys), out, np.concatenate(bytes_)
 
 
-def _anchors(data: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of ANCHOR bytes at some places."""
+def _hashes(data: np.ndarray, place: np.ndarray, size: int = ANCHOR) -> np.ndarray:
+    """Hashes of the runs of `size` bytes at some places."""
     total = np.zeros(len(place), np.uint64)
-    for k in range(ANCHOR):
+    for k in range(size):
         total = total * np.uint64(_FACTOR) + _BYTE[data[place + k]]
     return total
 
@@ -208,6 +211,20 @@ def _equal_to_earlier(data: np.ndarray, place: np.ndarray, size: np.ndarray) ->
     return out
 
 
+def _share_half(data: np.ndarray, place: np.ndarray, size: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Which of some different segments have the bytes from their anchor on, or those up to its end, like another one.
+
+    Equal strings hold their anchor at the same place, so of the LENGTH - ANCHOR bytes around it half or more are on one
+    side: segments that share a string share the anchor with that half. The others need no transform.
+    """
+    out, half = np.zeros(len(place), bool), (LENGTH - ANCHOR + 1) // 2
+    for first in (anchor - half, anchor):
+        whole = np.flatnonzero((first >= 0) & (first + half + ANCHOR <= size))
+        _, number, often = np.unique(_hashes(data, (place + first)[whole], half + ANCHOR), return_inverse=True, return_counts=True)
+        out[whole] |= often[number] > 1
+    return out
+
+
 def suffix_order(text: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Places of all suffixes, sorted by their first `length` (64 to 128) bytes; past the end stand zeros."""
     n = len(text)
@@ -309,7 +326,7 @@ def _removed_runs(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     runs = [(f["doc"][later], f["start"][later], f["start"][later] + f["size"][later])]
     # an anchor that occurs once repeats nothing
     own = np.flatnonzero(~later)
-    _, number, often = np.unique(_anchors(data, f["place"][own] + f["anchor"][own]), return_inverse=True, return_counts=True)
+    _, number, often = np.unique(_hashes(data, f["place"][own] + f["anchor"][own]), return_inverse=True, return_counts=True)
     repeated = often[number] > 1
     own, number = own[repeated], number[repeated]
     order = np.lexsort((f["start"][own], keys[f["doc"][own]], docs[f["doc"][own]]))
@@ -319,6 +336,8 @@ def _removed_runs(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     r = own[again]
     runs.append((f["doc"][r], f["start"][r], f["start"][r] + f["size"][r]))
     own, number = own[~again], number[~again]
+    shares = _share_half(data, f["place"][own], f["size"][own], f["anchor"][own].astype(np.int64))
+    own, number = own[shares], number[shares]
     # segments of one anchor stay together in a block, in document order
     order = np.argsort(number, kind="stable")
     own, number = own[order], number[order]
@@ -372,7 +391,7 @@ def _shared_routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         body, offsets = utf8(batch.column(0))
-        for first, last in steps(offsets):
+        for first, last in steps(offsets, _HASHED_BYTES):
             s = segments(body[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
             parts.append(s)
             held += int(offsets[last] - offsets[first])
@@ -419,7 +438,7 @@ def _routed(routes: int, hot: np.ndarray | None = None):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             marks = batch.column(1).to_numpy(zero_copy_only=False)
             body, offsets = utf8(batch.column(2))
-            for first, last in steps(offsets):
+            for first, last in steps(offsets, _HASHED_BYTES):
                 own = body[offsets[first] : offsets[last]]
                 s = segments(own, offsets[first : last + 1] - offsets[first], hot)
                 if len(s.doc):

@@ -83,6 +83,33 @@ def test_repeats_match_brute_force(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in out} == cut(texts)
 
 
+def test_segments_that_share_an_anchor_alone_need_no_transform(monkeypatch):
+    import numpy as np
+
+    pick, phrase = random.Random(45), "one phrase of some words stands here"
+    noise = lambda n: "".join(pick.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    sides = [(noise(80), noise(80)) for _ in range(4)]
+    texts = [noise(120) + phrase + noise(120) for _ in range(60)]
+    # strings that repeat mostly before, mostly behind and on both sides of the phrase
+    for before, behind in ((64, 0), (65, 5), (5, 65), (0, 64), (32, 32), (30, 34), (80, 80), (31, 32), (63, 0)):
+        a, b = pick.choice(sides)
+        texts += [noise(150) + a[len(a) - before :] + phrase + b[:behind] + noise(150) for _ in range(2)]
+    body = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    docs, keys = np.arange(len(texts)), np.zeros(len(texts), np.int32)
+    blocks = [b for _, b in repeats._packed(docs, keys, body, repeats.segments(body, offsets), 1)]
+    transformed, later_windows = [], repeats._later_windows
+    monkeypatch.setattr(repeats, "_later_windows", lambda text, left: transformed.append(len(text)) or later_windows(text, left))
+    ids, _, doc, start, end = repeats._removed_runs(blocks)
+    gone = [0] * len(texts)
+    for i in set(ids[doc].tolist()):
+        s, e = repeats._merged_runs([start[ids[doc] == i]], [end[ids[doc] == i]])
+        gone[i] = int((e - s).sum())
+    assert gone == [n for _, (_, n, _, _) in sorted(cut(enumerate(texts)).items())]
+    assert sum(x > 0 for x in gone) >= 7
+    assert 0 < sum(transformed) < 60 * 100
+
+
 def phrased(count):
     """Texts that all hold one phrase, each in other surroundings; every fifth one repeats a whole passage, too."""
     fill = prose(42, 2 * count, 60)
