@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -74,6 +74,16 @@ def classifiers(seed: int = 42) -> dict:
     }
 
 
+def _without_summary(model):
+    """The model without its training summary, which holds the session.
+
+    A model travels to the tasks that apply it, and a session in which rows were ever observed cannot.
+    """
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
 def leaderboard(prepared: DataFrame, models: dict | None = None, digits: int = 4) -> DataFrame:
     """`(model, accuracy, auc)` on the test rows, one row per model.
 
@@ -92,7 +102,8 @@ def leaderboard(prepared: DataFrame, models: dict | None = None, digits: int = 4
     rows = []
     try:
         for name, classifier in (models or classifiers()).items():
-            scored = classifier.fit(train).transform(test).select("label", "prediction", "rawPrediction")
+            model = _without_summary(classifier.fit(train))
+            scored = model.transform(test).select("label", "prediction", "rawPrediction")
             scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 rows.append((name, round(accuracy.evaluate(scored), digits), round(auc.evaluate(scored), digits)))

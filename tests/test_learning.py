@@ -5,6 +5,7 @@ from conftest import rows, values
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from rankweave.operators import learning
@@ -78,3 +79,13 @@ def test_leaderboard_equals_direct_fits(spark):
     got = [tuple(r) for r in learning.leaderboard(prepared).collect()]
     assert got == want and len({r[1:] for r in got}) > 1 and all(0.5 < r[2] < 1 for r in got)
     assert rows(learning.split_counts(prepared)) == sorted([("train", train.count()), ("test", test.count())], key=repr)
+
+
+def test_leaderboard_in_a_session_that_observed_rows(spark):
+    own = spark.newSession()
+    own.range(10).observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    df = own.range(200).selectExpr("concat('k', id) AS key", "id % 20 + 1 AS his_rank", "cast(id % 20 AS double) AS view", "cast(id % 13 AS double) AS like")
+    columns = {"labelCol": "label", "featuresCol": "features"}
+    models = {"LogisticRegression": LogisticRegression(maxIter=5, **columns), "RandomForest": RandomForestClassifier(seed=42, numTrees=3, **columns)}
+    board = learning.leaderboard(learning.prepare(df, ["key"], ["view", "like"]), models).collect()
+    assert [r["model"] for r in board] == list(models) and all(r["auc"] > 0.9 for r in board)
