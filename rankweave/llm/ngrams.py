@@ -116,7 +116,8 @@ def packed_blocks(rows: DataFrame, at: int = 0) -> DataFrame:
     """block, packed: the same blocks with all their columns, each stretch of rows as a compressed Arrow stream."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))
+        # Arrow's own threads would stay in the worker, with memory of their own
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL), use_threads=False)
         for block, some, _ in _blocks(batches, at):
             out = pa.BufferOutputStream()
             with pa.ipc.new_stream(out, some.schema, options=options) as stream:
@@ -128,7 +129,8 @@ def packed_blocks(rows: DataFrame, at: int = 0) -> DataFrame:
 
 def unpacked(packed: pa.ChunkedArray) -> pa.Table:
     """The rows of one block."""
-    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in packed])
+    options = pa.ipc.IpcReadOptions(use_threads=False)
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer(), options=options).read_all() for x in packed])
 
 
 def counts(texts: DataFrame) -> DataFrame:
