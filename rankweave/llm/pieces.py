@@ -1,22 +1,26 @@
-"""SentencePiece encoding and decoding: Viterbi over a trie of the distinct marked words of a batch.
+"""SentencePiece encoding and decoding: Viterbi over a trie of the distinct marked words of a step.
 
-Words are marked with the piece sign for space. The distinct words of a batch of documents are sorted, which lays
+Words are marked with the piece sign for space. The distinct words of some documents are sorted, which lays
 them out as a trie visited depth-first: a word takes over the forward scores of the prefix it shares with the word
-before, and only the rest is scored.
+before, and only the rest is scored. Texts are encoded in steps of STEP characters; words found in earlier steps are
+remembered up to a limit, so a task's memory depends neither on its rows nor on how many different words they hold.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.llm.common import steps
 from rankweave.llm.lengths import TOKENIZERS
 
 MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
@@ -24,21 +28,27 @@ MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 SPACE = "▁"
 # A character of private use that goes before a text's own space signs.
 ESCAPE = "\ue000"
-# Characters of text that are encoded together.
-STEP = 1 << 24
+# Characters of text that are encoded together; a longer document makes a step of its own.
+STEP = 1 << 20
+# Characters of words whose segmentation is remembered, and those a word counts for besides its own.
+REMEMBERED = 1 << 20
+WORD = 10
 _WORD = re.compile(f"{SPACE}[^{SPACE}]*")
 _ESCAPED = re.compile(f"{ESCAPE}(.)", re.DOTALL)
 
 
 class Vocabulary(NamedTuple):
-    """Pieces by identifier, their scores, and for all ends of pieces the score or, where an end is no piece, None."""
+    """Pieces by identifier, their scores, and a trie of pieces read from their ends.
+
+    A node of the trie has the score and identifier of what is read so far, None where that is no piece, and the
+    nodes of the characters before it.
+    """
 
     pieces: list[str]
     scores: dict[str, tuple[float, int]]
-    tails: dict[str, tuple[float, int] | None]
+    ends: dict[str, tuple]
     by_byte: list[int]
     byte_of: dict[int, int]
-    longest: int
     unknown: float
 
 
@@ -53,8 +63,11 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     special = {i for i in range(len(pieces)) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)}
     scores = {p: (model.get_score(i), i) for i, p in enumerate(pieces) if i not in special}
     least = min((s for s, _ in scores.values()), default=0.0)
-    tails = {p[k:]: scores.get(p[k:]) for p in scores for k in range(len(p))}
-    return Vocabulary(pieces, scores, tails, by_byte, {i: b for b, i in enumerate(by_byte)}, max(map(len, scores), default=1), least - 10.0)
+    before: dict[str, dict] = {"": {}}
+    for tail in sorted({p[k:] for p in scores for k in range(len(p))}, key=len):
+        before[tail] = {}
+        before[tail[1:]][tail[0]] = (*scores.get(tail, (None, None)), before[tail])
+    return Vocabulary(pieces, scores, before[""], by_byte, {i: b for b, i in enumerate(by_byte)}, least - 10.0)
 
 
 def _marked(text: str) -> str:
@@ -77,35 +90,37 @@ def best_paths(words: list[str], vocab: Vocabulary) -> dict[str, list[int]]:
     A character that is a piece of none is written as its bytes and scores below any piece. `words` are sorted here;
     forward scores are kept for the prefix shared with the word before.
     """
-    scores, longest, unknown = vocab.scores, vocab.longest, vocab.unknown
-    best, back, out, before = [0.0], [0], {}, ""
-    get, tail = scores.get, vocab.tails.get
+    ends, unknown = vocab.ends, vocab.unknown
+    # for each number of characters the best score, and where its last piece begins and which one that is
+    best, back, last, out, before = [0.0], [0], [None], {}, ""
     for word in sorted(words):
         shared, most = 0, min(len(word), len(before))
         while shared < most and word[shared] == before[shared]:
             shared += 1
-        del best[shared + 1 :], back[shared + 1 :]
-        for end in range(shared + 1, len(word) + 1):
-            top, frm = best[end - 1] + unknown, end - 1
-            known = get(word[end - 1 : end])
-            if known is not None:
-                top = best[end - 1] + known[0]
-            for start in range(end - 2, max(-1, end - longest - 1), -1):
-                found = tail(word[start:end], 0)
-                if found == 0:  # no piece ends like this, so no longer one does
-                    break
-                if found is not None and best[start] + found[0] >= top:
-                    top, frm = best[start] + found[0], start
+        del best[shared + 1 :], back[shared + 1 :], last[shared + 1 :]
+        for end in range(shared, len(word)):
+            top, frm, piece = best[end] + unknown, end, None
+            node = ends.get(word[end])
+            if node is not None:
+                score, own, further = node
+                if own is not None:
+                    top, piece = best[end] + score, own
+                for start in range(end - 1, -1, -1):
+                    node = further.get(word[start])
+                    if node is None:  # no piece ends like this, so no longer one does
+                        break
+                    score, own, further = node
+                    if own is not None and best[start] + score >= top:
+                        top, frm, piece = best[start] + score, start, own
             best.append(top)
             back.append(frm)
+            last.append(piece)
         ids, end = [], len(word)
         while end:
-            piece = word[back[end] : end]
-            found = get(piece)
-            if found is None:
-                ids += [vocab.by_byte[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))]
+            if last[end] is None:
+                ids += [vocab.by_byte[b] for b in reversed(word[end - 1].encode("utf-8", "surrogatepass"))]
             else:
-                ids.append(found[1])
+                ids.append(last[end])
             end = back[end]
         ids.reverse()
         out[word] = ids
@@ -113,33 +128,55 @@ def best_paths(words: list[str], vocab: Vocabulary) -> dict[str, list[int]]:
     return out
 
 
-def encode_batch(texts: list[str | None], vocab: Vocabulary) -> list[list[int] | None]:
+class Paths:
+    """Segmentations of words, remembered for later steps.
+
+    Words of REMEMBERED characters are one generation, and the one before is still known: a word that keeps coming
+    back stays, and a rare one is found again. The words of one step are always known together.
+    """
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab, self.recent, self.older, self.size = vocab, {}, {}, 0
+
+    def of(self, words: Iterable[str]) -> dict[str, bytes]:
+        """For the different `words`, and others, the identifiers as 32-bit integers."""
+        if self.size >= REMEMBERED:
+            self.recent, self.older, self.size = {}, self.recent, 0
+        recent, older, new = self.recent, self.older, []
+        for word in words:
+            if word not in recent:
+                if word in older:
+                    recent[word] = older[word]
+                else:
+                    new.append(word)
+                self.size += len(word) + WORD
+        for word, ids in best_paths(new, self.vocab).items():
+            recent[word] = array("i", ids).tobytes()
+        return recent
+
+
+def encode_step(texts: list[str | None], paths: Paths) -> list[np.ndarray | None]:
     """Piece identifiers of each text; null stays null and an empty text has none."""
-    out: list[list[int] | None] = [None] * len(texts)
-    first = 0
-    while first < len(texts):
-        last, size = first, 0
-        while last < len(texts) and (last == first or size < STEP):
-            size += len(texts[last] or "")
-            last += 1
-        split = [_WORD.findall(_marked(x)) if x else [] for x in texts[first:last]]
-        paths = best_paths(list({w for some in split for w in some}), vocab)
-        for k, some in enumerate(split):
-            if texts[first + k] is not None:
-                ids: list[int] = []
-                for w in some:
-                    ids += paths[w]
-                out[first + k] = ids
-        first = last
-    return out
+    split = [_WORD.findall(_marked(x)) if x else [] for x in texts]
+    known = paths.of(set().union(*split))
+    return [None if x is None else np.frombuffer(b"".join([known[w] for w in some]), np.int32) for x, some in zip(texts, split)]
+
+
+def encode_batch(column: pa.Array, paths: Paths) -> Iterator[tuple[list[str | None], list[np.ndarray | None]]]:
+    """Texts of a string column, in steps, and the piece identifiers of each."""
+    offsets = np.zeros(len(column) + 1, np.int64)
+    np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), out=offsets[1:])
+    for first, last in steps(offsets, STEP):
+        texts = column.slice(first, last - first).to_pylist()
+        yield texts, encode_step(texts, paths)
 
 
 def decode_ids(ids, vocab: Vocabulary) -> str | None:
-    """The text of piece identifiers: the exact inverse of `encode_batch`."""
+    """The text of piece identifiers: the exact inverse of `encode_step`."""
     if ids is None:
         return None
     pieces, byte_of = vocab.pieces, vocab.byte_of
-    if not any(i in byte_of for i in ids):
+    if byte_of.keys().isdisjoint(ids):
         return _plain("".join([pieces[i] for i in ids]))
     parts, some = [], bytearray()
     for i in ids:
@@ -154,12 +191,21 @@ def decode_ids(ids, vocab: Vocabulary) -> str | None:
     return _plain("".join(parts))
 
 
+def _lists(ids: list[np.ndarray | None]) -> pa.Array:
+    """Identifiers as a list column."""
+    ends = np.zeros(len(ids) + 1, np.int32)
+    np.cumsum([0 if x is None else len(x) for x in ids], out=ends[1:])
+    flat = np.concatenate([np.empty(0, np.int32), *[x for x in ids if x is not None]])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=pa.array([x is None for x in ids], pa.bool_()))
+
+
 def encoded(text: str, model: str = MODEL) -> Column:
     """array<int> of piece identifiers of a text column."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        return pa.array(encode_batch(texts.to_pylist(), vocabulary(model)), pa.list_(pa.int32()))
+        found = [_lists(ids) for _, ids in encode_batch(texts, Paths(vocabulary(model)))]
+        return pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int32()))
 
     return encode(F.col(text))
 
@@ -184,16 +230,16 @@ def sentence_pieces(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
+        paths = Paths(vocab)
         for batch in batches:
-            for k in range(0, len(batch), 4000):
-                part = batch.slice(k, 4000)
-                texts = part.column(1).to_pylist()
-                ids = encode_batch(texts, vocab)
-                exact = [decode_ids(x, vocab) == t for x, t in zip(ids, texts)]
-                sizes = np.array([len(x or ()) for x in ids], np.int64)
+            done = 0
+            for texts, ids in encode_batch(batch.column(1), paths):
+                exact = [decode_ids(None if x is None else x.tolist(), vocab) == t for x, t in zip(ids, texts)]
+                sizes = np.array([0 if x is None else len(x) for x in ids], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes), pa.array(ids, pa.list_(pa.int32())), pa.array(exact)], ["doc_id", "n_pieces", "pieces", "exact"]
+                    [batch.column(0).slice(done, len(texts)), pa.array(sizes), _lists(ids), pa.array(exact)], ["doc_id", "n_pieces", "pieces", "exact"]
                 )
+                done += len(texts)
 
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(both, "doc_id bigint, n_pieces bigint, pieces array<int>, exact boolean")

@@ -6,7 +6,9 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -569,6 +571,52 @@ def test_pieces_are_the_best_path_and_decode_exactly(spark):
     assert back.where(~F.col("again").eqNullSafe(F.col("text"))).count() == 0
 
 
+def test_pieces_of_a_large_batch_take_little_memory(spark):
+    class Table:
+        """Keeps the function that a task runs over its batches."""
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    pick = random.Random(21)
+    words = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyzé", k=pick.randint(3, 9))) for _ in range(20_000)]
+    texts = [" ".join(pick.choices(words, k=300)) for _ in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    pieces.vocabulary()
+    run, seen = pieces.sentence_pieces(Table()), []
+    tracemalloc.start()
+    try:
+        for out in run(iter([batch])):
+            seen += out.column("doc_id").to_pylist()
+            assert all(out.column("exact").to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # the words of the batch alone take more, each as a string of its own
+    assert seen == list(range(len(texts))) and peak < 50 << 20
+
+
+def test_pieces_do_not_depend_on_steps_or_what_is_remembered(monkeypatch):
+    vocab, texts = pieces.vocabulary(), [*prose(22, 60), None, "", *prose(22, 60), " ", "日本 日本ü 日", *[t for _, t in ODD]]
+    every = {w for t in texts if t for w in pieces._WORD.findall(pieces._marked(t))}
+    best = pieces.best_paths(list(every), vocab)
+    expected = [None if t is None else [i for w in pieces._WORD.findall(pieces._marked(t)) for i in best[w]] if t else [] for t in texts]
+    for step, remembered in [(1, 1), (100, 500), (1 << 20, 1 << 20)]:
+        monkeypatch.setattr(pieces, "STEP", step)
+        monkeypatch.setattr(pieces, "REMEMBERED", remembered)
+        paths, own, ids, held = pieces.Paths(vocab), [], [], 0
+        for some, found in pieces.encode_batch(pa.array(texts, pa.string()), paths):
+            own, ids = own + some, ids + [None if x is None else x.tolist() for x in found]
+            held = max(held, len(paths.recent) + len(paths.older))
+        assert own == texts and ids == expected
+        assert remembered > 500 or held < len(every)
+        assert [pieces.decode_ids(x, vocab) for x in ids] == texts
+    assert list(pieces.encode_batch(pa.array([], pa.string()), pieces.Paths(vocab))) == []
+
+
 # the whole
 
 
